@@ -6,7 +6,9 @@ A sheet frame holds any number of sheets: identifying columns, `etiqueta` and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import operator
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,11 +29,12 @@ def _label() -> Column:
     return F.trim("etiqueta")
 
 
+def _any(tests: Iterable[Column]) -> Column:
+    return reduce(operator.or_, tests)
+
+
 def _any_like(patterns: Sequence[str]) -> Column:
-    test = F.lit(False)
-    for pattern in patterns:
-        test = test | _label().like(pattern)
-    return test
+    return _any(_label().like(pattern) for pattern in patterns)
 
 
 def week_headers(long: DataFrame, sheet: Sequence[str] = ()) -> DataFrame:
@@ -44,30 +47,47 @@ def week_headers(long: DataFrame, sheet: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def metadata_pivot(long: DataFrame, sheet: Sequence[str] = ()) -> DataFrame:
-    """Date, people and hours of each column; one row per column.
-
-    Only header rows can contribute, so the others are dropped before the aggregation.
-    Columns without any header row are absent, which a left join turns into the same NULLs.
-    """
+def _metadata_tests() -> dict[str, Column]:
     label = _label()
-    parts = {
+    return {
         "fecha_str": label.like(fv.DATE_PATTERN),
         "operador_alias": label.like(fv.OPERATOR_PATTERN),
         "tecnico_alias": _any_like(fv.TECHNICIAN_PATTERNS),
         "hora_inicio": label == fv.START_LABEL,
         "hora_termino": label == fv.END_LABEL,
     }
-    header = F.lit(False)
-    for test in parts.values():
-        header = header | test
+
+
+def metadata_pivot(long: DataFrame, sheet: Sequence[str] = ()) -> DataFrame:
+    """Date, people and hours of each column; one row per column.
+
+    Only header rows can contribute, so the others are dropped before the aggregation.
+    Columns without any header row are absent, which a left join turns into the same NULLs.
+    """
+    parts = _metadata_tests()
     return (
-        long.filter(header)
+        long.filter(_any(parts.values()))
         .groupBy(*sheet, "col_nombre")
         .agg(*[F.max(F.when(test, F.col("valor"))).alias(name) for name, test in parts.items()])
     )
 
 
+def column_headers(long: DataFrame, sheet: Sequence[str] = ()) -> DataFrame:
+    """Week number and metadata of each column that has a week, in one pass over the header rows.
+
+    The same rows as `week_headers` left-joined with `metadata_pivot`: a column
+    with two week rows keeps both. The list per column holds the sheet's week
+    rows only.
+    """
+    label = _label()
+    is_week = label.isin(*fv.WEEK_LABELS)
+    parts = _metadata_tests()
+    weeks = F.collect_list(F.when(is_week, to_int(F.col("valor")))).alias("_weeks")
+    values = [F.max(F.when(test, F.col("valor"))).alias(name) for name, test in parts.items()]
+    grouped = long.filter(is_week | _any(parts.values())).groupBy(*sheet, "col_nombre").agg(weeks, *values)
+    return grouped.select(*sheet, "col_nombre", *parts, F.explode("_weeks").alias("semana_num"))
+
+
 def measurement_filter(long: DataFrame, sheet: Sequence[str] = ()) -> DataFrame:
     """Rows that are a concentration of a measuring point: 0 <= v < 100 and not a header row."""
     value = to_double(F.col("valor"))
@@ -99,8 +119,8 @@ def wide_to_bronze(
     """
     ids = list(dict.fromkeys([plant, *sheet, *([source] if source else []), *([base_year] if isinstance(base_year, str) else [])]))
     long = unpivot_weeks(wide, [*ids, "etiqueta"])
-    headers = week_headers(long, ids).join(metadata_pivot(long, ids), [*ids, "col_nombre"], "left")
-    joined = measurement_filter(long, ids).join(bounded_lookup(headers), [*ids, "col_nombre"], "inner")
+    headers = bounded_lookup(column_headers(long, ids))
+    joined = measurement_filter(long, ids).join(headers, [*ids, "col_nombre"], "inner")
     year = year_from_position(
         F.col("col_nombre"), F.col(base_year) if isinstance(base_year, str) else base_year, weeks_in_first_year
     )
@@ -134,6 +154,18 @@ def stack_sheets(sheets: dict[str, DataFrame], plants: dict[str, str]) -> DataFr
     return stacked
 
 
+def pivot_cells(cells: DataFrame, row: Sequence[str], width: int) -> DataFrame:
+    """Cells `(row..., columna, valor)` -> `row..., column01..`; sheet column 2 is `column01`."""
+    packed = pack_rows(cells.filter(F.col("columna").between(2, width + 1)), row)
+    return packed.select(*row, *[F.col("_cells")[i + 1].alias(f"column{i:02d}") for i in range(1, width + 1)])
+
+
+def pack_rows(cells: DataFrame, row: Sequence[str]) -> DataFrame:
+    """One map column -> value per row, at most as large as a sheet is wide: one aggregate, not one per column."""
+    entry = F.struct(F.col("columna").cast("int").alias("k"), "valor")
+    return cells.groupBy(*row).agg(F.map_from_entries(F.collect_list(entry)).alias("_cells"))
+
+
 def sheet_widths(cells: DataFrame, first_row: int = 2) -> DataFrame:
     """Data columns of each sheet: the run of filled cells of the header row from column 2 on.
 
@@ -155,22 +187,22 @@ def sheet_to_wide(cells: DataFrame, max_columns: int, first_row: int = 2) -> Dat
     Title rows go, rows without a label go, sheets without data columns go; empty
     cells inside the width become '' and columns outside it NULL.
     """
-    labels = cells.filter((F.col("fila") >= first_row) & (F.col("columna") == 1) & F.col("valor").isNotNull())
-    rows = labels.select("hoja", "fila", F.col("valor").alias("etiqueta")).join(
-        bounded_lookup(sheet_widths(cells, first_row)), "hoja", "inner"
+    body = cells.filter((F.col("fila") >= first_row) & F.col("columna").between(1, max_columns + 1))
+    rows = pack_rows(body, ["hoja", "fila"]).select(
+        "hoja",
+        "fila",
+        F.col("_cells")[1].alias("etiqueta"),
+        *[F.col("_cells")[i + 1].alias(f"column{i:02d}") for i in range(1, max_columns + 1)],
     )
-    body = (
-        cells.filter((F.col("fila") >= first_row) & (F.col("columna") >= 2))
-        .groupBy("hoja", "fila")
-        .pivot("columna", list(range(2, max_columns + 2)))
-        .agg(F.first("valor"))
+    joined = rows.filter(F.col("etiqueta").isNotNull()).join(
+        bounded_lookup(sheet_widths(cells, first_row)), "hoja", "inner"
     )
-    joined = rows.join(body, ["hoja", "fila"], "left")
-    week_columns = [
-        F.when(F.lit(i) <= F.col("n_columnas"), F.coalesce(F.col(str(i + 1)), F.lit(""))).alias(f"column{i:02d}")
-        for i in range(1, max_columns + 1)
+    names = [f"column{i:02d}" for i in range(1, max_columns + 1)]
+    inside = [
+        F.when(F.lit(i) <= F.col("n_columnas"), F.coalesce(F.col(name), F.lit(""))).alias(name)
+        for i, name in enumerate(names, start=1)
     ]
-    return joined.select("hoja", "fila", "etiqueta", *week_columns)
+    return joined.select("hoja", "fila", "etiqueta", *inside)
 
 
 def select_sheets(cells: DataFrame, sheet_files: dict[str, str] = fv.SHEET_FILES) -> DataFrame:

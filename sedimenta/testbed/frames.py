@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.text import number_text
+from sedimenta.operators.reshape import pivot_cells
 from sedimenta.plans import marts, silver
+from sedimenta.session import scratch_path
 from sedimenta.sources.seeds import band_seed
+from sedimenta.sources.sinks import write_table
 
 FIRST_YEAR = 1995
 WEEKS = 53
@@ -19,15 +22,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Long measurements of every line item."""
-    plants = table(spark, sf, "supplier").join(
-        table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    ).select("s_suppkey", "s_name", F.col("n_name").alias("planta"))
     day = F.dayofyear("l_shipdate")
     key, line = F.col("l_suppkey"), F.col("l_linenumber")
     operator = F.when(key % 7 == 0, F.lit("desconocido")).otherwise(F.concat(F.lit(" "), F.col("s_name")))
     technician = F.concat(F.lit("Supplier#"), F.lpad((key - key % 9).cast("string"), 9, "0"))
-    return table(spark, sf, "lineitem").join(plants, key == F.col("s_suppkey")).select(
-        "planta",
+    located = (
+        table(spark, sf, "lineitem")
+        .join(table(spark, sf, "supplier"), key == F.col("s_suppkey"))
+        .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    )
+    return located.select(
+        F.col("n_name").alias("planta"),
         F.concat(F.lit("P"), (F.col("l_partkey") % 20).cast("string")).alias("punto_evaluacion"),
         F.year("l_shipdate").alias("anio"),
         (F.floor((day - 1) / 7) + 1).cast("int").alias("semana"),
@@ -141,18 +146,19 @@ def sheet_cells(spark: SparkSession, sf: str) -> DataFrame:
     return cells.select("hoja", "fila", "columna", "valor").unionByName(first)
 
 
+def stored_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The workbook's cells, written and read back."""
+    return write_table(sheet_cells(spark, sf), scratch_path(spark, "cells"))
+
+
 def wide_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """`(planta, hoja, base, etiqueta, column01..column106)`, text cells."""
-    width = 2 * WEEKS
-    wide = (
-        cell_table(spark, sf)
-        .groupBy("planta", "hoja", "base", "etiqueta")
-        .pivot("columna", list(range(2, width + 2)))
-        .agg(F.first("valor"))
-    )
-    return wide.select(
-        "planta", "hoja", "base", "etiqueta", *[F.col(str(i + 1)).alias(f"column{i:02d}") for i in range(1, width + 1)]
-    )
+    return pivot_cells(cell_table(spark, sf), ["planta", "hoja", "base", "etiqueta"], 2 * WEEKS)
+
+
+def stored_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, written and read back as the landing tables are."""
+    return write_table(wide_sheets(spark, sf), scratch_path(spark, "sheets"))
 
 
 def centroids(spark: SparkSession, sf: str) -> DataFrame:
