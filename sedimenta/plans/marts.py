@@ -20,7 +20,8 @@ def limit_status(value: Column, limit: Column) -> Column:
     return F.when(value > limit, OVER).otherwise(UNDER)
 
 
-def _with_limit_and_band(df: DataFrame, bands: DataFrame) -> DataFrame:
+def with_limit_and_band(df: DataFrame, bands: DataFrame) -> DataFrame:
+    """Limit, ratio and band columns of measurements."""
     limit = internal_limit(bands).scalar()
     banded = band_lookup(df.withColumn("limite_interno_mg_m3", limit), bands, "concentracion_mg_m3", BAND_COLUMNS)
     return banded.withColumn("veces_sobre_limite", ratio_to_limit(F.col("concentracion_mg_m3"), F.col("limite_interno_mg_m3")))
@@ -41,7 +42,7 @@ def over_limit_latest(
     """
     over = bronze.filter(F.col("concentracion_mg_m3") > internal_limit(bands).scalar())
     current = keep_latest(over, sessions, ["planta"])
-    out = _with_limit_and_band(with_people(current, aliases, persons), bands).select(
+    out = with_limit_and_band(with_people(current, aliases, persons), bands).select(
         *_POINT, *_WHEN, "operador", "tecnico", *_TAIL
     )
     return out.orderBy(F.col("concentracion_mg_m3").desc_nulls_last()) if ordered else out
@@ -107,7 +108,7 @@ def historic_peak(
 ) -> DataFrame:
     """M00003: the highest measurement ever of each plant, with people and their ids."""
     named = with_people(peak_per_group(bronze), aliases, persons, with_ids=True)
-    out = _with_limit_and_band(named, bands).select(
+    out = with_limit_and_band(named, bands).select(
         *_POINT, *_WHEN, "operador", "operador_dni", "tecnico", "tecnico_dni", *_TAIL
     )
     return out.orderBy(F.col("planta").asc_nulls_last()) if ordered else out
@@ -119,7 +120,7 @@ def latest_session_all(
     """M00004: every measurement of the latest session over all plants, over and under the limit."""
     current = keep_latest(bronze, sessions)
     out = (
-        _with_limit_and_band(with_people(current, aliases, persons), bands)
+        with_limit_and_band(with_people(current, aliases, persons), bands)
         .withColumn("estado_limite", limit_status(F.col("concentracion_mg_m3"), F.col("limite_interno_mg_m3")))
         .select(*_POINT, "estado_limite", *_WHEN, "operador", "tecnico", *_TAIL)
     )
