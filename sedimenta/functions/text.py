@@ -40,21 +40,35 @@ def number_text(value: Column) -> Column:
     """Shortest text of a DOUBLE with at most six decimals: 2.5 -> '2.5', 3 -> '3.0', 0.00001 -> '1e-05'.
 
     `cast(double as string)` switches to exponents at 1e-3 and 1e7, which would
-    change hashes and rendered texts; this form is stable up to 1e12.
+    change hashes and rendered texts; this form is stable up to 1e12. Where the
+    cast is plain and short it is taken as it is, decimals are built only for the rest.
     """
-    exact = value.cast("decimal(18,6)")
-    digits = F.rtrim(exact.cast("string"), F.lit("0"))
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    micros = F.round(F.abs(exact) * F.lit(1000000), 0).cast("long")
+    size = F.abs(value)
+    short = value.cast("string")
+    decimals = F.length(F.substring_index(short, ".", -1))
+    return (
+        F.when((size >= 0.001) & (size < 1e7) & (decimals <= 6), short)
+        .when((size < 0.0001) & (value != 0), _tiny_text(value))
+        .otherwise(_plain_text(value))
+    )
+
+
+def _plain_text(value: Column) -> Column:
+    digits = F.rtrim(value.cast("decimal(18,6)").cast("string"), F.lit("0"))
+    return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+
+
+def _tiny_text(value: Column) -> Column:
+    """Exponent form of a value below 1e-4, from its whole millionths."""
+    micros = F.abs(F.round(value.cast("decimal(18,6)") * F.lit(1000000), 0).cast("long"))
     sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    tens = F.floor(micros / 10).cast("string")
-    ones = (micros % 10).cast("string")
-    tiny = (
-        F.when(micros < 10, F.concat(micros.cast("string"), F.lit("e-06")))
-        .when(micros % 10 == 0, F.concat(tens, F.lit("e-05")))
-        .otherwise(F.concat(tens, F.lit("."), ones, F.lit("e-05")))
+    tens, ones = F.floor(micros / 10).cast("string"), (micros % 10).cast("string")
+    return (
+        F.when((micros == 0) | (micros >= 100), _plain_text(value))
+        .when(micros < 10, F.concat(sign, ones, F.lit("e-06")))
+        .when(micros % 10 == 0, F.concat(sign, tens, F.lit("e-05")))
+        .otherwise(F.concat(sign, tens, F.lit("."), ones, F.lit("e-05")))
     )
-    return F.when((micros > 0) & (micros < 100), F.concat(sign, tiny)).otherwise(plain)
 
 
 def cell_text(number: Column | None = None, moment: Column | None = None, other: Column | None = None) -> Column:

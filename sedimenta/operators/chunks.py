@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sedimenta.functions.keys import fingerprint, hmac_sha256, joined_key
 from sedimenta.functions.text import number_text
-from sedimenta.operators.lookup import bounded_lookup
+from sedimenta.operators.lookup import bounded_lookup, distinct_for_join
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources.registry import Rule
 
@@ -48,6 +48,8 @@ def shown_text(df: DataFrame, column: str) -> Column:
     """Text of a column inside templates, keys and payloads; NULL becomes ''."""
     dtype = df.schema[column].dataType
     value = F.col(column)
+    if isinstance(dtype, T.StringType):
+        return F.coalesce(value, F.lit(""))
     text = number_text(value) if isinstance(dtype, (T.DoubleType, T.FloatType)) else value.cast("string")
     return F.coalesce(text, F.lit(""))
 
@@ -118,8 +120,9 @@ def build_chunks(
     """All fields of the chunks of a rule, with clear text; a narrow transform of the mart.
 
     `texto` holds tokens for personal values; their values are only in `pii_tokens`.
+    Every column is turned to text once, and key, text and payload refer to that.
     """
-    rows = mart.select(*rule.columns)
+    rows = mart.select(*[shown_text(mart, c).alias(c) for c in rule.columns])
     key = chunk_key(rows, rule.key_columns, rule.separator, prefix=rule.id)
     text = tagged_text(render(rows, rule.template, rule.pii), rule.tags, rule.tags_in_text)
     business = F.create_map(
@@ -209,7 +212,7 @@ def forget(chunks: DataFrame, people: DataFrame) -> DataFrame:
     `etiquetas` keeps it and drops those entries from `pii_tokens`.
     Entries are looked up as rows `(chunk, entry)`, so the forget list may be large.
     """
-    values = bounded_lookup(people.select("valor").distinct())
+    values = bounded_lookup(distinct_for_join(people, "valor"))
     hits = (
         chunks.select("chunk_id", F.explode("pii_tokens").alias("_name", "valor"))
         .join(values, "valor", "left_semi")

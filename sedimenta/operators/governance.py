@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators.lookup import bounded_lookup, local_rows
+from sedimenta.operators.lookup import bounded_lookup, distinct_for_join, local_rows
 from sedimenta.sources import fixed_values as fv
 
 GRANTS_SCHEMA = "user_id string, dimension string, granted string"
@@ -61,7 +61,7 @@ def governed(df: DataFrame, expanded: DataFrame, user_id: str, required: Mapping
     out = df
     for dimension, column in required.items():
         allowed = expanded.filter((F.col("user_id") == user_id) & (F.col("dimension") == dimension))
-        allowed = bounded_lookup(allowed.select(F.col("valor").alias(column)).distinct())
+        allowed = bounded_lookup(distinct_for_join(allowed.select(F.col("valor").alias(column)), column))
         out = out.join(allowed, column, "left_semi")
     return out
 

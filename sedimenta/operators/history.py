@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.keys import surrogate_key
+from sedimenta.operators.lookup import distinct_for_join
 
 # Technical columns of a snapshot.
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
@@ -93,7 +94,7 @@ def insert_only(batch: DataFrame, target: DataFrame | None, key: str = "huella_r
     """Batch rows whose key is not in the target yet; known keys are never updated."""
     if target is None:
         return batch
-    return batch.join(target.select(key).distinct(), key, "left_anti")
+    return batch.join(distinct_for_join(target, key), key, "left_anti")
 
 
 def append_versions(
@@ -107,14 +108,15 @@ def append_versions(
 
     By default the test ignores which key the content belongs to: content equal
     to that of another key in the batch also suppresses the row. `correlated`
-    compares (key, content) pairs instead.
+    compares (key, content) pairs instead. Both sides of every join may have a
+    hot key: build sides are distinct, probe sides are split at run time.
     """
     if target is None:
         return batch
     if correlated:
-        return batch.join(target.select(key, content).distinct(), [key, content], "left_anti")
-    touched = target.select(key, content).join(batch.select(key).distinct(), key, "left_semi")
-    return batch.join(touched.select(content).distinct(), content, "left_anti")
+        return batch.join(distinct_for_join(target, key, content), [key, content], "left_anti")
+    touched = target.select(key, content).join(distinct_for_join(batch, key), key, "left_semi")
+    return batch.join(distinct_for_join(touched, content), content, "left_anti")
 
 
 def version_columns(now: datetime | Column) -> list[Column]:

@@ -4,6 +4,10 @@ No operator hints a broadcast on trust. `bounded_lookup` reads a derived small
 side up to a row bound: within it the join gets a local relation whose exact
 size Spark checks against its own broadcast threshold; beyond it the frame is
 returned as it is and the join shuffles, with skewed partitions split at run time.
+
+That splitting works on a join's own shuffles only. A join on the keys of an
+aggregate below it adopts the aggregate's partitioning instead and a hot key on
+the other side stays in one task, so build sides are grouped by `grouped_for_join`.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -37,6 +41,16 @@ def bounded_lookup(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
     return df.sparkSession.createDataFrame(head, schema=df.schema)
 
 
+def grouped_for_join(df: DataFrame, *keys: str) -> GroupedData:
+    """Groups by the keys, in a partitioning no join on those keys can adopt."""
+    return df.groupBy(*keys, F.xxhash64(*keys).alias("_spread"))
+
+
+def distinct_for_join(df: DataFrame, *keys: str) -> DataFrame:
+    """Distinct keys for the build side of a join, see `grouped_for_join`."""
+    return df.select(*keys, F.xxhash64(*keys).alias("_spread")).distinct().select(*keys)
+
+
 def internal_limit(bands: DataFrame) -> DataFrame:
     """One row: the lowest bound among the bands flagged as over the limit."""
     return bands.filter("es_sobre_limite_interno").agg(F.min("concentracion_min_mg_m3").alias("mg_m3"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.keys import surrogate_key
-from sedimenta.operators.lookup import bounded_lookup
+from sedimenta.operators.lookup import bounded_lookup, grouped_for_join
 
 # Roles and the business key of a person.
 OPERATOR, TECHNICIAN = "operador", "tecnico"
@@ -36,8 +36,7 @@ def alias_names(aliases: DataFrame, persons: DataFrame) -> DataFrame:
     known = persons.select(F.col("huella_registro").alias("_persona"), "nombre_completo", "tipo_persona", "dni").distinct()
     role = F.col("tipo_persona")
     return (
-        linked.join(known, "_persona", "left")
-        .groupBy("alias_fuente")
+        grouped_for_join(linked.join(known, "_persona", "left"), "alias_fuente")
         .agg(
             *[
                 F.max(F.when(role == r, F.col(c))).alias(name)
@@ -45,6 +44,7 @@ def alias_names(aliases: DataFrame, persons: DataFrame) -> DataFrame:
                 for c, name in (("nombre_completo", r), ("dni", f"{r}_dni"))
             ]
         )
+        .drop("_spread")
     )
 
 

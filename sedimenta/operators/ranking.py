@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.time import session_ordinal
-from sedimenta.operators.lookup import bounded_lookup
+from sedimenta.operators.lookup import bounded_lookup, grouped_for_join
 
 # Rows of equal concentration: the later session wins, then the greater text.
 PEAK_ORDER = (
@@ -26,7 +26,8 @@ PEAK_ORDER = (
 
 def latest_session(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Greatest session ordinal, per group or over everything."""
-    return sessions.groupBy(*by).agg(F.max(session_ordinal(F.col("anio"), F.col("semana"))).alias("sesion_max"))
+    newest = F.max(session_ordinal(F.col("anio"), F.col("semana"))).alias("sesion_max")
+    return grouped_for_join(sessions, *by).agg(newest).drop("_spread") if by else sessions.agg(newest)
 
 
 def keep_latest(measurements: DataFrame, sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -53,13 +54,23 @@ def keep_latest(measurements: DataFrame, sessions: DataFrame, by: Sequence[str]
 def peak_per_group(measurements: DataFrame, by: Sequence[str] = ("planta",), order: Sequence[str] = PEAK_ORDER) -> DataFrame:
     """The greatest row of each group under `order`, all descending with NULLs last.
 
-    A maximum over a struct is combined on the map side, so a group of any size
-    leaves one row per task for the shuffle.
+    First the highest value per group, a hash aggregate over two columns. Then
+    only rows that reach it are read in full: the lowest of those values is a
+    pushed-down filter, so files without a peak are skipped. Ties are settled by
+    a struct maximum over the few rows left, combined on the map side.
     """
-    row = F.struct(*[F.col(c) for c in order])
-    return (
-        measurements.filter(F.col(order[0]).isNotNull()).groupBy(*by).agg(F.max(row).alias("_peak")).select(*by, "_peak.*")
+    value = order[0]
+    tops = bounded_lookup(
+        grouped_for_join(measurements, *by).agg(F.max(value).alias("_top")).filter(F.col("_top").isNotNull()).drop("_spread")
     )
+    lowest = tops.agg(F.min("_top")).scalar()
+    keys = tops.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_top")
+    same = F.col(value) == F.col("_top")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    reaching = measurements.filter(F.col(value) >= lowest).join(keys, same, "left_semi")
+    row = F.struct(*[F.col(c) for c in order])
+    return reaching.groupBy(*by).agg(F.max(row).alias("_peak")).select(*by, "_peak.*")
 
 
 def last_n(df: DataFrame, by: Sequence[str], order: str, n: int) -> DataFrame:

@@ -32,6 +32,11 @@ _POINT = ("planta", "punto_evaluacion", "anio", "semana", "concentracion_mg_m3",
 _WHEN = ("fecha", "hora_inicio", "hora_termino")
 
 
+def _highest_first() -> list[Column]:
+    """By concentration; the other columns split equal values, so no sorted partition holds all of one value."""
+    return [F.col("concentracion_mg_m3").desc_nulls_last(), *[F.col(c) for c in (*_POINT[:4], *_WHEN)]]
+
+
 def over_limit_latest(
     bronze: DataFrame, sessions: DataFrame, aliases: DataFrame, persons: DataFrame, bands: DataFrame, ordered: bool = True
 ) -> DataFrame:
@@ -45,7 +50,7 @@ def over_limit_latest(
     out = with_limit_and_band(with_people(current, aliases, persons), bands).select(
         *_POINT, *_WHEN, "operador", "tecnico", *_TAIL
     )
-    return out.orderBy(F.col("concentracion_mg_m3").desc_nulls_last()) if ordered else out
+    return out.orderBy(*_highest_first()) if ordered else out
 
 
 def annual_summary(bronze: DataFrame, bands: DataFrame, ordered: bool = True) -> DataFrame:
@@ -124,4 +129,4 @@ def latest_session_all(
         .withColumn("estado_limite", limit_status(F.col("concentracion_mg_m3"), F.col("limite_interno_mg_m3")))
         .select(*_POINT, "estado_limite", *_WHEN, "operador", "tecnico", *_TAIL)
     )
-    return out.orderBy(F.col("concentracion_mg_m3").desc_nulls_last()) if ordered else out
+    return out.orderBy(*_highest_first()) if ordered else out

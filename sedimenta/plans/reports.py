@@ -12,7 +12,9 @@ from sedimenta.sources.registry import REPORTS, Report
 
 
 def _order(report: Report) -> list[Column]:
-    return [F.col(c).asc_nulls_last() if way == "asc" else F.col(c).desc_nulls_last() for c, way in report.order]
+    """The declared order; the other columns follow, so that many equal keys still sort in several partitions."""
+    declared = [F.col(c).asc_nulls_last() if way == "asc" else F.col(c).desc_nulls_last() for c, way in report.order]
+    return [*declared, *[F.col(c) for c in report.columns if c not in dict(report.order)]]
 
 
 def report_rows(report_id: str, marts: Mapping[str, DataFrame], ordered: bool = True, **parameters: int | None) -> DataFrame:

@@ -19,6 +19,9 @@ SETTINGS = {
 }
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app_name: str = "sedimenta", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the library's settings; `extra` takes keys with `__` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -40,9 +43,10 @@ def shared_folder(spark: SparkSession) -> str:
             return conf.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

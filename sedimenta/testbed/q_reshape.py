@@ -38,7 +38,7 @@ TABLES = (
 def _(spark, sf):
     """Sheets written as CSV, one landing source per two years and one that is missing, loaded back."""
     root = scratch_path(spark, "landing")
-    fr.wide_sheets(spark, sf).withColumn("bloque", F.col("base")).write.partitionBy("bloque").option("header", True).csv(
+    fr.stored_sheets(spark, sf).withColumn("bloque", F.col("base")).write.partitionBy("bloque").option("header", True).csv(
         f"{root}/csv"
     )
     sources = [LandingSource(f"hojas_{y}", f"/csv/bloque={y}") for y in (1995, 1997, 1999, 2001)]
@@ -89,11 +89,11 @@ def _(spark, sf):
 
 @query("unpivot_weeks", s.with_(*s.CELLS_CTES) + "SELECT planta, hoja, base, etiqueta, col_nombre, valor FROM lng")
 def _(spark, sf):
-    return reshape.unpivot_weeks(fr.wide_sheets(spark, sf), [*SHEET, "etiqueta"])
+    return reshape.unpivot_weeks(fr.stored_sheets(spark, sf), [*SHEET, "etiqueta"])
 
 
 def _long(spark, sf):
-    return fr.cell_table(spark, sf).select(
+    return fr.stored_cell_table(spark, sf).select(
         *SHEET, "etiqueta", F.format_string("column%02d", F.col("columna") - 1).alias("col_nombre"), "valor"
     ).filter(F.col("valor").isNotNull())
 
