@@ -36,38 +36,29 @@ def to_date(text: Column) -> Column:
     return F.when(text.rlike(DATE_SHAPE), iso.try_cast("date"))
 
 
-def number_text(value: Column) -> Column:
-    """Shortest text of a DOUBLE with at most six decimals: 2.5 -> '2.5', 3 -> '3.0', 0.00001 -> '1e-05'.
+def number_text(column: str) -> Column:
+    """Shortest text of a DOUBLE column with at most six decimals: 2.5 -> '2.5', 3 -> '3.0', 0.00001 -> '1e-05'.
 
     `cast(double as string)` switches to exponents at 1e-3 and 1e7, which would
     change hashes and rendered texts; this form is stable up to 1e12. Where the
-    cast is plain and short it is taken as it is, decimals are built only for the rest.
+    cast is plain and short it is taken as it is, decimals are built only for
+    the rest. One SQL text, because it is used on many columns at once.
     """
-    size = F.abs(value)
-    short = value.cast("string")
-    decimals = F.length(F.substring_index(short, ".", -1))
-    return (
-        F.when((size >= 0.001) & (size < 1e7) & (decimals <= 6), short)
-        .when((size < 0.0001) & (value != 0), _tiny_text(value))
-        .otherwise(_plain_text(value))
-    )
-
-
-def _plain_text(value: Column) -> Column:
-    digits = F.rtrim(value.cast("decimal(18,6)").cast("string"), F.lit("0"))
-    return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-
-
-def _tiny_text(value: Column) -> Column:
-    """Exponent form of a value below 1e-4, from its whole millionths."""
-    micros = F.abs(F.round(value.cast("decimal(18,6)") * F.lit(1000000), 0).cast("long"))
-    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    tens, ones = F.floor(micros / 10).cast("string"), (micros % 10).cast("string")
-    return (
-        F.when((micros == 0) | (micros >= 100), _plain_text(value))
-        .when(micros < 10, F.concat(sign, ones, F.lit("e-06")))
-        .when(micros % 10 == 0, F.concat(sign, tens, F.lit("e-05")))
-        .otherwise(F.concat(sign, tens, F.lit("."), ones, F.lit("e-05")))
+    v = "`" + column.replace("`", "``") + "`"
+    digits = f"rtrim('0', cast(cast({v} AS decimal(18,6)) AS string))"
+    plain = f"if({digits} LIKE '%.', concat({digits}, '0'), {digits})"
+    # whole millionths of a value below 1e-4
+    micros = f"abs(cast(round(cast({v} AS decimal(18,6)) * 1000000, 0) AS bigint))"
+    sign = f"if({v} < 0, '-', '')"
+    return F.expr(
+        f"""CASE
+        WHEN abs({v}) >= 0.001D AND abs({v}) < 1e7D AND length(substring_index(cast({v} AS string), '.', -1)) <= 6
+          THEN cast({v} AS string)
+        WHEN abs({v}) >= 0.0001D OR {v} = 0 OR {micros} = 0 OR {micros} >= 100 THEN {plain}
+        WHEN {micros} < 10 THEN concat({sign}, {micros}, 'e-06')
+        WHEN {micros} % 10 = 0 THEN concat({sign}, {micros} div 10, 'e-05')
+        ELSE concat({sign}, {micros} div 10, '.', {micros} % 10, 'e-05')
+        END"""
     )
 
 

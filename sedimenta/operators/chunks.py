@@ -50,7 +50,7 @@ def shown_text(df: DataFrame, column: str) -> Column:
     value = F.col(column)
     if isinstance(dtype, T.StringType):
         return F.coalesce(value, F.lit(""))
-    text = number_text(value) if isinstance(dtype, (T.DoubleType, T.FloatType)) else value.cast("string")
+    text = number_text(column) if isinstance(dtype, (T.DoubleType, T.FloatType)) else value.cast("string")
     return F.coalesce(text, F.lit(""))
 
 

@@ -89,7 +89,7 @@ def detail_measurement(bronze: DataFrame, now: datetime | Column | None = None)
     attributes = ("concentracion_mg_m3", "fecha", "hora_inicio", "hora_termino")
     return bronze.select(
         surrogate_key(*MEASUREMENT).alias("huella_registro"),
-        content_hash(number_text(F.col(attributes[0])), *attributes[1:]).alias("_huella_contenido"),
+        content_hash(number_text(attributes[0]), *attributes[1:]).alias("_huella_contenido"),
         *attributes,
         *version_columns(moment),
         F.lit(FROM_BRONZE).alias("_silver_fuente"),

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no stack trace per column expression: plans here have hundreds of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

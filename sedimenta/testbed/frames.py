@@ -124,7 +124,7 @@ def cell_table(spark: SparkSession, sf: str) -> DataFrame:
         (F.substring("punto_evaluacion", 2, 10).cast("int") + 9).alias("fila"),
         column.alias("columna"),
         F.col("punto_evaluacion").alias("etiqueta"),
-        number_text(F.col("c")).alias("valor"),
+        number_text("c").alias("valor"),
     )
 
     def row(number: int, label: str, value):

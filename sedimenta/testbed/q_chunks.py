@@ -197,6 +197,17 @@ _CHUNK_ROWS = """rows AS (SELECT planta, punto_evaluacion, anio, semana, concent
 gone AS (SELECT 'Persona ' || s_suppkey AS valor FROM supplier WHERE s_acctbal < 1000)"""
 
 
+def _named_chunks(spark, sf):
+    """Every measurement as a stored chunk with its people."""
+    named = with_people(fr.bronze(spark, sf), fr.aliases(spark, sf), fr.persons(spark, sf))
+    key = ch.chunk_key(named, ("planta", "punto_evaluacion", "anio", "semana", "concentracion_mg_m3", "fecha", "hora_inicio"))
+    return named.select(
+        ch.chunk_id(key).alias("chunk_id"),
+        ch.pii_map(named, ("operador", "tecnico")).alias("pii_tokens"),
+        F.when(F.col("semana") % 2 == 0, "etiquetas").otherwise("borrar_chunk").alias("estrategia_olvido"),
+    )
+
+
 @query(
     "chunk_forget",
     s.with_(*s.NAMED_ALL_CTES, _CHUNK_ROWS)
@@ -206,19 +217,12 @@ WHERE estrategia_olvido = 'etiquetas' OR (operador NOT IN (FROM gone) AND tecnic
 )
 def _(spark, sf):
     """Suppliers with a low balance ask to be forgotten; weeks alternate between the two strategies."""
-    named = with_people(fr.bronze(spark, sf), fr.aliases(spark, sf), fr.persons(spark, sf))
-    key = ch.chunk_key(named, ("planta", "punto_evaluacion", "anio", "semana", "concentracion_mg_m3", "fecha", "hora_inicio"))
-    stored = named.select(
-        ch.chunk_id(key).alias("chunk_id"),
-        ch.pii_map(named, ("operador", "tecnico")).alias("pii_tokens"),
-        F.when(F.col("semana") % 2 == 0, "etiquetas").otherwise("borrar_chunk").alias("estrategia_olvido"),
-    )
     gone = (
         fr.table(spark, sf, "supplier")
         .filter("s_acctbal < 1000")
         .select(F.concat(F.lit("Persona "), F.col("s_suppkey").cast("string")).alias("valor"))
     )
-    return ch.forget(stored, gone).select(
+    return ch.forget(fr.stored(spark, sf, "named_chunks", _named_chunks), gone).select(
         "chunk_id", "estrategia_olvido", *[F.col("pii_tokens")[c].alias(c) for c in ("operador", "tecnico")]
     )
 

@@ -84,7 +84,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Doubles are hashed by their shortest text."""
-    numbers = [number_text(F.col(c)) for c in ("l_quantity", "l_discount", "l_extendedprice")]
+    numbers = [number_text(c) for c in ("l_quantity", "l_discount", "l_extendedprice")]
     return fr.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", content_hash(*numbers, F.col("l_shipdate").cast("date")).alias("huella")
     )
