@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,6 +199,12 @@ def upsert_chunks(stored: DataFrame, new: DataFrame, key: str = "chunk_id") -> D
     return stored.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
 
 
+def one_per_id(chunks: DataFrame) -> DataFrame:
+    """One chunk per id: the latest, then the lowest content hash, so that a repeated run keeps the same one."""
+    window = Window.partitionBy("chunk_id").orderBy(F.col("fecha_creacion").desc(), F.col("hash_contenido"))
+    return chunks.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
+
+
 def valid_chunks(chunks: DataFrame, now_epoch: int | Column) -> DataFrame:
     """Chunks that have not expired; -1 never does."""
     now = F.lit(now_epoch) if isinstance(now_epoch, int) else now_epoch

@@ -70,9 +70,8 @@ def governed_for_all(df: DataFrame, expanded: DataFrame, required: Mapping[str,
     """`(user_id, row)` for every user that may see the row in all required dimensions."""
     out = df
     for i, (dimension, column) in enumerate(required.items()):
-        allowed = bounded_lookup(
-            expanded.filter(F.col("dimension") == dimension).select("user_id", F.col("valor").alias(column)).distinct()
-        )
+        granted = expanded.filter(F.col("dimension") == dimension).select("user_id", F.col("valor").alias(column))
+        allowed = bounded_lookup(distinct_for_join(granted, "user_id", column))
         out = out.join(allowed, [column] if i == 0 else ["user_id", column], "inner" if i == 0 else "left_semi")
     return out.select("user_id", *df.columns)
 

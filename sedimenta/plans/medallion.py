@@ -113,7 +113,7 @@ def load_chunks(spark: SparkSession, run: Run, gold: dict[str, DataFrame], signi
     before = sinks.read_if_exists(spark, run.path("chunks", "almacen", run.previous)) if run.previous else None
     store = generated if before is None else ch.upsert_chunks(before, generated)
     # repeated keys in one run (equal rows of two sheets) leave one chunk
-    return sinks.write_table(store.dropDuplicates(["chunk_id"]), run.path("chunks", "almacen"))
+    return sinks.write_table(ch.one_per_id(store), run.path("chunks", "almacen"))
 
 
 def run_all(

@@ -8,12 +8,14 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sedimenta.operators import chunks as ch
 from sedimenta.operators import metrics
 from sedimenta.operators.lookup import local_rows
 from sedimenta.plans import medallion
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources import sinks
 from sedimenta.sources.landing import catalog_counts, load_landing, open_landing, table_counts
+from sedimenta.sources.registry import LANDING_SOURCES
 from sedimenta.sources.seeds import read_aliases, read_bands
 from sedimenta.streaming.weekly import BRONZE_SCHEMA, load_arrivals
 
@@ -87,6 +89,15 @@ def test_two_weekly_runs(spark, people, tmp_path):
     per_rule = {r["regla_id"]: r["chunks"] for r in metrics.chunks_per_rule(chunks).collect()}
     assert per_rule["P00002_M00002"] == 16 and per_rule["P00003_M00003"] == 8
     assert per_rule["P00004_M00004"] == 16 and chunks.select("chunk_id").distinct().count() == chunks.count()
+    dump = str(tmp_path / "dump")
+    sinks.write_chunk_dump(chunks, dump)
+    read = sinks.read_chunk_dump(spark, dump)
+    assert read.schema.simpleString() == ch.development_view(chunks).schema.simpleString()
+    assert metrics.chunks_per_rule(read).collect() == metrics.chunks_per_rule(chunks).collect()
+    pre = sinks.write_snapshot(table_counts({"bronce_mediciones": bronze}), chunks, str(tmp_path / "pre"))
+    row = metrics.chunk_changes(pre[1], read, chunks).first()
+    assert (row["previos"], row["nuevos"], row["reemplazos"], row["descartados"]) == (chunks.count(), 0, chunks.count(), 0)
+    assert metrics.ingest_delta(pre[0], table_counts({"bronce_mediciones": bronze})).filter("delta <> 0").isEmpty()
     sizes = {name: df.count() for name, df in out.items() if name.startswith("silver")}
 
     # the same files again: nothing is added anywhere
@@ -107,7 +118,7 @@ def test_two_weekly_runs(spark, people, tmp_path):
 def test_year_filters_skip_partitions(spark, people, bands, tmp_path):
     write_workbook(tmp_path)
     run = medallion.Run(str(tmp_path / "base"), "w1", datetime(2026, 1, 5))
-    out = medallion.run_all(spark, run, str(tmp_path), people, b"key")
+    out = medallion.run_all(spark, run, str(tmp_path), people, b"key", sources=LANDING_SOURCES[:2])
     for mart in ("M00001", "M00004"):
         plan = out[mart]._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(anio" in plan, mart
@@ -116,7 +127,7 @@ def test_year_filters_skip_partitions(spark, people, bands, tmp_path):
 def test_stream_takes_each_file_once(spark, people, tmp_path):
     write_workbook(tmp_path)
     run = medallion.Run(str(tmp_path / "base"), "w1", datetime(2026, 1, 5))
-    landing = load_landing(spark, str(tmp_path), run.path("landing", ""))
+    landing = load_landing(spark, str(tmp_path), run.path("landing", ""), LANDING_SOURCES[:2])
     bronze = medallion.load_bronze(run, medallion.snapshot_sheets(spark, run, landing))
     arrivals, target, state = (str(tmp_path / n) for n in ("arrivals", "silver", "state"))
     rows = bronze.select([c.split(" ")[0] for c in BRONZE_SCHEMA.split(", ")])
@@ -134,6 +145,15 @@ def test_stream_takes_each_file_once(spark, people, tmp_path):
     assert keys.count() == keys.select("huella_registro").distinct().count()
 
 
+def test_vector_table_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "vectors")
+    created = sinks.ensure_vectors(spark, path, 3)
+    assert created.schema["embedding"].metadata == {"size": 3, "distance": "cosine"}
+    spark.createDataFrame([("a", [1.0, 0.0, 0.0])], created.schema).write.mode("append").parquet(path)
+    assert sinks.ensure_vectors(spark, path).count() == 1
+    assert sinks.ensure_vectors(spark, str(tmp_path / "other")).schema["embedding"].metadata["size"] == 1536
+
+
 def test_seeds_and_catalog(spark, tmp_path):
     (tmp_path / "bands.csv").write_text("nivel,concentracion_min_mg_m3,concentracion_max_mg_m3,color,etiqueta,es_sobre_limite_interno\n1,0.0,,azul,bajo,false\n")
     row = read_bands(spark, str(tmp_path / "bands.csv")).first()

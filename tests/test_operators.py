@@ -383,6 +383,12 @@ def test_upsert_and_validity(spark):
     assert tuples(ch.valid_chunks(merged, 10)) == [("b", 30), ("c", -1)]
 
 
+def test_one_chunk_per_id_is_the_latest(spark):
+    rows = [("a", "2026-01", "h1"), ("a", "2026-02", "h3"), ("a", "2026-02", "h2"), ("b", "2026-01", "h9")]
+    df = local_rows(spark, rows, "chunk_id string, fecha_creacion string, hash_contenido string")
+    assert tuples(ch.one_per_id(df)) == [("a", "2026-02", "h2"), ("b", "2026-01", "h9")]
+
+
 def test_checks_find_wrong_tags_and_keys(spark):
     rule = RULES["P00001_M00001"]
     good = ({"ambito": "Seguridad ocupacional", "clasificacion": "Restringido"}, {"operador": "a", "tecnico": "b"})
