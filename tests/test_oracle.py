@@ -6,6 +6,7 @@ import pytest
 from check import compare, connect
 
 import __spark_entry__ as entry
+from sedimenta.testbed.catalog import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,10 +16,10 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = entry.queries()[name](spark, FOLDER)
-    assert compare(df, con, entry.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, FOLDER)
+    assert compare(df, con, ORACLE[name]) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"):
         assert node not in plan
