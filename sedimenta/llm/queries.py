@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, token_files
-from sedimenta.llm.common import shipped_file, table
+from sedimenta.llm import bpe, chat, langid, quality, token_files, toxicity
+from sedimenta.llm.common import held_out, shipped_file, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,6 +65,27 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, bpe.compile_lexicon(spark, docs, WORD_BPE))
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.ship(spark, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model, 0.7).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(spark, table(spark, sf_dir, "documents"), shipped_file(spark, WORD_BPE), end_id=1)
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.ship(spark, langid.train(docs))
+    return langid.identify(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.ship(spark, quality.train(docs, table(spark, sf_dir, "labels")))
+    return quality.score(docs, model, 0.3).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
