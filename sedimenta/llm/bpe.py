@@ -19,7 +19,7 @@ from sedimenta.llm.common import local_copy, mapped, once, shipped, shipped_file
 #: Words compiled into the transducer: a bound on driver memory only, the others are merged.
 LEXICON_WORDS = 1 << 16
 #: Chunks of text whose ids a worker remembers.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 800_000
 _NONE = np.int32(2**31 - 1)
 
 # White_Space of Unicode. str.split() also splits at U+001C to U+001F.
@@ -210,13 +210,17 @@ class Encoder:
         parts: dict[str, list[bytes | int]] = {}
         single: dict[str, bytes] = {}
         for c in chunks:
-            if c.isalpha():
-                single[c] = (c.lower() if c.isascii() else self.normal(c)).encode()
+            if c.isascii():
+                if c.isalpha():
+                    single[c] = c.lower().encode()
+                elif c[:-1].isalpha():  # a word and one sign or figure
+                    parts[c] = [c[:-1].lower().encode(), c[-1].encode()]
+                else:
+                    parts[c] = self.words(c)
+            elif (w := self.normal(c)).isalpha():
+                single[c] = w.encode()
             else:
                 parts[c] = self.words(c)
-        # normalising may leave a letter that is none, which the pieces decide
-        odd = [c for c, w in single.items() if not c.isascii() and not w.decode().isalpha()]
-        parts |= {c: self._plain(c) for c in odd}
         fresh = {w for ws in parts.values() for w in ws if isinstance(w, bytes)}
         fresh.update(single.values())
         words = [*fresh]

@@ -20,6 +20,8 @@ from sedimenta.session import scratch_path
 
 #: Ids after which a task closes its shard and opens the next; bounds a writer's and a reader's memory.
 SHARD_IDS = 1 << 23
+#: Most tasks that read shards.
+READERS = 10_000
 MAGIC = b"EFTOKEN1"
 #: Ones between two stored positions of the upper bits.
 SAMPLE = 256
@@ -216,7 +218,9 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                     columns = [shard.doc_ids(ranks), starts + base, ends - starts, sums]
                     yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], schema=kinds)
 
-    return based.select("file", "base").repartition(F.col("file")).mapInArrow(run, schema)
+    # dealt out evenly, a file or a few to a task; few bytes stand for much work here
+    tasks = min(max(1, manifest.count()), READERS)
+    return based.select("file", "base").repartition(tasks).mapInArrow(run, schema)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, definition: str, end_id: int = 1) -> DataFrame:
