@@ -18,6 +18,8 @@ from sedimenta.llm.common import local_copy, mapped, once, shipped, shipped_file
 
 #: Words compiled into the transducer: a bound on driver memory only, the others are merged.
 LEXICON_WORDS = 1 << 16
+#: A word is frequent from so many occurrences on; keeps what tasks offer to the driver small.
+LEAST_COUNT = 8
 #: Chunks of text whose ids a worker remembers.
 CACHE_CHUNKS = 800_000
 _NONE = np.int32(2**31 - 1)
@@ -276,8 +278,8 @@ def word_counts(docs: DataFrame, definition: str, text: str = "text") -> DataFra
 
 
 def frequent_words(docs: DataFrame, definition: str, words: int = LEXICON_WORDS, text: str = "text") -> list[bytes]:
-    """At most `words` words, most frequent first, ties in byte order; counted over the whole table."""
-    rows = word_counts(docs, definition, text).orderBy(F.desc("n"), "word").limit(words).collect()
+    """At most `words` frequent words, most frequent first, ties in byte order; counted over the whole table."""
+    rows = word_counts(docs, definition, text).filter(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "word").limit(words).collect()
     return [bytes(r["word"]) for r in rows]
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, langid, quality, token_files, toxicity
+from sedimenta.llm import bpe, chat, langid, ngram_join, quality, token_files, toxicity
 from sedimenta.llm.common import held_out, shipped_file, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.ship(spark, quality.train(docs, table(spark, sf_dir, "labels")))
     return quality.score(docs, model, 0.3).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
