@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, langid, ngram_join, quality, token_files, toxicity
+from sedimenta.llm import bpe, chat, decontamination, langid, ngram_join, quality, token_files, toxicity
 from sedimenta.llm.common import held_out, shipped_file, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, as pairs of doc_id and item_id."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
