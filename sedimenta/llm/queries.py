@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, decontamination, langid, ngram_join, quality, token_files, toxicity
+from sedimenta.llm import bpe, chat, decontamination, langid, ngram_join, quality, token_files, topk, toxicity, unigram
 from sedimenta.llm.common import held_out, shipped_file, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,29 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, as pairs of doc_id and item_id."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+ORACLE["op4_top_k"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = unigram.ship(spark, unigram.vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
+    return unigram.token_counts(table(spark, sf_dir, "documents"), pieces)
