@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import as_arrow, blocks, local_copy, once, shipped
+from sedimenta.llm.common import as_arrow, blocks, local_copy, once, shipped, stored, suspected, without
 from sedimenta.session import scratch_path
 
 #: Passages are windows of so many words, one beginning every STRIDE words.
@@ -268,7 +268,9 @@ def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]]
 
     candidates = seen.mapInArrow(search, "doc_id long, item int, first int, cosine double")
     candidates = candidates.groupBy("doc_id").agg(F.collect_list(F.struct("item", "first", "cosine")).alias("hits"))
-    texts = docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text")).join(candidates, "doc_id")
+    candidates = stored(candidates, "candidates")
+    texts = suspected(docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text")), candidates, "doc_id")
+    texts = texts.join(candidates, "doc_id")
     leaks = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()), ("answered", pa.bool_())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,4 +315,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, identity: str = "doc_id", text:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, identity: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, with all their columns, of documents that hold no benchmark item."""
-    return docs.join(leaks(docs, benchmark, identity, text).select(F.col("doc_id").alias(identity)).distinct(), identity, "left_anti").select(docs.columns)
+    return without(docs, stored(leaks(docs, benchmark, identity, text).select(F.col("doc_id").alias(identity)), "leaks"), identity)

@@ -19,14 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from sedimenta.llm.common import as_arrow, blocks, once
+from sedimenta.llm.common import as_arrow, blocks, once, stored, suspected, without
 from sedimenta.llm.components import components
 from sedimenta.session import scratch_path
 
 #: Groups of a point of the R-tree, entries of its nodes.
 POINT_GROUPS, FANOUT = 64, 16
-#: Groups beyond the provable number, so that few documents have too many empty ones.
-SPARE = 2
 #: Sizes of one class differ by this factor at most.
 STEP = 1.5
 #: Documents and shingles of a block of a candidate cluster; larger clusters are compared block by block.
@@ -95,6 +93,12 @@ class Rule:
         """Least intersection of two linked sets."""
         return -(-total * self.num // (self.den + self.num))
 
+    def groups(self, top: int) -> int:
+        """Groups of a class with sets of up to `top`: more than can differ, and more than chance leaves empty."""
+        least = self.differing(2 * top) + 1
+        empty = least * np.exp(-top / least)
+        return least + 2 + int(np.ceil(empty + 5 * np.sqrt(empty)))
+
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         """The keys on which a set meets every other set that it links to."""
         size, out = len(shingles), []
@@ -103,7 +107,7 @@ class Rule:
         own = int(np.searchsorted(self.bounds, size, "right"))
         for c in (own, own + 1) if self.largest(size) >= self.bounds[own] else (own,):
             top = self.bounds[c] - 1
-            groups = self.differing(2 * top) + 1 + SPARE
+            groups = self.groups(top)
             group = ((shingles >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
             order = np.argsort(group, kind="stable")
             used, starts = np.unique(group[order], return_index=True)
@@ -242,7 +246,7 @@ def join_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     by_key = meetings.withColumn("least", F.expr("min(small) OVER (PARTITION BY key)")).filter(F.col("small") != F.col("least"))
     clusters = components(by_key.select(F.col("small").alias("a"), F.col("least").alias("b")))
 
-    members = firsts.select("doc_id", "n_shingles", "small").join(clusters, F.col("small") == F.col("node")).select("doc_id", "n_shingles", "small", F.col("label").alias("cluster"))
+    members = stored(firsts.select("doc_id", "n_shingles", "small").join(clusters, F.col("small") == F.col("node")).select("doc_id", "n_shingles", "small", F.col("label").alias("cluster")), "members")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("shingles"))
     number = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     placed = members.join(sizes.select("cluster", number.alias("blocks")), "cluster")
@@ -250,6 +254,7 @@ def join_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     placed = placed.select("doc_id", "cluster", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     placed = placed.select(F.col("doc_id").alias("_id"), "cluster", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"))
     texts = docs.select(F.col(identity).cast("long").alias("_id"), F.col(text).alias("text"))
+    texts = suspected(texts, members.select(F.col("doc_id").alias("_id")), "_id")
     links = _verified(texts.join(placed, "_id").select("cluster", "x", "y", "text"), words, rule)
 
     # rows of one id are linked through it
@@ -267,5 +272,5 @@ def join_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
 def one_of_each(docs: DataFrame, words: int, num: int, den: int, identity: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, with all their columns, that are the first of their component; rows without an id stay."""
     parts = join_components(docs, words, num, den, identity, text)
-    gone = parts.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(identity)).distinct()
-    return docs.join(gone, identity, "left_anti")
+    gone = parts.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(identity))
+    return without(docs, stored(gone, "copies"), identity)
