@@ -12,6 +12,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -171,14 +172,18 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, identity:
 
     def work(batch: pa.RecordBatch) -> dict:
         words, stats = read(texts_of(batch, "text"), once("quality reader", Reader))
-        return {"label": batch.column("label"), "words": words, "stats": stats.tolist()}
-
-    found = mapped(sample.select("label", "text"), "label int, words array<int>, stats array<double>", work, "text").toArrow().combine_chunks()
-    data = sorted(zip(found.column("label").to_pylist(), found.column("stats").to_pylist(), found.column("words").to_pylist()))
-    label = np.array([x[0] for x in data], np.float64)
-    weight = np.array([totals[x[0]] / max(1, (label == x[0]).sum()) for x in data])
-    words = [np.array(x[2], np.int32) for x in data]
-    return fit(words, np.array([x[1] for x in data]).reshape(len(data), len(STATISTICS)), label, weight)
+        return {"_id": batch.column("_id"), "label": batch.column("label"), "words": words, "stats": list(stats)}
+
+    kind = docs.schema[identity].dataType.simpleString()
+    schema = f"_id {kind}, label int, words array<int>, stats array<double>"
+    found = mapped(sample.select("_id", "label", "text"), schema, work, "text").toArrow().combine_chunks()
+    found = found.sort_by([("_id", "ascending"), ("label", "ascending")])
+    label = np.asarray(found.column("label")).astype(np.float64)
+    weight = np.array([totals[x] / max(1, (label == x).sum()) for x in label])
+    held = found.column("words").combine_chunks()
+    words = np.split(np.asarray(held.flatten()), np.cumsum(np.asarray(pc.list_value_length(held)))[:-1]) if len(label) else []
+    stats = np.asarray(found.column("stats").combine_chunks().flatten()).reshape(len(label), len(STATISTICS))
+    return fit(words, stats, label, weight)
 
 
 def ship(spark: SparkSession, machine: Machine) -> str:

@@ -13,6 +13,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,44 +114,55 @@ class Classifier:
         return out
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, members: int = MEMBERS, steps: int = 400, seed: int = 0) -> Classifier:
+class Presence:
+    """The features of texts, one array for all of them: little memory for a large sample."""
+
+    def __init__(self, sizes: np.ndarray, features: np.ndarray):
+        self.n, self.sizes, self.features = len(sizes), sizes, features
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.features, minlength=2 * BUCKETS)
+
+    def cells(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text and column of the features that have a column."""
+        columns = place[self.features]
+        some = columns >= 0
+        return np.repeat(np.arange(self.n), self.sizes)[some], columns[some]
+
+
+def fit(positive: Presence, unlabelled: Presence, prior: float, members: int = MEMBERS, steps: int = 400, seed: int = 0) -> Classifier:
     """Each member learns from all toxic texts and its own share of the unlabelled ones, for a smaller variance."""
-    p = np.bincount(np.concatenate([*positive, np.zeros(0, np.int64)]).astype(np.int64), minlength=2 * BUCKETS)
-    u = np.bincount(np.concatenate([*unlabelled, np.zeros(0, np.int64)]).astype(np.int64), minlength=2 * BUCKETS)
-    n_p, n_u = max(len(positive), 1), max(len(unlabelled), 1)
-    rate = (u + 1) / (n_u + 2)
+    p, n_p = positive.counts(), max(positive.n, 1)
+    rate = (unlabelled.counts() + 1) / (unlabelled.n + 2)
     excess = (p / n_p - rate) / np.sqrt(rate * (1 - rate) / n_p)
     purity = prior * (p / n_p) / rate
     good = np.flatnonzero((excess > EXCESS) & (p >= LEAST_TEXTS) & (purity >= PURITY))
     features = np.sort(good[np.lexsort((good, -excess[good]))][:FEATURES])
-    if not len(positive) or not len(unlabelled):
+    if not positive.n or not unlabelled.n:
         features = features[:0]
-    place = np.full(2 * BUCKETS, -1, np.int64)
+    place = np.full(2 * BUCKETS, -1, np.int32)
     place[features] = np.arange(len(features))
-
-    def matrix(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        cells = [place[t] for t in texts]
-        cells = [c[c >= 0] for c in cells]
-        return np.repeat(np.arange(len(texts)), [len(c) for c in cells]), np.concatenate([*cells, np.zeros(0, np.int64)])
+    rows_p, cols_p = positive.cells(place)
+    all_rows, all_cols = unlabelled.cells(place)
 
     weights, biases = [], []
     rnd = np.random.default_rng(seed)
-    rows_p, cols_p = matrix(positive)
     for k in range(members):
-        share = [unlabelled[i] for i in np.flatnonzero(rnd.integers(0, members, len(unlabelled)) != k)] or unlabelled
-        rows_u, cols_u = matrix(share)
+        mine = rnd.integers(0, members, unlabelled.n) != k
+        number, some = np.cumsum(mine) - 1, mine[all_rows]
+        rows_u, cols_u, n_u = number[all_rows[some]], all_cols[some], int(mine.sum())
         w, b = np.zeros(len(features)), float(np.log(prior / (1 - prior)))
         m = v = np.zeros(len(features) + 1)
         for step in range(1, steps + 1 if len(features) else 1):
-            f_p = b + np.bincount(rows_p, w[cols_p], len(positive))
-            f_u = b + np.bincount(rows_u, w[cols_u], len(share))
+            f_p = b + np.bincount(rows_p, w[cols_p], positive.n)
+            f_u = b + np.bincount(rows_u, w[cols_u], n_u)
             _, g_p, g_u = risk_step(f_p, f_u, prior)
             g = np.bincount(cols_p, g_p[rows_p], len(features)) + np.bincount(cols_u, g_u[rows_u], len(features)) + 1e-5 * w
             g = np.append(g, g_p.sum() + g_u.sum())
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
             w, b = w - move[:-1], b - move[-1]
-        scale, shift = calibrate(b + np.bincount(rows_p, w[cols_p], len(positive)), b + np.bincount(rows_u, w[cols_u], len(share)), prior)
+        scale, shift = calibrate(b + np.bincount(rows_p, w[cols_p], positive.n), b + np.bincount(rows_u, w[cols_u], n_u), prior)
         weights.append(scale * w)
         biases.append(scale * b + shift)
     return Classifier(features.tolist(), np.array(weights).reshape(members, -1), np.array(biases))
@@ -172,7 +184,7 @@ def calibrate(f_pos: np.ndarray, f_unl: np.ndarray, prior: float, steps: int = 1
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, plain_rows: int, identity: str, text: str) -> DataFrame:
-    """`(toxic boolean, features array<int>)`: bounded samples, by a hash of the id, of toxic rows and of all rows.
+    """`(_id, toxic boolean, features array<int>)`: bounded samples, by a hash of the id, of toxic rows and of all rows.
 
     The second sample is unlabelled: toxic rows are in it at their share. Ids alone are ranked, and the few
     chosen ones are sent to the texts.
@@ -187,9 +199,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, plain_row
 
     def work(batch: pa.RecordBatch) -> dict:
         features = once("toxicity features", _Features)
-        return {"toxic": batch.column("toxic"), "features": [sorted(features.of(t)) for t in texts_of(batch, "text")]}
+        found = [np.sort(np.fromiter(features.of(t), np.int32)) for t in texts_of(batch, "text")]
+        return {"_id": batch.column("_id"), "toxic": batch.column("toxic"), "features": found}
 
-    return mapped(sample.select("toxic", "text"), "toxic boolean, features array<int>", work, "text")
+    kind = docs.schema[identity].dataType.simpleString()
+    return mapped(sample.select("_id", "toxic", "text"), f"_id {kind}, toxic boolean, features array<int>", work, "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, plain_rows: int = PLAIN_ROWS, identity: str = "doc_id", text: str = "text") -> Classifier:
@@ -197,10 +211,12 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, plai
     known = labels.filter(learnable(identity, 3, 1) & F.col("toxic").isNotNull())
     count = known.agg(F.count("*").alias("n"), F.sum((F.col("toxic") == 1).cast("long")).alias("t")).first()
     prior = min(0.5, max(1e-3, (count["t"] or 0) / max(count["n"], 1)))
-    rows = training_rows(docs, labels, toxic_rows, plain_rows, identity, text).collect()
-    rows = sorted(((r["toxic"], r["features"]) for r in rows), key=lambda r: (r[0], r[1]))
-    lists = {kind: [np.array(f, np.int64) for t, f in rows if t is kind] for kind in (True, False)}
-    return fit(lists[True], lists[False], prior)
+    rows = training_rows(docs, labels, toxic_rows, plain_rows, identity, text).toArrow().combine_chunks().sort_by("_id")
+    kinds = {}
+    for kind in (True, False):
+        own = rows.filter(rows.column("toxic") if kind else pc.invert(rows.column("toxic"))).column("features").combine_chunks()
+        kinds[kind] = Presence(np.asarray(pc.list_value_length(own)), np.asarray(own.flatten()))
+    return fit(kinds[True], kinds[False], prior)
 
 
 def ship(spark: SparkSession, classifier: Classifier) -> str:
