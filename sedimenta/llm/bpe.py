@@ -21,7 +21,7 @@ LEXICON_WORDS = 1 << 16
 #: A word is frequent from so many occurrences on; keeps what tasks offer to the driver small.
 LEAST_COUNT = 8
 #: Chunks of text whose ids a worker remembers.
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 600_000
 _NONE = np.int32(2**31 - 1)
 
 # White_Space of Unicode. str.split() also splits at U+001C to U+001F.

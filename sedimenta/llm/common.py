@@ -39,6 +39,19 @@ def learnable(identity: str | Column, parts: int, part: int) -> Column:
     return F.coalesce(fold(identity, parts) != part, F.lit(False))
 
 
+def thinned(df: DataFrame, group: str, rows: int, hashed: Column) -> DataFrame:
+    """The rows that a sample of `rows` of each group is taken from: some four times as many, by a hash.
+
+    Groups are counted first, so that all tasks together offer a bounded number of rows, however many tasks there
+    are. Groups of up to that size stay whole; NULL groups go.
+    """
+    counts = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n")).collect()
+    if not counts:
+        return df.filter(F.lit(False))
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[group], min(1.0, (4 * rows + 100) / r["n"]))])
+    return df.filter(F.col(group).isNotNull() & (F.pmod(hashed, F.lit(1 << 30)) < share[F.col(group)] * (1 << 30)))
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about `limit` bytes; a longer text is a slice of its own."""
     if not batch.num_rows:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import learnable, local_copy, mapped, once, shipped
+from sedimenta.llm.common import learnable, local_copy, mapped, once, shipped, thinned
 
 #: Bytes that share one recurrent state; every byte of a text is in exactly one window.
 WINDOW = 64
@@ -210,13 +210,14 @@ class Detector:
 def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS, identity: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """`(lang, piece)`: at most `rows` rows of each language, from each a piece that begins anywhere in the text.
 
-    Which rows and where depends on a hash of the id only. The group limit runs before the shuffle, so a language
+    Which rows and where depends on a hash of the id only. Languages are thinned before the shuffle, so one
     with most of the table costs no more than the others.
     """
     hashed = F.xxhash64(F.col(identity).cast("string"))
     begin = F.pmod(F.shiftright(hashed, 8), F.greatest(F.length(text) - chars + 1, F.lit(1)).cast("long")).cast("int") + 1
     piece = F.substring(F.col(text), begin, F.lit(chars))
     known = docs.filter(learnable(identity, 5, 0) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    known = thinned(known, lang, rows, hashed)
     small = known.select(F.col(lang).alias("lang"), piece.alias("piece"), hashed.alias("_h"))
     first = Window.partitionBy("lang").orderBy("_h", "piece")
     return small.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= rows).select("lang", "piece")

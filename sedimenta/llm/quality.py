@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import learnable, local_copy, mapped, once, shipped, texts_of
+from sedimenta.llm.common import learnable, local_copy, mapped, once, shipped, texts_of, thinned
 
 BUCKETS, FACTORS = 1 << 15, 8
 #: Labelled rows of each class that are learned from: a bound on the driver's work.
@@ -166,8 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, identity:
     """
     known = labels.filter(learnable(identity, 5, 0) & F.col("quality").isin(0, 1)).select(F.col(identity).alias("_id"), F.col("quality").alias("label"))
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    first = Window.partitionBy("label").orderBy(F.xxhash64(F.col("_id").cast("string")), "_id")
-    chosen = known.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows).select("_id", "label")
+    rank = F.xxhash64(F.col("_id").cast("string"))
+    first = Window.partitionBy("label").orderBy(rank, "_id")
+    chosen = thinned(known, "label", rows, rank).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows).select("_id", "label")
     sample = docs.select(F.col(identity).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "_id")
 
     def work(batch: pa.RecordBatch) -> dict:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import blocks, learnable, local_copy, mapped, once, shipped, texts_of
+from sedimenta.llm.common import blocks, learnable, local_copy, mapped, once, shipped, texts_of, thinned
 
 #: Rows of each kind that are learned from, and classifiers that vote: bounds on the driver's work.
 TOXIC_ROWS, PLAIN_ROWS, MEMBERS = 4_000, 8_000, 3
@@ -193,8 +193,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, plain_row
     own = docs.filter(learnable(identity, 3, 1)).select(F.col(identity).alias("_id"), F.col(text).alias("text"))
     ids = own.select("_id").distinct()
     rank = F.xxhash64(F.col("_id").cast("string"))
-    confirmed = ids.join(toxic, "_id", "left_semi").orderBy(rank, "_id").limit(toxic_rows).withColumn("toxic", F.lit(True))
-    plain = ids.orderBy(rank, "_id").limit(plain_rows).withColumn("toxic", F.lit(False))
+    confirmed = thinned(ids.join(toxic, "_id", "left_semi").withColumn("toxic", F.lit(True)), "toxic", toxic_rows, rank)
+    plain = thinned(ids.withColumn("toxic", F.lit(False)), "toxic", plain_rows, rank)
+    confirmed, plain = confirmed.orderBy(rank, "_id").limit(toxic_rows), plain.orderBy(rank, "_id").limit(plain_rows)
     sample = own.join(F.broadcast(confirmed.unionByName(plain)), "_id")
 
     def work(batch: pa.RecordBatch) -> dict:
