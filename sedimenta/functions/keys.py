@@ -22,7 +22,7 @@ def surrogate_key(*columns: str | Column) -> Column:
 
 
 def content_hash(*columns: str | Column) -> Column:
-    """The same formula over attribute columns. Give doubles through `number_text`."""
+    """The same formula over attribute columns. Give doubles through `number_text`, which keeps every digit."""
     return surrogate_key(*columns)
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round through decimal(18,6): a binary tie such as 1.005 rounds by its decimal digits."""
-    return F.round(value.cast("decimal(18,6)"), digits).cast("double")
+    """Round by decimal digits, once, so that a binary tie such as 1.005 rounds up; values beyond 38 digits as doubles."""
+    exact = F.round(value.try_cast("decimal(38,18)"), digits).cast("double")
+    return F.coalesce(exact, F.round(value, digits))
 
 
 def ratio_to_limit(value: Column, limit: Column) -> Column:

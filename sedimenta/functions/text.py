@@ -37,27 +37,31 @@ def to_date(text: Column) -> Column:
 
 
 def number_text(column: str) -> Column:
-    """Shortest text of a DOUBLE column with at most six decimals: 2.5 -> '2.5', 3 -> '3.0', 0.00001 -> '1e-05'.
+    """Round-trip text of a DOUBLE column: 2.5 -> '2.5', 3 -> '3.0', 0.00001 -> '1e-05', 1e16 -> '1e+16'.
 
-    `cast(double as string)` switches to exponents at 1e-3 and 1e7, which would
-    change hashes and rendered texts; this form is stable up to 1e12. Where the
-    cast is plain and short it is taken as it is, decimals are built only for
-    the rest. One SQL text, because it is used on many columns at once.
+    No digit is dropped, so different values have different texts; `nan`, `inf` and `-inf` are texts and both zeros
+    are '0.0'. `cast(double as string)` switches to exponents at 1e-3 and 1e7, here they begin below
+    1e-4 and at 1e16. One SQL text, because it is used on many columns at once.
     """
     v = "`" + column.replace("`", "``") + "`"
-    digits = f"rtrim('0', cast(cast({v} AS decimal(18,6)) AS string))"
-    plain = f"if({digits} LIKE '%.', concat({digits}, '0'), {digits})"
-    # whole millionths of a value below 1e-4
-    micros = f"abs(cast(round(cast({v} AS decimal(18,6)) * 1000000, 0) AS bigint))"
-    sign = f"if({v} < 0, '-', '')"
+    text = f"cast(abs({v}) AS string)"
+    mantissa = f"substring_index({text}, 'E', 1)"
+    short = f"if({mantissa} LIKE '%.0', left({mantissa}, length({mantissa}) - 2), {mantissa})"
+    power = f"cast(substring_index({text}, 'E', -1) AS int)"
+    digits = f"replace({short}, '.', '')"
+    size = f"cast(abs({power}) AS string)"
     return F.expr(
         f"""CASE
-        WHEN abs({v}) >= 0.001D AND abs({v}) < 1e7D AND length(substring_index(cast({v} AS string), '.', -1)) <= 6
-          THEN cast({v} AS string)
-        WHEN abs({v}) >= 0.0001D OR {v} = 0 OR {micros} = 0 OR {micros} >= 100 THEN {plain}
-        WHEN {micros} < 10 THEN concat({sign}, {micros}, 'e-06')
-        WHEN {micros} % 10 = 0 THEN concat({sign}, {micros} div 10, 'e-05')
-        ELSE concat({sign}, {micros} div 10, '.', {micros} % 10, 'e-05')
+        WHEN isnan({v}) THEN 'nan'
+        WHEN {v} = 0 THEN '0.0'
+        WHEN abs({v}) >= 0.001D AND abs({v}) < 1e7D THEN cast({v} AS string)
+        WHEN {v} IS NOT NULL THEN concat(if({v} < 0, '-', ''), CASE
+          WHEN abs({v}) = double('Infinity') THEN 'inf'
+          WHEN abs({v}) >= 1e7D AND abs({v}) < 1e16D THEN
+            if(length({digits}) <= {power} + 1, concat(rpad({digits}, {power} + 1, '0'), '.0'),
+               concat(left({digits}, {power} + 1), '.', substr({digits}, {power} + 2)))
+          WHEN abs({v}) >= 0.0001D AND abs({v}) < 0.001D THEN concat('0.000', {digits})
+          ELSE concat({short}, if({power} < 0, 'e-', 'e+'), if(length({size}) < 2, '0', ''), {size}) END)
         END"""
     )
 

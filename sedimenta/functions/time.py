@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: instants are written with literal zero milliseconds.
-ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss'.000Z'"
-
 
 def session_ordinal(year: Column, week: Column) -> Column:
     """year*100 + week: a sortable number for a weekly session."""
@@ -21,12 +18,17 @@ def year_from_position(column_name: Column, base_year: Column | int, weeks_in_fi
     return F.when(position <= weeks_in_first_year, base).otherwise(base + 1).cast("int")
 
 
+def _iso(utc: Column) -> Column:
+    """Text of a zone-less time. Formatting it would read it in the session's zone, where some times do not exist."""
+    return F.concat(F.substring(F.replace(utc.cast("string"), F.lit(" "), F.lit("T")), 1, 19), F.lit(".000Z"))
+
+
 def utc_iso(moment: Column) -> Column:
     """ISO-8601 text in UTC of an instant, whatever the session zone is."""
-    return F.date_format(F.to_utc_timestamp(moment.cast("timestamp"), F.current_timezone()), ISO_INSTANT)
+    since = F.make_dt_interval(secs=F.unix_seconds(moment.cast("timestamp")).cast("decimal(18,6)"))
+    return _iso(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since)
 
 
 def local_to_utc(civil: Column, zone: str) -> Column:
     """ISO-8601 UTC text of a civil (zone-less) time read in `zone`."""
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), civil.cast("timestamp_ntz"))
-    return F.date_format(utc, ISO_INSTANT)
+    return _iso(F.convert_timezone(F.lit(zone), F.lit("UTC"), civil.cast("timestamp_ntz")))

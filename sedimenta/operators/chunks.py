@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sedimenta.functions.keys import fingerprint, hmac_sha256, joined_key
 from sedimenta.functions.text import number_text
-from sedimenta.operators.lookup import bounded_lookup, distinct_for_join
+from sedimenta.operators.lookup import distinct_for_join, local_rows
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources.registry import Rule
 
@@ -195,16 +195,32 @@ def decrypt(text: Column, key: bytes) -> Column:
 
 
 def upsert_chunks(stored: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """Stored chunks replaced by new ones of the same id; chunks absent from `new` stay."""
-    return stored.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+    """Stored chunks replaced by new ones of the same id; chunks absent from `new` stay. Of repeated new ids one counts."""
+    return stored.join(distinct_for_join(new, key), key, "left_anti").unionByName(one_per_id(new, key))
 
 
-def one_per_id(chunks: DataFrame) -> DataFrame:
-    """One chunk per id: the latest, then the lowest content hash, so that a repeated run keeps the same one."""
-    window = Window.partitionBy("chunk_id").orderBy(F.col("fecha_creacion").desc(), F.col("hash_contenido"))
+def one_per_id(chunks: DataFrame, key: str = "chunk_id") -> DataFrame:
+    """One chunk per id: the latest, then the least by content hash, signature and all other fields.
+
+    Personal values are not in the text, so rows of different people can have one hash; the whole row as text ends
+    the order, and the same chunk is kept whatever the order of the input.
+    """
+    names = [c for c in ("hash_contenido", "firma_hmac") if c in chunks.columns]
+    rest = F.to_json(F.struct(*sorted(c for c in chunks.columns if c not in (key, "fecha_creacion", *names))), {"ignoreNullFields": "false"})
+    latest = [F.col("fecha_creacion").desc()] if "fecha_creacion" in chunks.columns else []
+    window = Window.partitionBy(key).orderBy(*latest, *names, rest)
     return chunks.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
+def inherit_chunks(chunks: DataFrame, heirs: Mapping[str, str]) -> DataFrame:
+    """Chunks of replaced rules under the rule that inherits them: `heirs` maps old rule id -> new one. Others stay."""
+    rule = F.col("regla_id")
+    heir = rule
+    for old, new in heirs.items():
+        heir = F.when(rule == old, F.lit(new)).otherwise(heir)
+    return chunks.withColumn("regla_id", heir)
+
+
 def valid_chunks(chunks: DataFrame, now_epoch: int | Column) -> DataFrame:
     """Chunks that have not expired; -1 never does."""
     now = F.lit(now_epoch) if isinstance(now_epoch, int) else now_epoch
@@ -218,7 +234,7 @@ def forget(chunks: DataFrame, people: DataFrame) -> DataFrame:
     `etiquetas` keeps it and drops those entries from `pii_tokens`.
     Entries are looked up as rows `(chunk, entry)`, so the forget list may be large.
     """
-    values = bounded_lookup(distinct_for_join(people, "valor"))
+    values = distinct_for_join(people, "valor")
     hits = (
         chunks.select("chunk_id", F.explode("pii_tokens").alias("_name", "valor"))
         .join(values, "valor", "left_semi")
@@ -233,15 +249,25 @@ def forget(chunks: DataFrame, people: DataFrame) -> DataFrame:
     return kept.withColumn("pii_tokens", cleaned).drop("_hit")
 
 
-def rule_quality(chunks: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Chunk count of every rule that produced chunks, against its expected range."""
-    low, high = F.lit(None).cast("long"), F.lit(None).cast("long")
-    for rule in rules:
-        low = F.when(F.col("regla_id") == rule.id, F.lit(rule.expected_min)).otherwise(low)
-        high = F.when(F.col("regla_id") == rule.id, F.lit(rule.expected_max)).otherwise(high)
+def rule_quality(chunks: DataFrame, rules: Sequence[Rule], recall: DataFrame | None = None) -> DataFrame:
+    """Chunk count of every rule, also of those without chunks, against its expected range.
+
+    `recall` holds measured recall as `(regla_id, recall)`; then a rule must also reach its `recall_min`. A
+    rule without a measurement has a NULL recall and does not comply.
+    """
+    declared = local_rows(
+        chunks.sparkSession,
+        [(r.id, r.expected_min, r.expected_max, r.recall_min) for r in rules],
+        "regla_id string, esperado_min long, esperado_max long, recall_min double",
+    )
     counts = chunks.groupBy("regla_id").agg(F.count("*").alias("chunks"))
-    ranged = counts.withColumn("esperado_min", low.cast("long")).withColumn("esperado_max", high.cast("long"))
-    return ranged.withColumn("cumple", F.col("chunks").between(F.col("esperado_min"), F.col("esperado_max")))
+    ranged = declared.join(counts, "regla_id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(0).cast("long")))
+    complies = F.col("chunks").between(F.col("esperado_min"), F.col("esperado_max"))
+    if recall is None:
+        return ranged.select("regla_id", "chunks", "esperado_min", "esperado_max", complies.alias("cumple"))
+    measured = ranged.join(recall.select("regla_id", "recall"), "regla_id", "left")
+    complies = complies & F.coalesce(F.col("recall") >= F.col("recall_min"), F.lit(False))
+    return measured.select("regla_id", "chunks", "esperado_min", "esperado_max", "recall", "recall_min", complies.alias("cumple"))
 
 
 def recall_at_k(retrieved: DataFrame, relevant: DataFrame, query: str, item: str) -> DataFrame:

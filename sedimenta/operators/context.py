@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.operators.lookup import bounded_lookup
 from sedimenta.operators.ranking import last_n
 from sedimenta.sources import fixed_values as fv
 
@@ -23,7 +22,7 @@ def context_text(ranked: DataFrame, texts: DataFrame, query_id: str = "query_id"
 
     `ranked` has at most k rows per query, `(query_id, item, rn)`.
     """
-    found = texts.select(item, "texto").join(bounded_lookup(ranked.select(query_id, item, "rn")), item, "inner")
+    found = texts.select(item, "texto").join(ranked.select(query_id, item, "rn"), item, "inner")
     lists = found.groupBy(query_id).agg(F.array_sort(F.collect_list(F.struct("rn", "texto"))).alias("_texts"))
     body = F.array_join(F.transform("_texts", lambda x: x["texto"]), "\n")
     return lists.select(query_id, F.concat_ws("\n", F.lit(fv.CONTEXT_MARK), body).alias("contexto"))

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators.lookup import bounded_lookup, distinct_for_join, local_rows
+from sedimenta.operators.lookup import distinct_for_join, local_rows
 from sedimenta.sources import fixed_values as fv
 
 GRANTS_SCHEMA = "user_id string, dimension string, granted string"
@@ -46,7 +46,7 @@ def expand_grants(grants: DataFrame, members: DataFrame) -> DataFrame:
     """Concrete values per user and dimension: groups become their members, values stay."""
     by_group = members.select("dimension", F.col("grupo").alias("granted"), "valor")
     return (
-        grants.join(bounded_lookup(by_group), ["dimension", "granted"], "left")
+        grants.join(by_group, ["dimension", "granted"], "left")
         .select("user_id", "dimension", F.coalesce("valor", "granted").alias("valor"))
         .distinct()
     )
@@ -61,21 +61,11 @@ def governed(df: DataFrame, expanded: DataFrame, user_id: str, required: Mapping
     out = df
     for dimension, column in required.items():
         allowed = expanded.filter((F.col("user_id") == user_id) & (F.col("dimension") == dimension))
-        allowed = bounded_lookup(distinct_for_join(allowed.select(F.col("valor").alias(column)), column))
+        allowed = distinct_for_join(allowed.select(F.col("valor").alias(column)), column)
         out = out.join(allowed, column, "left_semi")
     return out
 
 
-def governed_for_all(df: DataFrame, expanded: DataFrame, required: Mapping[str, str]) -> DataFrame:
-    """`(user_id, row)` for every user that may see the row in all required dimensions."""
-    out = df
-    for i, (dimension, column) in enumerate(required.items()):
-        granted = expanded.filter(F.col("dimension") == dimension).select("user_id", F.col("valor").alias(column))
-        allowed = bounded_lookup(distinct_for_join(granted, "user_id", column))
-        out = out.join(allowed, [column] if i == 0 else ["user_id", column], "inner" if i == 0 else "left_semi")
-    return out.select("user_id", *df.columns)
-
-
 def clearance_rank(value: Column, order: Sequence[str] = fv.CLEARANCES) -> Column:
     """Position of an ordinal value, NULL for an unknown one."""
     rank = F.lit(None).cast("int")

@@ -55,10 +55,13 @@ def scd2_snapshot(
 
     All joins are semi or anti joins, so repeated keys never multiply, and the
     build sides are reduced to distinct keys first. Columns new to the source
-    (a sheet grows by one column per week) are added, NULL in old versions.
+    (a sheet grows by one column per week) are added, NULL in old versions, and may be
+    check columns at once. Closing a version sets its end only.
     """
     moment = _moment(now)
     compared = list(dict.fromkeys([*key, *check_cols]))
+    grown = {c: F.lit(None).cast(source.schema[c].dataType) for c in source.columns if c not in versions.columns}
+    versions = versions.withColumns(grown) if grown else versions
     open_rows = versions.filter(F.col(VALID_TO).isNull())
     closed_rows = versions.filter(F.col(VALID_TO).isNotNull())
 
@@ -78,8 +81,7 @@ def scd2_snapshot(
     )
     superseded = F.col("_same").isNull() & F.col("_known")
     kept = marked.select(
-        *[c for c in versions.columns if c not in (UPDATED_AT, VALID_TO)],
-        F.when(superseded, moment).otherwise(F.col(UPDATED_AT)).alias(UPDATED_AT),
+        *[c for c in versions.columns if c != VALID_TO],
         F.when(superseded, moment).alias(VALID_TO),
     )
     return closed_rows.unionByName(kept).unionByName(opened, allowMissingColumns=True)

@@ -1,13 +1,9 @@
-"""Small-side handling and range lookups.
+"""Lookups in small sides and value ranges.
 
-No operator hints a broadcast on trust. `bounded_lookup` reads a derived small
-side up to a row bound: within it the join gets a local relation whose exact
-size Spark checks against its own broadcast threshold; beyond it the frame is
-returned as it is and the join shuffles, with skewed partitions split at run time.
-
-That splitting works on a join's own shuffles only. A join on the keys of an
-aggregate below it adopts the aggregate's partitioning instead and a hot key on
-the other side stays in one task, so build sides are grouped by `grouped_for_join`.
+No operator collects a side or hints a broadcast: frames stay lazy, and AQE chooses broadcast or shuffle from the
+sizes it measures, splitting skewed partitions of a join's own shuffles. A join on the keys of an
+aggregate below it adopts the aggregate's partitioning instead and a hot key on the other side would stay in one
+task, so build sides are grouped by `grouped_for_join`.
 """
 
 from __future__ import annotations
@@ -20,9 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-MAX_LOOKUP_ROWS = 10_000
-MAX_BANDS = 64
-
 
 def local_rows(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType) -> DataFrame:
     """A local relation from a few driver rows (its statistics are exact)."""
@@ -33,14 +26,6 @@ def local_rows(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.St
     return spark.createDataFrame(table, schema=struct)
 
 
-def bounded_lookup(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
-    """`df` as a local relation if it has at most `max_rows` rows, else `df` itself."""
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
-
-
 def grouped_for_join(df: DataFrame, *keys: str) -> GroupedData:
     """Groups by the keys, in a partitioning no join on those keys can adopt."""
     return df.groupBy(*keys, F.xxhash64(*keys).alias("_spread"))
@@ -56,59 +41,22 @@ def internal_limit(bands: DataFrame) -> DataFrame:
     return bands.filter("es_sobre_limite_interno").agg(F.min("concentracion_min_mg_m3").alias("mg_m3"))
 
 
-def band_lookup(df: DataFrame, bands: DataFrame, value: str, columns: dict[str, str], max_bands: int = MAX_BANDS) -> DataFrame:
-    """Left range lookup: bands with min <= value < max (open top when max is NULL).
+def band_lookup(df: DataFrame, bands: DataFrame, value: str, columns: dict[str, str], cells: int = 1024) -> DataFrame:
+    """Left range lookup: bands with min <= value < max (open top when max is NULL), NaN above every number.
 
-    `columns` maps band column -> output name. A few bands become one CASE per
-    output column, evaluated inside the scan's stage with no join at all. Bands
-    that overlap (a value may match several) or are many go through
-    `band_range_join`.
-    """
-    rows = bands.limit(max_bands + 1).collect()
-    if len(rows) > max_bands or not _disjoint(rows):
-        return band_range_join(df, bands, value, columns)
-    out = df
-    for source, name in columns.items():
-        dtype = bands.schema[source].dataType
-        case: Column | None = None
-        for row in rows:
-            match = F.col(value) >= row["concentracion_min_mg_m3"]
-            if row["concentracion_max_mg_m3"] is not None:
-                match &= F.col(value) < row["concentracion_max_mg_m3"]
-            result = F.lit(row[source]).cast(dtype)
-            case = F.when(match, result) if case is None else case.when(match, result)
-        out = out.withColumn(name, F.lit(None).cast(dtype) if case is None else case)
-    return out
-
-
-def _disjoint(rows: list) -> bool:
-    """Whether no value can fall in two of the bands."""
-    bounds = []
-    for row in rows:
-        low, high = row["concentracion_min_mg_m3"], row["concentracion_max_mg_m3"]
-        if low is None:
-            continue
-        bounds.append((low, float("inf") if high is None else high))
-    bounds.sort()
-    return all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))
-
-
-def band_range_join(df: DataFrame, bands: DataFrame, value: str, columns: dict[str, str], cells: int = 1024) -> DataFrame:
-    """The same lookup for any number of bands, as an equi-join on value cells.
-
-    The finite span of the bands is cut in equal cells. A band is repeated for
-    the cells it touches and a value goes to one cell; both are clamped to the
-    span by the same monotone formula, so every match meets in a cell and the
-    exact bounds are tested there.
+    `columns` maps band column -> output name. Any number of bands, overlapping or not, as an equi-join on value
+    cells: the finite span of the bands is cut in equal cells, a band is repeated for the cells it touches and a
+    value goes to one cell. Both are clamped to the span by the same monotone formula, so every match meets in
+    a cell and the exact bounds are tested there.
     """
     low, high = F.col("concentracion_min_mg_m3"), F.col("concentracion_max_mg_m3")
-    span = bands.agg(
-        F.min(low).alias("from"), F.greatest(F.max(low), F.max(high)).alias("to")
-    ).select("from", ((F.col("to") - F.col("from")) / cells).alias("width"))
+    span = bands.agg(F.min(low).alias("from"), F.greatest(F.max(low), F.max(high)).alias("to")).select(
+        "from", ((F.col("to") - F.col("from")) / cells).alias("width")
+    )
     start, width = span.select("from").scalar(), span.select("width").scalar()
 
     def cell(v: Column) -> Column:
-        position = F.when(width > 0, F.floor((v - start) / width)).otherwise(F.lit(0))
+        position = F.when(F.isnan(v), F.lit(cells)).when(width > 0, F.floor((v - start) / width)).otherwise(F.lit(0))
         return F.greatest(F.lit(0), F.least(F.lit(cells), position)).cast("int")
 
     last = F.when(high.isNull(), F.lit(cells)).otherwise(cell(high))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.operators.chunks import chunk_id
+from sedimenta.operators.lookup import local_rows
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources.registry import Rule
 
@@ -94,29 +95,28 @@ def expectations(rules: Sequence[Rule], minimum: dict[str, int] = SUITE_MIN_CHUN
     ]
 
 
-def chunk_checks(chunks: DataFrame, expected: Sequence[ChunkExpectation]) -> DataFrame:
-    """Per rule that produced chunks: enough of them, tags as required, personal keys exactly as declared."""
-    minimum, bad_tags, bad_keys = F.lit(0), F.lit(False), F.lit(False)
+def chunk_checks(chunks: DataFrame, expected: Sequence[ChunkExpectation], total_min: int | None = None) -> DataFrame:
+    """Per expected rule, also without chunks: enough of them, tags as required, personal keys exactly as declared.
+
+    `total_min` adds a TOTAL row with the overall minimum.
+    """
+    bad_tags, bad_keys = F.lit(False), F.lit(False)
     for e in expected:
         mine = F.col("regla_id") == e.rule.id
-        minimum = F.when(mine, F.lit(e.min_chunks)).otherwise(minimum)
         wrong = F.lit(False)
         for name, value in e.tags.items():
             wrong = wrong | ~F.col("dimensiones")[name].eqNullSafe(F.lit(value))
         bad_tags = F.when(mine, wrong).otherwise(bad_tags)
         keys = F.array(*[F.lit(p) for p in sorted(e.rule.pii)]).cast("array<string>")
-        bad_keys = F.when(mine, F.array_sort(F.map_keys("pii_tokens")) != keys).otherwise(bad_keys)
-    return (
-        chunks.withColumn("_min", minimum)
-        .groupBy("regla_id")
-        .agg(
-            F.count("*").alias("chunks"),
-            F.max("_min").alias("min_chunks"),
-            F.count_if(bad_tags).alias("tags_erroneos"),
-            F.count_if(bad_keys).alias("pii_erronea"),
-        )
-        .withColumn(
-            "cumple",
-            (F.col("chunks") >= F.col("min_chunks")) & (F.col("tags_erroneos") == 0) & (F.col("pii_erronea") == 0),
-        )
+        bad_keys = F.when(mine, ~F.array_sort(F.map_keys("pii_tokens")).eqNullSafe(keys)).otherwise(bad_keys)
+    declared = local_rows(chunks.sparkSession, [(e.rule.id, e.min_chunks) for e in expected], "regla_id string, min_chunks int")
+    found = chunks.groupBy("regla_id").agg(
+        F.count("*").alias("chunks"), F.count_if(bad_tags).alias("tags_erroneos"), F.count_if(bad_keys).alias("pii_erronea")
     )
+    counts = ["chunks", "tags_erroneos", "pii_erronea"]
+    rows = declared.join(found, "regla_id", "left").fillna(0, counts).select("regla_id", "min_chunks", *counts)
+    if total_min is not None:
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]
+        rows = rows.unionByName(rows.agg(*sums).select(F.lit("TOTAL").alias("regla_id"), F.lit(total_min).alias("min_chunks"), *counts))
+    enough = F.col("chunks") >= F.col("min_chunks")
+    return rows.withColumn("cumple", enough & (F.col("tags_erroneos") == 0) & (F.col("pii_erronea") == 0))

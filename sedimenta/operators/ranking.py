@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.time import session_ordinal
-from sedimenta.operators.lookup import bounded_lookup, grouped_for_join
+from sedimenta.operators.lookup import grouped_for_join
 
 # Rows of equal concentration: the later session wins, then the greater text.
 PEAK_ORDER = (
@@ -41,7 +41,6 @@ def keep_latest(measurements: DataFrame, sessions: DataFrame, by: Sequence[str]
     if not by:
         newest = latest.scalar()
         return measurements.filter((F.col("anio") == F.floor(newest / 100)) & (ordinal == newest))
-    latest = bounded_lookup(latest)
     oldest = latest.agg(F.min("sesion_max")).scalar()
     return (
         measurements.filter(F.col("anio") >= F.floor(oldest / 100))
@@ -60,9 +59,8 @@ def peak_per_group(measurements: DataFrame, by: Sequence[str] = ("planta",), ord
     a struct maximum over the few rows left, combined on the map side.
     """
     value = order[0]
-    tops = bounded_lookup(
-        grouped_for_join(measurements, *by).agg(F.max(value).alias("_top")).filter(F.col("_top").isNotNull()).drop("_spread")
-    )
+    grouped = grouped_for_join(measurements, *by).agg(F.max(value).alias("_top"))
+    tops = grouped.filter(F.col("_top").isNotNull()).drop("_spread")
     lowest = tops.agg(F.min("_top")).scalar()
     keys = tops.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_top")
     same = F.col(value) == F.col("_top")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.text import blank_to_null, to_date, to_double, to_int
 from sedimenta.functions.time import utc_iso, year_from_position
-from sedimenta.operators.lookup import bounded_lookup
 from sedimenta.sources import fixed_values as fv
 
 
@@ -114,12 +113,12 @@ def wide_to_bronze(
     (the plant alone if empty: two sheets of one plant need their own id).
     `base_year` is a number or the name of a column with the sheet's first year;
     `source` names a column with the sheet's source.
-    The header lookup has one row per sheet and column, so it is bounded by the
-    sheet count times the sheet width and is checked before the join.
+    The header lookup has one row per sheet and column; whether it is sent to all
+    tasks or shuffled is decided at run time from its size.
     """
     ids = list(dict.fromkeys([plant, *sheet, *([source] if source else []), *([base_year] if isinstance(base_year, str) else [])]))
     long = unpivot_weeks(wide, [*ids, "etiqueta"])
-    headers = bounded_lookup(column_headers(long, ids))
+    headers = column_headers(long, ids)
     joined = measurement_filter(long, ids).join(headers, [*ids, "col_nombre"], "inner")
     year = year_from_position(
         F.col("col_nombre"), F.col(base_year) if isinstance(base_year, str) else base_year, weeks_in_first_year
@@ -154,9 +153,17 @@ def stack_sheets(sheets: dict[str, DataFrame], plants: dict[str, str]) -> DataFr
     return stacked
 
 
-def pivot_cells(cells: DataFrame, row: Sequence[str], width: int) -> DataFrame:
-    """Cells `(row..., columna, valor)` -> `row..., column01..`; sheet column 2 is `column01`."""
-    packed = pack_rows(cells.filter(F.col("columna").between(2, width + 1)), row)
+def pivot_cells(cells: DataFrame, row: Sequence[str], width: int | None = None) -> DataFrame:
+    """Cells `(row..., columna, valor)` -> `row..., column01..`; sheet column 2 is `column01`.
+
+    The frame is as wide as the rightmost cell; a known `width` saves looking for it and must not be smaller.
+    """
+    if width is None:
+        width = (cells.agg(F.max("columna").alias("n")).first()["n"] or 1) - 1
+    packed = pack_rows(cells.filter(F.col("columna") >= 2), row)
+    beyond = F.exists(F.map_keys("_cells"), lambda k: k > width + 1)
+    checked = F.when(beyond, F.raise_error(F.lit(f"a cell lies right of column {width}"))).otherwise(F.col("_cells"))
+    packed = packed.withColumn("_cells", checked)
     return packed.select(*row, *[F.col("_cells")[i + 1].alias(f"column{i:02d}") for i in range(1, width + 1)])
 
 
@@ -181,26 +188,20 @@ def sheet_widths(cells: DataFrame, first_row: int = 2) -> DataFrame:
     )
 
 
-def sheet_to_wide(cells: DataFrame, max_columns: int, first_row: int = 2) -> DataFrame:
+def sheet_to_wide(cells: DataFrame, first_row: int = 2) -> DataFrame:
     """Wide rows from a cell table `(hoja, fila, columna, valor)` with text values.
 
-    Title rows go, rows without a label go, sheets without data columns go; empty
-    cells inside the width become '' and columns outside it NULL.
+    The frame is as wide as the widest header row, which is looked up first. Title rows go, rows without a label go,
+    sheets without data columns go; empty cells inside a sheet's own width become '' and columns outside it NULL.
     """
-    body = cells.filter((F.col("fila") >= first_row) & F.col("columna").between(1, max_columns + 1))
-    rows = pack_rows(body, ["hoja", "fila"]).select(
-        "hoja",
-        "fila",
-        F.col("_cells")[1].alias("etiqueta"),
-        *[F.col("_cells")[i + 1].alias(f"column{i:02d}") for i in range(1, max_columns + 1)],
-    )
-    joined = rows.filter(F.col("etiqueta").isNotNull()).join(
-        bounded_lookup(sheet_widths(cells, first_row)), "hoja", "inner"
-    )
-    names = [f"column{i:02d}" for i in range(1, max_columns + 1)]
+    widths = sheet_widths(cells, first_row)
+    width = widths.agg(F.max("n_columnas").alias("n")).first()["n"] or 0
+    body = cells.filter((F.col("fila") >= first_row) & F.col("columna").between(1, width + 1))
+    rows = pack_rows(body, ["hoja", "fila"]).withColumn("etiqueta", F.col("_cells")[1]).filter(F.col("etiqueta").isNotNull())
+    joined = rows.join(widths, "hoja", "inner")
     inside = [
-        F.when(F.lit(i) <= F.col("n_columnas"), F.coalesce(F.col(name), F.lit(""))).alias(name)
-        for i, name in enumerate(names, start=1)
+        F.when(F.lit(i) <= F.col("n_columnas"), F.coalesce(F.col("_cells")[i + 1], F.lit(""))).alias(f"column{i:02d}")
+        for i in range(1, width + 1)
     ]
     return joined.select("hoja", "fila", "etiqueta", *inside)
 

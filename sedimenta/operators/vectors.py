@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - makes pa.compute available in tasks
+from pyarrow import dataset, fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from sedimenta.session import scratch_path
 from sedimenta.sources import fixed_values as fv
 
-MAX_QUERIES = 2048
+#: Queries of one matrix in a task.
+QUERY_BLOCK = 2048
+#: Products of whole blocks are exact to this; what is nearer to the k-th best is computed again, pair by pair.
+MARGIN = 1e-9
 
 
 def validate_vectors(vectors: DataFrame, size: int = fv.EMBEDDING_SIZE, vector: str = "embedding") -> DataFrame:
@@ -33,89 +37,74 @@ def top_k(
     vector: str = "embedding",
     min_score: float | None = None,
     digits: int = 6,
-    max_queries: int = MAX_QUERIES,
-    _seed: int = 0,
 ) -> DataFrame:
     """The `k` most similar vectors of every query: `(query_id, vec_id, score, rn)`.
 
-    Exact. Vectors stay where they are: each task scores its own Arrow batches
-    against the query matrix and keeps `k` rows per query, and only those are
-    shuffled. The score is rounded before ranking, equal scores rank by id.
-    NULL, zero and wrongly sized vectors have no cosine and are left out.
-
-    The query matrix travels with the tasks, so its size is checked: more than
-    `max_queries` queries are split by hash and answered slice by slice.
+    Exact, in one scan of the vectors for any number of queries. Vectors stay where they are: queries are written to
+    the shared folder, and each task reads them block by block, scores its own Arrow batches against a
+    block and keeps `k` rows per query and batch; only those are shuffled. Ranks and `min_score` go by the full
+    score, equal scores by id; the score shown has `digits` decimals. NULL, zero and wrongly sized vectors
+    have no cosine and are left out.
     """
-    wanted = queries.select(query_id, vector).dropDuplicates([query_id])
-    head = wanted.limit(max_queries + 1).toArrow()
-    if head.num_rows > max_queries:
-        slices = max(2, ceil(wanted.count() / (max_queries / 2)))
-        bucket = F.pmod(F.xxhash64(F.col(query_id), F.lit(_seed)), F.lit(slices))
-        out: DataFrame | None = None
-        for i in range(slices):
-            part = top_k(
-                vectors, wanted.filter(bucket == i), k, vector_id, query_id, vector, min_score, digits, max_queries, _seed + 1
-            )
-            out = part if out is None else out.unionByName(part)
-        return out
-
-    rows = [(q, np.asarray(v, dtype=np.float64)) for q, v in zip(*[head.column(i).to_pylist() for i in (0, 1)]) if v]
-    rows = [(q, v / n) for q, v in rows if (n := np.linalg.norm(v)) > 0]
-    id_field, query_field = vectors.schema[vector_id], queries.schema[query_id]
+    path = scratch_path(vectors.sparkSession, "queries")
+    queries.select(query_id, vector).dropDuplicates([query_id]).write.parquet(path)
     schema = T.StructType(
         [
-            T.StructField(query_id, query_field.dataType),
-            T.StructField(vector_id, id_field.dataType),
+            T.StructField(query_id, queries.schema[query_id].dataType),
+            T.StructField(vector_id, vectors.schema[vector_id].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
-    partial = vectors.select(vector_id, vector).mapInArrow(_scorer(rows, k, min_score, digits, to_arrow_schema(schema)), schema)
+    partial = vectors.select(vector_id, vector).mapInArrow(_scorer(path, k, min_score, to_arrow_schema(schema)), schema)
     window = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(vector_id))
-    return partial.withColumn("rn", F.row_number().over(window)).filter(F.col("rn") <= k)
+    ranked = partial.withColumn("rn", F.row_number().over(window)).filter(F.col("rn") <= k)
+    return ranked.withColumn("score", F.round("score", digits))
+
+
+def _query_blocks(path: str) -> Iterator[tuple[pa.Array, dict[int, tuple[np.ndarray, np.ndarray]]]]:
+    """Ids and unit vectors of the written queries, by length of the vector."""
+    store, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    for batch in dataset.dataset(place, filesystem=store, format="parquet").to_batches(batch_size=QUERY_BLOCK):
+        yield batch.column(0), dict(_unit(batch.column(1)))
+
 
+def _unit(lists: pa.Array) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+    """For each length: the rows that have it and a norm, and their unit vectors."""
+    sizes = np.asarray(pa.compute.list_value_length(lists).fill_null(0))
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        rows = np.flatnonzero(sizes == size)
+        flat = lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+        norm = np.linalg.norm(flat, axis=1)
+        good = norm > 0
+        yield size, (rows[good], flat[good] / norm[good, None])
 
-def _scorer(rows: list, k: int, min_score: float | None, digits: int, schema: pa.Schema):
-    """Per-task top-k: a matrix product per batch and a running best list per query."""
-    by_size: dict[int, tuple[list[int], np.ndarray]] = {}
-    for size in {len(v) for _, v in rows}:
-        index = [i for i, (_, v) in enumerate(rows) if len(v) == size]
-        by_size[size] = (index, np.stack([rows[i][1] for i in index], axis=1))
-    names = [q for q, _ in rows]
 
-    def best(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(scores) > k:
-            edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-            near = scores >= edge
-            ids, scores = ids[near], scores[near]
-        order = np.lexsort((ids, -scores))[:k]
-        return ids[order], scores[order]
+def _scorer(path: str, k: int, min_score: float | None, schema: pa.Schema):
+    """Per batch and query: the k best by a matrix product with a margin, settled pair by pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            lists = batch.column(1)
-            sizes = np.asarray(pa.compute.list_value_length(lists).fill_null(0))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for size, (index, matrix) in by_size.items():
-                fits = sizes == size
-                if not fits.any():
-                    continue
-                flat = lists.filter(pa.array(fits)).flatten().to_numpy(zero_copy_only=False)
-                block = flat.astype(np.float64).reshape(-1, size)
-                norm = np.linalg.norm(block, axis=1)
-                usable = norm > 0
-                block_ids = ids[fits][usable]
-                scores = np.round(block[usable] @ matrix / norm[usable, None], digits)
-                for column, i in enumerate(index):
-                    mine, score = block_ids, scores[:, column]
-                    if min_score is not None:
-                        good = score >= min_score
-                        mine, score = mine[good], score[good]
-                    if i in kept:
-                        mine, score = np.concatenate([kept[i][0], mine]), np.concatenate([kept[i][1], score])
-                    kept[i] = best(mine, score)
-        for i, (mine, score) in kept.items():
-            columns = [[names[i]] * len(mine), mine.tolist(), score.tolist()]
-            yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+            mine, ids = dict(_unit(batch.column(1))), batch.column(0)
+            for names, asked in _query_blocks(path):
+                found: list[tuple[np.ndarray, int, np.ndarray]] = []
+                for size in mine.keys() & asked.keys():
+                    (rows, block), (numbers, matrix) = mine[size], asked[size]
+                    rough = block @ matrix.T
+                    for column, number in enumerate(numbers.tolist()):
+                        near = rough[:, column]
+                        edge = np.partition(near, len(near) - k)[len(near) - k] if len(near) > k else -2.0
+                        some = np.flatnonzero(near >= (edge if min_score is None else max(edge, min_score)) - MARGIN)
+                        exact = np.einsum("ij,j->i", block[some], matrix[column])
+                        if min_score is not None:
+                            some, exact = some[exact >= min_score], exact[exact >= min_score]
+                        if len(some) > k:
+                            edge = np.partition(exact, len(exact) - k)[len(exact) - k]
+                            some, exact = some[exact >= edge], exact[exact >= edge]
+                        found.append((rows[some], number, exact))
+                if found:
+                    taken = pa.array(np.concatenate([f[0] for f in found]))
+                    wanted = pa.array(np.repeat([f[1] for f in found], [len(f[0]) for f in found]))
+                    columns = [names.take(wanted), ids.take(taken), pa.array(np.concatenate([f[2] for f in found]))]
+                    yield pa.record_batch([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run

@@ -74,14 +74,6 @@ _ROWS = {
 }
 
 
-def indicator_rows(indicator_id: str, marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Ungoverned rows of an indicator with severity; governance columns are the plant's."""
-    if indicator_id not in INDICATORS:
-        raise KeyError(f"unknown indicator: {indicator_id}")
-    definition = INDICATORS[indicator_id]
-    return with_severity(_ROWS[indicator_id][0](marts[definition.mart]), definition)
-
-
 def indicator(indicator_id: str, marts: Mapping[str, DataFrame], expanded: DataFrame, user_id: str) -> DataFrame:
     """An indicator as `user_id` may see it: the mart is filtered before it is counted per plant."""
     if indicator_id not in INDICATORS:

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # keys stand in plans as binary literals; explain, UI and event log show none of 16 bytes or more
+    "spark.sql.redaction.string.regex": r"(?i)0x[0-9a-f]{32,}|X'[0-9a-f]{32,}'|\[([0-9a-f]{2}[ ,]*){16,}\]",
     # no stack trace per column expression: plans here have hundreds of them
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

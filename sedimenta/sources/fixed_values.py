@@ -100,14 +100,12 @@ CONTEXT_LEVELS = ("ambito", "planta")
 PAIR_SEPARATOR = "_._"
 VALUE_SEPARATOR = ":::"
 
-TIME_ZONE = "America/Santiago"
 EMBEDDING_SIZE = 384
 TOP_K = 10
 MEMORY_TURNS = 5
 NO_EXPIRY = -1
 CONTEXT_MARK = "[CONTEXTO]"
 NO_RULE = "(sin regla)"
-SYSTEM_PROMPT = "Eres un asistente experto en seguridad ocupacional. Usa solo el [CONTEXTO] para responder."
 
 # Text of a chunk, one per rule.
 TEMPLATES = {

@@ -14,13 +14,15 @@ class LandingSource:
     name: str
     location: str
     format: str = "csv"
+    multiline: bool = False
     ingestion_pattern: str = "overwrite"
     enable_snapshots: bool = True
     snapshot_strategy: str = "check_cols"
     snapshot_check_cols: tuple[str, ...] = ("etiqueta",)
 
 
-LANDING_SOURCES = tuple(LandingSource(name, f"/datos/csv/{file}") for name, file in fv.LANDING_FILES.items())
+# labels of the weekly sheets hold line breaks
+LANDING_SOURCES = tuple(LandingSource(name, f"/datos/csv/{file}", multiline=True) for name, file in fv.LANDING_FILES.items())
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,6 @@ class Rule:
     pii_strategy: str = "tokens"
     tags_in_text: tuple[str, ...] = ("ambito", "clasificacion")
     validity_policy: str = "preservar"
-    threshold: float = 0.80
     recall_min: float = 0.70
     version: str = "1.0"
 
@@ -156,7 +157,7 @@ class Report:
     order: tuple[tuple[str, str], ...]
     dimensions: dict[str, str] = field(default_factory=lambda: {"planta": "planta"})
     parameters: tuple[str, ...] = ()
-    formats: tuple[str, ...] = ("json", "excel")
+    formats: tuple[str, ...] = ("json", "csv", "parquet")
 
 
 REPORTS = {

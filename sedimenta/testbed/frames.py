@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,16 +9,13 @@ from pyspark.sql.types import StructType
 from sedimenta.functions.text import number_text
 from sedimenta.operators.reshape import pivot_cells
 from sedimenta.plans import marts, silver
-from sedimenta.session import scratch_path
 from sedimenta.sources.seeds import band_seed
-from sedimenta.sources.sinks import write_table
 
 FIRST_YEAR = 1995
 WEEKS = 53
 
 
 _SCHEMAS: dict[str, StructType] = {}
-_STORED: dict[tuple[str, str, str], str] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,16 +26,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def stored(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """A derived input (landing sheets, workbook cells) as a table, written once per application."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _STORED:
-        path = scratch_path(spark, name)
-        write_table(build(spark, sf), path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
-
-
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Long measurements of every line item."""
     day = F.dayofyear("l_shipdate")
@@ -158,32 +143,18 @@ def cell_table(spark: SparkSession, sf: str) -> DataFrame:
     return body.unionByName(headers).unionByName(weeks)
 
 
-def stored_cell_table(spark: SparkSession, sf: str) -> DataFrame:
-    return stored(spark, sf, "cell_table", cell_table)
-
-
 def sheet_cells(spark: SparkSession, sf: str) -> DataFrame:
     """The same cells as a workbook holds them: labels are the cells of column 1."""
-    cells = stored_cell_table(spark, sf)
+    cells = cell_table(spark, sf)
     labels = cells.select("hoja", "fila", F.col("etiqueta").alias("valor")).distinct()
     titles = cells.select("hoja").distinct().select("hoja", F.lit(1).alias("fila"), F.lit("Polvo respirable").alias("valor"))
     first = labels.unionByName(titles).withColumn("columna", F.lit(1))
     return cells.select("hoja", "fila", "columna", "valor").unionByName(first)
 
 
-def stored_cells(spark: SparkSession, sf: str) -> DataFrame:
-    """The workbook's cells, written and read back."""
-    return stored(spark, sf, "cells", sheet_cells)
-
-
-def wide_sheets(spark: SparkSession, sf: str) -> DataFrame:
-    """`(planta, hoja, base, etiqueta, column01..column106)`, text cells."""
-    return pivot_cells(stored_cell_table(spark, sf), ["planta", "hoja", "base", "etiqueta"], 2 * WEEKS)
-
-
-def stored_sheets(spark: SparkSession, sf: str) -> DataFrame:
-    """The same, written and read back as the landing tables are."""
-    return stored(spark, sf, "sheets", wide_sheets)
+def wide_sheets(cells: DataFrame) -> DataFrame:
+    """`(planta, hoja, base, etiqueta, column01..column106)`, text cells; two years of weeks wide."""
+    return pivot_cells(cells, ["planta", "hoja", "base", "etiqueta"], 2 * WEEKS)
 
 
 def centroids(spark: SparkSession, sf: str) -> DataFrame:

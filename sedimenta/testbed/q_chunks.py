@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions import fingerprint
 from sedimenta.operators import chunks as ch
 from sedimenta.operators import metrics
-from sedimenta.operators.people import with_people
+from sedimenta.operators.people import MEASUREMENT, with_people
 from sedimenta.plans.marts import with_limit_and_band
 from sedimenta.sources.registry import RULES
 from sedimenta.sources.seeds import band_seed
@@ -83,8 +83,9 @@ def _(spark, sf):
     + f"SELECT planta, punto_evaluacion, anio, semana, concentracion_mg_m3, fecha, hora_inicio, {text_sql(P4)} AS texto FROM m4",
 )
 def _(spark, sf):
-    """Text of every measurement of the whole history."""
-    rows = _all_rows(spark, sf)
+    """Text of every measurement of the whole history; people are tokens in it, so none is looked up."""
+    facts = fr.bronze(spark, sf).select(*MEASUREMENT).distinct()
+    rows = with_limit_and_band(facts.withColumns({c: F.lit(None).cast("string") for c in P4.pii}), band_seed(spark))
     text = ch.tagged_text(ch.render(rows, P4.template, P4.pii), P4.tags, P4.tags_in_text)
     return rows.select(
         "planta", "punto_evaluacion", "anio", "semana", "concentracion_mg_m3", "fecha", "hora_inicio", text.alias("texto")
@@ -133,13 +134,24 @@ def _(spark, sf):
     )
 
 
-@query("chunk_integrity", "SELECT doc_id, sha256(text) AS hash_contenido, 64 AS largo_firma FROM documents")
+def signature_sql(message: str) -> str:
+    """HMAC-SHA256 of a text, spelt out by its definition."""
+    block = SIGNING_KEY.ljust(64, b"\0")
+    inner, outer = (bytes(b ^ p for b in block).hex() for p in (0x36, 0x5C))
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({message}))))"
+
+
+@query(
+    "chunk_integrity",
+    f"""SELECT doc_id, hash_contenido, {signature_sql("hash_contenido")} AS firma_hmac, {signature_sql("doc_id || '|' || hash_contenido")} AS firma_hmac_entrada
+FROM (SELECT doc_id, sha256(text) AS hash_contenido FROM documents)""",
+)
 def _(spark, sf):
     documents = fr.table(spark, sf, "documents").select(
         "doc_id", F.col("text").alias("texto"), F.col("doc_id").cast("string").alias("chunk_clave")
     )
     signed = ch.with_integrity(documents, SIGNING_KEY)
-    return signed.select("doc_id", "hash_contenido", F.length("firma_hmac").alias("largo_firma"))
+    return signed.select("doc_id", "hash_contenido", "firma_hmac", "firma_hmac_entrada")
 
 
 @query("chunk_encrypt_roundtrip", "SELECT doc_id, text AS texto FROM documents")
@@ -222,42 +234,74 @@ def _(spark, sf):
         .filter("s_acctbal < 1000")
         .select(F.concat(F.lit("Persona "), F.col("s_suppkey").cast("string")).alias("valor"))
     )
-    return ch.forget(fr.stored(spark, sf, "named_chunks", _named_chunks), gone).select(
+    return ch.forget(_named_chunks(spark, sf), gone).select(
         "chunk_id", "estrategia_olvido", *[F.col("pii_tokens")[c].alias(c) for c in ("operador", "tecnico")]
     )
 
 
-_RULE_OF_MART = "\nUNION ALL ".join(f"SELECT '{r.id}' AS regla_id, count(*) AS chunks FROM m{i}" for i, r in ((1, P1), (2, P2)))
-_TWO_MARTS = (*s.M1_CTES, s.M2_CTES[-1])
+_EXPECTED = {r.id: r for r in (P1, P2, P3, P4)}
+
+
+def _rules_sql(values: str) -> str:
+    """Counts of all rules but P3, whose chunks are left out, with the given column expressions over `id` and `n`."""
+    counted = " UNION ALL ".join(f"SELECT '{r.id}' AS id, (SELECT count(*) FROM {m}) AS n" for r, m in ((P1, "m1"), (P2, "m2"), (P4, "four")))
+    return f"rules AS ({counted} UNION ALL SELECT '{P3.id}', 0) SELECT id AS regla_id, n AS chunks, {values} FROM rules"
+
 
+def _per_rule(get) -> str:
+    return "CASE id " + " ".join(f"WHEN '{i}' THEN {get(r)}" for i, r in _EXPECTED.items()) + " END"
 
-def _two_rules(spark, sf):
-    return _built(spark, sf, P1).unionByName(_built(spark, sf, P2))
+
+def _run(spark, sf):
+    """Chunks of a run: rule P3 yields nothing; annual chunks of even years lost a tag, those of 1997 a personal key too much."""
+    annual = _built(spark, sf, P2)
+    year = F.col("datos_negocio")["anio"].cast("int")
+    tags = F.map_filter("dimensiones", lambda k, _: ~((k == "ambito") & (year % 2 == 0)))
+    keys = F.when(year == 1997, F.map_concat("pii_tokens", F.create_map(F.lit("extra"), F.lit("x")))).otherwise(F.col("pii_tokens"))
+    annual = annual.withColumns({"dimensiones": tags, "pii_tokens": keys})
+    every = ch.build_chunks(_all_rows(spark, sf), P4, **RUN)
+    return _built(spark, sf, P1).unionByName(annual).unionByName(every)
+
+
+_RULE_CTES = (s.MED, s.BANDS, s.LIMIT, s.SESSIONS, *s.M1_CTES[-4:], *s.M2_CTES[-3:], s.people("med").replace("numbered", "numbered_all").replace("named AS", "four AS"))
 
 
 @query(
     "rule_quality",
-    s.with_(*_TWO_MARTS)
-    + f"""SELECT regla_id, chunks, cast(1 AS BIGINT) AS esperado_min, cast(CASE regla_id WHEN '{P1.id}' THEN 50 ELSE 20 END AS BIGINT) AS esperado_max,
-chunks BETWEEN 1 AND CASE regla_id WHEN '{P1.id}' THEN 50 ELSE 20 END AS cumple FROM ({_RULE_OF_MART})""",
+    s.with_(*_RULE_CTES)
+    + ", "
+    + _rules_sql(
+        f"{_per_rule(lambda r: r.expected_min)}::BIGINT AS esperado_min, {_per_rule(lambda r: r.expected_max)}::BIGINT AS esperado_max, "
+        f"n BETWEEN {_per_rule(lambda r: r.expected_min)} AND {_per_rule(lambda r: r.expected_max)} AS cumple"
+    ),
 )
 def _(spark, sf):
-    return ch.rule_quality(_two_rules(spark, sf), [P1, P2])
+    return ch.rule_quality(_run(spark, sf), [P1, P2, P3, P4])
 
 
-@query("chunks_per_rule", s.with_(*_TWO_MARTS) + f"SELECT * FROM ({_RULE_OF_MART})")
+@query("chunks_per_rule", s.with_(*_RULE_CTES) + ", " + _rules_sql("1 AS _").replace(", 1 AS _", "") + " WHERE n > 0")
 def _(spark, sf):
-    return metrics.chunks_per_rule(_two_rules(spark, sf))
+    return metrics.chunks_per_rule(_run(spark, sf))
+
+
+_MINIMUM = metrics.SUITE_MIN_CHUNKS
+_FAULTS = f"CASE id WHEN '{P2.id}' THEN (SELECT count(*) FROM m2 WHERE {{0}}) ELSE 0 END"
 
 
 @query(
     "chunk_suite_checks",
-    s.with_(*_TWO_MARTS)
-    + f"""SELECT regla_id, chunks, CASE regla_id WHEN '{P1.id}' THEN 12 ELSE 10 END AS min_chunks, cast(0 AS BIGINT) AS tags_erroneos,
-cast(0 AS BIGINT) AS pii_erronea, chunks >= CASE regla_id WHEN '{P1.id}' THEN 12 ELSE 10 END AS cumple FROM ({_RULE_OF_MART})""",
+    s.with_(*_RULE_CTES)
+    + ", checks AS (WITH "
+    + _rules_sql(
+        f"{_per_rule(lambda r: _MINIMUM[r.id])}::INTEGER AS min_chunks, {_FAULTS.format('anio % 2 = 0')} AS tags_erroneos, "
+        f"{_FAULTS.format('anio = 1997')} AS pii_erronea"
+    )
+    + f"""), rows AS (FROM checks UNION ALL
+  SELECT 'TOTAL', sum(chunks)::BIGINT, {metrics.SUITE_MIN_TOTAL}, sum(tags_erroneos)::BIGINT, sum(pii_erronea)::BIGINT FROM checks)
+SELECT *, chunks >= min_chunks AND tags_erroneos = 0 AND pii_erronea = 0 AS cumple FROM rows""",
 )
 def _(spark, sf):
-    return metrics.chunk_checks(_two_rules(spark, sf), metrics.expectations([P1, P2]))
+    return metrics.chunk_checks(_run(spark, sf), metrics.expectations([P1, P2, P3, P4]), metrics.SUITE_MIN_TOTAL)
 
 
 @query(

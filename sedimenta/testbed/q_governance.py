@@ -65,26 +65,29 @@ def _(spark, sf):
 
 @query(
     "governance_filter",
-    s.with_(*s.M2_CTES, GRANTS) + "SELECT user_id, m2.* FROM m2 JOIN xp ON xp.dimension = 'planta' AND xp.valor = m2.planta",
+    s.with_(*s.M2_CTES, GRANTS) + "SELECT m2.* FROM m2 WHERE planta IN (SELECT valor FROM xp WHERE user_id = 'jefe EUROPE' AND dimension = 'planta')",
 )
 def _(spark, sf):
-    """What every user sees of the annual summary; it has no `ambito`, so that dimension does not filter."""
-    return gov.governed_for_all(fr.mart(spark, sf, "M00002"), expanded(spark, sf), {"planta": "planta"})
+    """What the head of a region sees of the annual summary; it has no `ambito`, so that dimension does not filter."""
+    return gov.governed(fr.mart(spark, sf, "M00002"), expanded(spark, sf), "jefe EUROPE", {"planta": "planta"})
 
 
 @query(
     "governance_fail_closed",
     s.with_(*s.M2_CTES, GRANTS)
-    + """SELECT user_id, planta, anio, total_registros FROM m2 JOIN xp ON xp.dimension = 'planta' AND xp.valor = m2.planta
-WHERE EXISTS (SELECT 1 FROM xp y WHERE y.user_id = xp.user_id AND y.dimension = 'ambito' AND y.valor = 'Seguridad ocupacional')""",
+    + """SELECT u AS user_id, (SELECT count(*) FROM m2 WHERE planta IN (SELECT valor FROM xp WHERE user_id = u AND dimension = 'planta')
+  AND EXISTS (FROM xp WHERE user_id = u AND dimension = 'ambito' AND valor = 'Seguridad ocupacional')) AS filas
+FROM (VALUES ('auditor'), ('jefe AFRICA'), ('jefe AMERICA'), ('op FRANCE'), ('nadie')) t(u)""",
 )
 def _(spark, sf):
     """With `ambito` required, users granted another one, or none at all, see nothing."""
-    rows = fr.mart(spark, sf, "M00002").select(
-        "planta", "anio", "total_registros", F.lit("Seguridad ocupacional").alias("ambito")
-    )
-    visible = gov.governed_for_all(rows, expanded(spark, sf), {"planta": "planta", "ambito": "ambito"})
-    return visible.drop("ambito")
+    rows = fr.mart(spark, sf, "M00002").withColumn("ambito", F.when(F.col("total_registros") > 0, "Seguridad ocupacional"))
+    allowed, out = expanded(spark, sf), None
+    for user in (AUDITOR, "jefe AFRICA", "jefe AMERICA", "op FRANCE", "nadie"):
+        seen = gov.governed(rows, allowed, user, {"planta": "planta", "ambito": "ambito"})
+        one = seen.agg(F.count("*").alias("filas")).select(F.lit(user).alias("user_id"), "filas")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 _RANK = "CASE {0} WHEN 'Público' THEN 0 WHEN 'Interno' THEN 1 WHEN 'Restringido' THEN 2 WHEN 'Solo gerencias' THEN 3 END"

@@ -28,10 +28,10 @@ def _versions(spark, sf):
 _SCD = """WITH old AS (SELECT p_partkey, p_name, p_brand, p_retailprice, p_size FROM part WHERE p_size < 50),
 new AS (SELECT p_partkey, p_name, p_brand, CASE WHEN p_partkey % 10 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice, p_size FROM part),
 v AS (
-  SELECT o.*, '2026-01-05' AS desde, CASE WHEN n.p_retailprice <> o.p_retailprice THEN '2026-01-12' END AS hasta
+  SELECT o.*, '2026-01-05' AS desde, '2026-01-05' AS visto, CASE WHEN n.p_retailprice <> o.p_retailprice THEN '2026-01-12' END AS hasta
   FROM old o LEFT JOIN new n USING (p_partkey)
   UNION ALL
-  SELECT n.*, '2026-01-12', NULL FROM new n LEFT JOIN old o USING (p_partkey)
+  SELECT n.*, '2026-01-12', '2026-01-12', NULL FROM new n LEFT JOIN old o USING (p_partkey)
   WHERE o.p_partkey IS NULL OR o.p_retailprice <> n.p_retailprice)
 """
 
@@ -43,6 +43,28 @@ def _(spark, sf):
         *CHECKED,
         "p_size",
         F.date_format(history.VALID_FROM, "yyyy-MM-dd").alias("desde"),
+        F.date_format(history.UPDATED_AT, "yyyy-MM-dd").alias("visto"),
+        F.date_format(history.VALID_TO, "yyyy-MM-dd").alias("hasta"),
+    )
+
+
+@query(
+    "scd2_grown_columns",
+    """SELECT p_partkey, p_retailprice, NULL AS p_semana, '2026-01-05' AS desde, '2026-01-12' AS hasta FROM part WHERE p_size % 3 = 0
+UNION ALL SELECT p_partkey, p_retailprice, NULL, '2026-01-05', NULL FROM part WHERE p_size % 3 > 0
+UNION ALL SELECT p_partkey, p_retailprice, p_size, '2026-01-12', NULL FROM part WHERE p_size % 3 = 0""",
+)
+def _(spark, sf):
+    """The second load brings a new check column, filled for some keys."""
+    part = fr.table(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size")
+    first = history.scd2_first(part.drop("p_size"), ["p_partkey"], FIRST)
+    week = F.when(F.col("p_size") % 3 == 0, F.col("p_size"))
+    grown = part.select("p_partkey", "p_retailprice", week.alias("p_semana"))
+    return history.scd2_snapshot(first, grown, ["p_partkey"], ["p_retailprice", "p_semana"], SECOND).select(
+        "p_partkey",
+        "p_retailprice",
+        "p_semana",
+        F.date_format(history.VALID_FROM, "yyyy-MM-dd").alias("desde"),
         F.date_format(history.VALID_TO, "yyyy-MM-dd").alias("hasta"),
     )
 
@@ -80,13 +102,29 @@ def _(spark, sf):
 
 @query(
     "content_hash",
-    f"SELECT l_orderkey, l_linenumber, {s.skey('l_quantity', 'l_discount', 'l_extendedprice', 'cast(l_shipdate AS DATE)')} AS huella FROM lineitem",
+    f"""SELECT l_orderkey, l_linenumber, {s.skey('l_quantity', 'l_discount', 'l_extendedprice', 'cast(l_shipdate AS DATE)')} AS huella,
+{s.skey('fino', 'enorme', 'raro')} AS huella_larga FROM (SELECT *, l_linenumber / 4096 + l_quantity AS fino, l_quantity * 1e15 AS enorme,
+CASE l_linenumber WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN 'inf'::DOUBLE WHEN 3 THEN '-inf'::DOUBLE WHEN 4 THEN 0 ELSE -1 / (1 << (9 + l_linenumber)) END AS raro
+FROM lineitem)""",
 )
 def _(spark, sf):
-    """Doubles are hashed by their shortest text."""
+    """Doubles are hashed by a text that keeps every digit; also tiny, huge and special ones."""
+    line = F.col("l_linenumber")
+    odd = F.when(line == 1, "NaN").when(line == 2, "Infinity").when(line == 3, "-Infinity").when(line == 4, "-0.0").cast("double")
+    items = fr.table(spark, sf, "lineitem").withColumns(
+        {
+            "fino": line / 4096 + F.col("l_quantity"),
+            "enorme": F.col("l_quantity") * 1e15,
+            "raro": F.coalesce(odd, -1 / F.pow(F.lit(2.0), line + 9)),
+        }
+    )
     numbers = [number_text(c) for c in ("l_quantity", "l_discount", "l_extendedprice")]
-    return fr.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", content_hash(*numbers, F.col("l_shipdate").cast("date")).alias("huella")
+    long = [number_text(c) for c in ("fino", "enorme", "raro")]
+    return items.select(
+        "l_orderkey",
+        "l_linenumber",
+        content_hash(*numbers, F.col("l_shipdate").cast("date")).alias("huella"),
+        content_hash(*long).alias("huella_larga"),
     )
 
 

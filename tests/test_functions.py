@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -116,6 +116,38 @@ def test_rounding_is_by_decimal_digits(spark):
     assert one(spark, fn.round_half_up(F.col("v"), 2), v=1.005) == 1.01
 
 
+@pytest.mark.parametrize("value", [1.0049999996, 1e12, 1e25, -2.5e30, float("inf"), 0.005, -1.005])
+def test_rounding_neither_rounds_twice_nor_fails(spark, value):
+    want = {1.0049999996: 1.0, 0.005: 0.01, -1.005: -1.01}.get(value, value)
+    assert one(spark, fn.round_half_up(F.col("v"), 2), v=value) == want
+
+
+@pytest.mark.parametrize(
+    "value, text",
+    [(0.1234567, "0.1234567"), (1e-7, "1e-07"), (1e12, "1000000000000.0"), (1.5e15, "1500000000000000.0"), (1e16, "1e+16"), (-1.25e100, "-1.25e+100"),
+     (float("inf"), "inf"), (float("-inf"), "-inf"), (float("nan"), "nan"), (-0.0, "0.0"), (0.00025, "0.00025"), (123456789.125, "123456789.125"), (-5e-324, None)],
+)
+def test_number_text_keeps_every_digit(spark, value, text):
+    got = one(spark, fn.number_text("v"), v=value)
+    assert got == text if text is not None else float(got) == value
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Santiago", "Europe/Berlin", "Pacific/Auckland"])
+def test_instants_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # every ten minutes around both changes of the clock in Chile in 2025
+        starts = [1743850800 + 600 * i for i in range(48)] + [1757203200 + 600 * i for i in range(48)]
+        df = spark.createDataFrame([(s,) for s in starts], "s long").select("s", F.timestamp_seconds("s").alias("t"))
+        for r in df.select("s", fn.utc_iso(F.col("t")).alias("x")).collect():
+            assert r["x"] == datetime.fromtimestamp(r["s"], timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        civil = F.lit("2025-09-06 20:30:00").cast("timestamp_ntz")
+        assert df.limit(1).select(fn.local_to_utc(civil, "America/Santiago")).first()[0] == "2025-09-07T00:30:00.000Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_times(spark):
     moment = datetime(2026, 5, 27, 10, 13, 57)
     assert one(spark, fn.local_to_utc(F.col("v").cast("timestamp_ntz"), "America/Santiago"), v=moment) == "2026-05-27T14:13:57.000Z"

@@ -101,13 +101,6 @@ def test_required_dimensions_fail_closed(gold, expanded, user, rows):
     assert gov.governed(tagged, expanded, user, {"planta": "planta", "ambito": "ambito"}).count() == rows
 
 
-def test_all_users_at_once_agree_with_each_user(gold, expanded):
-    tagged = gold["M00002"].withColumn("ambito", F.lit("Seguridad ocupacional"))
-    required = {"planta": "planta", "ambito": "ambito"}
-    counts = {r["user_id"]: r["count"] for r in gov.governed_for_all(tagged, expanded, required).groupBy("user_id").count().collect()}
-    assert counts == {"chief": 16, "auditor": 16}
-
-
 def test_clearance(spark):
     df = local_rows(spark, [(c,) for c in (*fv.CLEARANCES, "otra", None)], "clasificacion string")
     assert {r[0] for r in gov.cleared(df, "clasificacion", "Interno").collect()} == {"Público", "Interno"}

@@ -14,7 +14,7 @@ from sedimenta.operators.lookup import local_rows
 from sedimenta.plans import medallion
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources import sinks
-from sedimenta.sources.landing import catalog_counts, load_landing, open_landing, table_counts
+from sedimenta.sources.landing import catalog_counts, layer_diagnostics, load_landing, open_landing, table_counts
 from sedimenta.sources.registry import LANDING_SOURCES
 from sedimenta.sources.seeds import read_aliases, read_bands
 from sedimenta.streaming.weekly import BRONZE_SCHEMA, load_arrivals
@@ -160,7 +160,30 @@ def test_seeds_and_catalog(spark, tmp_path):
     assert row["concentracion_max_mg_m3"] is None and row["es_sobre_limite_interno"] is False
     (tmp_path / "aliases.csv").write_text("alias_fuente,dni,tipo_dni,dni_pais_emisor,nombre_completo,tipo_persona\nAna,007,RUN,CL,Ana Uno,operador\n")
     assert read_aliases(spark, str(tmp_path / "aliases.csv")).first()["dni"] == "007"
-    sinks.as_view(spark.range(3), "tabla_uno")
-    sinks.as_view(spark.range(4), "_oculta")
-    counts = {r["tabla"].split(".")[-1]: r["filas"] for r in catalog_counts(spark).collect()}
-    assert counts["tabla_uno"] == 3 and "_oculta" not in counts
+
+
+def test_catalog_counts_base_tables_of_every_schema(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS otra LOCATION '{tmp_path}/otra'")
+    try:
+        for name, n in (("default.uno", 3), ("otra.dos", 4), ("otra._oculta", 5), ("otra.rota", 6)):
+            folder = tmp_path / name
+            spark.range(n).write.parquet(str(folder))
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}'")
+        spark.range(9).createOrReplaceTempView("vista")
+        spark.sql("CREATE VIEW otra.vista AS SELECT 1 AS x")
+        (tmp_path / "otra.rota" / "part-9.parquet").write_text("no parquet")
+        counts = {(r["esquema"], r["tabla"]): r["filas"] for r in catalog_counts(spark).collect()}
+        assert counts == {("default", "uno"): 3, ("otra", "dos"): 4, ("otra", "rota"): None}
+    finally:
+        spark.sql("DROP DATABASE otra CASCADE")
+        spark.sql("DROP TABLE IF EXISTS default.uno")
+        spark.catalog.dropTempView("vista")
+
+
+def test_layer_diagnostics(spark, bands):
+    table = spark.range(9).select((9 - F.col("id")).alias("k"), F.lit("x").alias("v"))
+    row = layer_diagnostics(table, ["k"], bands).first()
+    assert (row["columnas"], row["filas"], row["limite_mg_m3"]) == (["k", "v"], 9, 2.5)
+    assert row["muestra"] == [f'{{"k":{i},"v":"x"}}' for i in range(1, 6)]
+    empty = layer_diagnostics(table.filter("false"), ["k"]).first()
+    assert (empty["filas"], empty["limite_mg_m3"], empty["muestra"]) == (0, None, [])

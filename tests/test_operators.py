@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators import chunks as ch
 from sedimenta.operators import context, history, metrics, ranking, reshape, vectors
-from sedimenta.operators.lookup import band_lookup, band_range_join, bounded_lookup, internal_limit, local_rows
+from sedimenta.operators.lookup import band_lookup, internal_limit, local_rows
 from sedimenta.operators.people import alias_names, person_roles, with_people
 from sedimenta.plans import indicators, marts, silver
 from sedimenta.sources.registry import INDICATORS, RULES
@@ -36,24 +36,17 @@ def test_local_rows_are_a_local_relation_of_known_size(spark):
     assert df._jdf.queryExecution().optimizedPlan().getClass().getSimpleName() == "LocalRelation"
 
 
-def test_bounded_lookup_keeps_large_frames_lazy(spark):
-    small, large = spark.range(10), spark.range(11)
-    assert bounded_lookup(small, 10)._jdf.queryExecution().optimizedPlan().getClass().getSimpleName() == "LocalRelation"
-    assert bounded_lookup(large, 10) is large
-
-
 def test_internal_limit(bands):
     assert internal_limit(bands).first()["mg_m3"] == 2.5
 
 
-VALUES = [0.0, 0.1, 0.25, 0.3, 0.5, 2.4999, 2.5, 4.99, 5.0, 80.0, -1.0, None]
-LEVELS = [1, 1, 2, 2, 3, 3, 4, 4, 5, 5, None, None]
+VALUES = [0.0, 0.1, 0.25, 0.3, 0.5, 2.4999, 2.5, 4.99, 5.0, 80.0, float("inf"), float("nan"), -1.0, float("-inf"), None]
+LEVELS = [1, 1, 2, 2, 3, 3, 4, 4, 5, 5, 5, 5, None, None, None]
 
 
-@pytest.mark.parametrize("lookup", [band_lookup, band_range_join])
-def test_bands_are_half_open_with_open_top(spark, bands, lookup):
+def test_bands_are_half_open_with_open_top(spark, bands):
     df = local_rows(spark, [(i, v) for i, v in enumerate(VALUES)], "i int, v double")
-    got = dict(tuples(lookup(df, bands, "v", {"nivel": "n"}).select("i", "n")))
+    got = dict(tuples(band_lookup(df, bands, "v", {"nivel": "n"}).select("i", "n")))
     assert [got[i] for i in range(len(VALUES))] == LEVELS
 
 
@@ -158,14 +151,23 @@ def test_sheet_to_wide(spark):
         ("A", 4, 2, "no label"),
         ("B", 2, 1, "Semanas"), ("B", 3, 1, "P1"), ("B", 3, 2, "1"),
         ("C", 2, 1, "Semanas"), ("C", 2, 2, "1"), ("C", 5, 1, "only label"),
+        *[("D", 2, c, str(c - 1)) for c in range(2, 7)], ("D", 2, 1, "Semana"),
     ]
     df = local_rows(spark, cells, "hoja string, fila int, columna int, valor string")
-    assert tuples(reshape.sheet_to_wide(df, 3)) == sorted([
-        ("A", 2, "Semanas", "1", "2", None), ("A", 3, "P1", "0.5", "", None),
-        ("C", 2, "Semanas", "1", None, None), ("C", 5, "only label", "", None, None),
+    assert tuples(reshape.sheet_to_wide(df)) == sorted([
+        ("A", 2, "Semanas", "1", "2", None, None, None), ("A", 3, "P1", "0.5", "", None, None, None),
+        ("C", 2, "Semanas", "1", None, None, None, None), ("C", 5, "only label", "", None, None, None, None),
+        ("D", 2, "Semana", "1", "2", "3", "4", "5"),
     ], key=repr)
 
 
+def test_pivot_is_as_wide_as_its_cells_and_refuses_to_drop_any(spark):
+    df = local_rows(spark, [("h", 2, "a"), ("h", 7, "b")], "hoja string, columna int, valor string")
+    assert tuples(reshape.pivot_cells(df, ["hoja"])) == [("h", "a", None, None, None, None, "b")]
+    with pytest.raises(Exception, match="right of column 3"):
+        reshape.pivot_cells(df, ["hoja"], 3).collect()
+
+
 def test_select_sheets(spark):
     df = local_rows(spark, [("Nodo",), ("Otra",)], "hoja string")
     assert tuples(reshape.select_sheets(df)) == [("Nodo", "Nodo.csv")]
@@ -389,6 +391,29 @@ def test_one_chunk_per_id_is_the_latest(spark):
     assert tuples(ch.one_per_id(df)) == [("a", "2026-02", "h2"), ("b", "2026-01", "h9")]
 
 
+def test_the_same_chunk_is_kept_in_any_order(spark):
+    rows = [("a", "2026", "h", {"p": x}) for x in "cab"] + [("b", "2026", "h", None)]
+    schema = "chunk_id string, fecha_creacion string, hash_contenido string, pii_tokens map<string,string>"
+    for order in (rows, rows[::-1]):
+        kept = ch.one_per_id(spark.createDataFrame(order, schema))
+        assert [r["pii_tokens"] for r in kept.orderBy("chunk_id").collect()] == [{"p": "a"}, None]
+        merged = ch.upsert_chunks(spark.createDataFrame(rows[:1], schema), spark.createDataFrame(order, schema))
+        assert merged.count() == 2
+
+
+def test_inherited_chunks_and_rules_without_chunks(spark):
+    first, second = RULES["P00001_M00001"], RULES["P00002_M00002"]
+    df = local_rows(spark, [("old",), (first.id,)], "regla_id string")
+    assert tuples(ch.inherit_chunks(df, {"old": second.id})) == sorted([(first.id,), (second.id,)])
+    quality = {r["regla_id"]: (r["chunks"], r["cumple"]) for r in ch.rule_quality(df, [first, second]).collect()}
+    assert quality == {first.id: (1, True), second.id: (0, False)}
+    recall = local_rows(spark, [(first.id, first.recall_min - 0.01)], "regla_id string, recall double")
+    assert not any(r["cumple"] for r in ch.rule_quality(df, [first, second], recall).collect())
+    none = spark.createDataFrame([], "regla_id string, dimensiones map<string,string>, pii_tokens map<string,string>")
+    checks = metrics.chunk_checks(none, metrics.expectations([first, second]), 55).collect()
+    assert {(r["regla_id"], r["chunks"], r["cumple"]) for r in checks} == {(first.id, 0, False), (second.id, 0, False), ("TOTAL", 0, False)}
+
+
 def test_checks_find_wrong_tags_and_keys(spark):
     rule = RULES["P00001_M00001"]
     good = ({"ambito": "Seguridad ocupacional", "clasificacion": "Restringido"}, {"operador": "a", "tecnico": "b"})
@@ -428,16 +453,17 @@ def brute_top(vecs, queries, k, min_score=None):
         for i, x in vecs:
             if x is None or len(x) != len(v) or not np.any(x):
                 continue
-            score = round(float(np.dot(x, v) / np.linalg.norm(x) / np.linalg.norm(v)), 6)
+            score = float(np.dot(np.array(x) / np.linalg.norm(x), np.array(v) / np.linalg.norm(v)))
             if min_score is None or score >= min_score:
-                scored.append((-score, i))
-        out += [(q, i, -s, n) for n, (s, i) in enumerate(sorted(scored)[:k], start=1)]
+                scored.append((-round(score, 12), i))  # equal vectors tie
+        out += [(q, i, round(-s, 6), n) for n, (s, i) in enumerate(sorted(scored)[:k], start=1)]
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("max_queries", [100, 2])
+@pytest.mark.parametrize("block", [100, 2])
 @pytest.mark.parametrize("min_score", [None, 0.2])
-def test_top_k_equals_brute_force(spark, max_queries, min_score):
+def test_top_k_equals_brute_force(spark, monkeypatch, block, min_score):
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", block)
     random = np.random.default_rng(1)
     vecs = [(f"v{i:03d}", [float(x) for x in random.integers(-3, 4, 5)]) for i in range(200)]
     vecs += [(f"w{i}", [1.0, 1.0, 1.0, 1.0, 1.0]) for i in range(30)]  # ties rank by id
@@ -445,10 +471,29 @@ def test_top_k_equals_brute_force(spark, max_queries, min_score):
     queries = [(i, [float(x) for x in random.integers(1, 4, 5)]) for i in range(7)] + [(7, [1.0, 1.0, 1.0, 1.0, 1.0])]
     table = spark.createDataFrame(vecs, "vec_id string, embedding array<float>").repartition(5)
     asked = spark.createDataFrame(queries, "query_id int, embedding array<double>")
-    got = vectors.top_k(table, asked, k=4, min_score=min_score, max_queries=max_queries)
+    got = vectors.top_k(table, asked, k=4, min_score=min_score)
     assert tuples(got.select("query_id", "vec_id", "score", "rn")) == brute_top(vecs, queries, 4, min_score)
 
 
+def test_top_k_ranks_full_scores(spark):
+    near = [1.0, 0.0005]  # cosine 0.999999875, which six decimals show as 1.0
+    table = spark.createDataFrame([("a", near), ("b", [1.0, 0.0]), ("c", [0.0, 1.0])], "vec_id string, embedding array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<double>")
+    assert tuples(vectors.top_k(table, asked, k=2).select("vec_id", "score", "rn")) == [("a", 1.0, 2), ("b", 1.0, 1)]
+    assert tuples(vectors.top_k(table, asked, k=2, min_score=1.0).select("vec_id")) == [("b",)]
+
+
+def test_many_queries_take_one_scan(spark):
+    random = np.random.default_rng(2)
+    vecs, asked = random.standard_normal((50, 4)), random.standard_normal((5000, 4))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id int, embedding array<double>")
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id int, embedding array<double>")
+    got = vectors.top_k(table, queries, k=1)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    assert {r["query_id"]: r["vec_id"] for r in got.collect()} == dict(enumerate((unit(asked) @ unit(vecs).T).argmax(axis=1).tolist()))
+
+
 def test_vectors_are_validated(spark):
     rows = [("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", [1.0]), ("d", None)]
     df = spark.createDataFrame(rows, "vec_id string, embedding array<float>")

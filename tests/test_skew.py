@@ -56,8 +56,7 @@ def test_hot_content_is_split(skewed):
     assert "skew=true" in plan
 
 
-def test_hot_alias_is_split(skewed, monkeypatch):
-    monkeypatch.setattr("sedimenta.operators.people.bounded_lookup", lambda df: df)
+def test_hot_alias_is_split(skewed):
     n = 60000
     alias = F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.concat(F.lit("a"), (F.col("id") % 500).cast("string")))
     facts = skewed.range(0, n, 1, 6).select(
@@ -88,8 +87,7 @@ def test_hot_alias_is_split(skewed, monkeypatch):
     assert "skew=true" in plan
 
 
-def test_hot_plant_is_split_when_grants_are_many(skewed, monkeypatch):
-    monkeypatch.setattr("sedimenta.operators.governance.bounded_lookup", lambda df: df)
+def test_hot_plant_is_split_when_grants_are_many(skewed):
     n = 60000
     plant = F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.col("id").cast("string"))
     rows = skewed.range(0, n, 1, 6).select(plant.alias("planta"), F.md5(F.col("id").cast("string")).alias("x"))
