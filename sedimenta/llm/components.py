@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.operators.lookup import grouped_for_join
 from sedimenta.session import scratch_path
 
 #: Far above the rounds that any graph needs: their number grows with the logarithm of its size, squared.
 MOST_ROUNDS = 200
 
 
+def _with_least(links: DataFrame) -> DataFrame:
+    """Adds the smallest neighbour `m` of `a`. Minima are combined before the shuffle; the join can split a node with many links."""
+    least = grouped_for_join(links, "a").agg(F.min("b").alias("m")).select(F.col("a").alias("_a"), "m")
+    return links.join(least, F.col("a") == F.col("_a")).select("a", "b", "m")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Joins every larger neighbour of a node to the smallest node around it."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    around = both.withColumn("m", F.least("a", F.min("b").over(Window.partitionBy("a"))))
-    return around.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    around = _with_least(both).filter(F.col("b") > F.col("a"))
+    return around.select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Joins a node and its smaller neighbours to the smallest of them. Links go from the larger node to the smaller."""
-    around = links.withColumn("m", F.min("b").over(Window.partitionBy("a")))
+    around = _with_least(links)
     own = around.select("a", F.col("m").alias("b"))
     others = around.select(F.col("b").alias("a"), F.col("m").alias("b"))
     return own.unionByName(others).filter(F.col("a") != F.col("b")).distinct()
