@@ -2,8 +2,9 @@
 
 A document's shingles are hashed into groups. If two sets of sizes a and b link, at most D = (a + b)(1 - t) / (1 + t)
 shingles lie in one of them only. Spread over more than D groups, some group is the same in both: its content
-is a key on which the documents meet, so no pair is lost and only near copies meet. Documents that
-meet, directly or through others, form a candidate cluster. Inside it the numbers of shingles per group are a point
+is a key on which the documents meet, so no pair is lost and only near copies meet. Shingles that many documents share
+are left out of the contents, which only lessens the differences; a document that has too few others meets its
+like on all its shingles as well. Documents that meet, directly or through others, form a candidate cluster. Inside it the numbers of shingles per group are a point
 of an R-tree; the overlap of two sets is at most the sum over groups of the smaller count, for a node of the tree the
 smaller of the query's and the node's greatest count. Pairs that survive this bound are verified on the sets.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from sedimenta.llm.common import as_arrow, blocks, once, stored, suspected, without
+from sedimenta.llm.common import as_arrow, blocks, local_copy, once, shipped, stored, suspected, without
 from sedimenta.llm.components import components
 from sedimenta.session import scratch_path
 
@@ -30,6 +31,9 @@ STEP = 1.5
 #: Documents and shingles of a block of a candidate cluster; larger clusters are compared block by block.
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1 << 20
 CACHE_WORDS = 500_000
+#: A shingle is common when it is met so often among COUNTED shingles of a task; so many of the most common are shipped.
+COMMON, COUNTED, COMMON_SHINGLES = 4, 1 << 22, 1 << 18
+_NONE = np.zeros(0, np.uint64)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -99,45 +103,103 @@ class Rule:
         empty = least * np.exp(-top / least)
         return least + 2 + int(np.ceil(empty + 5 * np.sqrt(empty)))
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """The keys on which a set meets every other set that it links to."""
+    def keys(self, shingles: np.ndarray, common: np.ndarray = _NONE) -> np.ndarray:
+        """The keys on which a set meets every other set that it links to, whatever `common` (sorted) holds."""
         size, out = len(shingles), []
         if not size or not self.differing(size + self.largest(size)):
             return np.zeros(0, np.int64)  # it links to itself only
+        rare = shingles
+        if len(common):
+            at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+            rare = shingles[common[at] != shingles]
         own = int(np.searchsorted(self.bounds, size, "right"))
         for c in (own, own + 1) if self.largest(size) >= self.bounds[own] else (own,):
             top = self.bounds[c] - 1
             groups = self.groups(top)
-            group = ((shingles >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
-            order = np.argsort(group, kind="stable")
-            used, starts = np.unique(group[order], return_index=True)
-            content = np.add.reduceat(_mix(shingles[order] * _M3), starts)
-            name = used.astype(np.uint64) + np.uint64(c << 40)
-            out.append(_mix(content * _M1 + _mix(name * _M2 + _M1)))
-            if len(used) <= self.differing(size + min(top, self.largest(size))):
-                # the groups in use may all differ: such sets meet on their empty groups too
+            differing = self.differing(size + min(top, self.largest(size)))
+            used, names, content = self._contents(rare, groups, c)
+            out.append(_mix(content * _M1 + names))
+            if len(used) <= differing:
+                # the groups in use may all differ: such sets meet on all their shingles, among themselves
+                used, names, content = self._contents(shingles, groups, c)
+                out.append(_mix(content * _M3 + names))
+            if len(used) <= differing:
+                # and if that is not enough, on their empty groups too
                 empty = np.setdiff1d(np.arange(groups), used).astype(np.uint64) + np.uint64(c << 40)
                 out.append(_mix(_mix(empty * _M2 + _M1) + _M3))
         return np.concatenate(out).view(np.int64)
 
+    @staticmethod
+    def _contents(shingles: np.ndarray, groups: int, size_class: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The groups in use, their hashed names and the hashes of their contents."""
+        if not len(shingles):
+            return np.zeros(0, np.int64), _NONE, _NONE
+        group = ((shingles >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        used, starts = np.unique(group[order], return_index=True)
+        content = np.add.reduceat(_mix(shingles[order] * _M3), starts)
+        return used, _mix((used.astype(np.uint64) + np.uint64(size_class << 40)) * _M2 + _M1), content
+
 
 def _digest(shingles: np.ndarray) -> bytes:
     return blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def common_shingles(docs: DataFrame, words: int, text: str) -> bytes:
+    """The sorted hashes of shingles that many documents share, counted over all documents; a bounded number of them.
+
+    Which shingles these are is a matter of speed only: links do not depend on it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, held, size = once(f"shingles {words}", lambda: Shingler(words)), [], 0
+
+        def counted() -> pa.RecordBatch:
+            value, n = np.unique(np.concatenate([*held, _NONE]), return_counts=True)
+            held.clear()
+            often = n >= COMMON
+            return pa.record_batch([pa.array(value[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["shingle", "n"])
+
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                for s in shingler.sets(block.column("text").to_pylist()):
+                    held.append(s)
+                    size += len(s)
+                if size >= COUNTED:
+                    yield counted()
+                    size = 0
+        yield counted()
+
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "shingles")
+    # from the highest power of two down, as many as fit
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = {r["p"]: r["k"] for r in counts.groupBy(power.alias("p")).agg(F.count("*").alias("k")).collect()}
+    least, total = 64, 0
+    for p in sorted(sizes, reverse=True):
+        total += sizes[p]
+        if total > COMMON_SHINGLES:
+            break
+        least = p
+    top = counts.filter(power >= least).select("shingle").toArrow().column("shingle")
+    return np.sort(np.asarray(top).astype(np.int64).view(np.uint64)).tobytes()
+
+
 def signatures(docs: DataFrame, words: int, rule: Rule, identity: str, text: str) -> DataFrame:
     """`(doc_id, n_shingles, node, keys)`: size and digest of each set; keys with the first copy in a task only."""
+    common = shipped(docs.sparkSession, "common", common_shingles(docs, words, text))
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = once(f"shingles {words}", lambda: Shingler(words)), set()
+        shared = once(f"common {common}", lambda: np.fromfile(local_copy(common), np.uint64))
         for batch in batches:
             for block in blocks(batch, "text"):
                 sets = shingler.sets(block.column("text").to_pylist())
                 nodes = [_digest(s) if len(s) else None for s in sets]
                 keys = []
                 for s, node in zip(sets, nodes):
-                    keys.append(None if node is None or node in seen else rule.keys(s))
+                    keys.append(None if node is None or node in seen else rule.keys(s, shared))
                     if len(seen) < CACHE_WORDS:
                         seen.add(node)
                 columns = [block.column("id"), [len(s) for s in sets], nodes, keys]

@@ -88,6 +88,14 @@ def test_large_cluster_is_compared_block_by_block(spark, monkeypatch):
     assert sorted((tuple(r) for r in ngram_join.join_components(df).collect()), key=str) == brute(rows)
 
 
+def test_common_passages_do_not_join_documents():
+    rnd, rule = np.random.default_rng(9), ngram_join.Rule(80, 100)
+    passage = rnd.integers(0, 2**63, 30, dtype=np.uint64)
+    sets = [np.union1d(passage, rnd.integers(0, 2**63, 200, dtype=np.uint64)) for _ in range(300)]
+    keys = np.concatenate([np.unique(rule.keys(s, np.sort(passage))) for s in sets])
+    assert len(np.unique(keys)) == len(keys) < len(np.concatenate([rule.keys(s) for s in sets]))
+
+
 def test_linked_sets_share_a_key():
     rnd = np.random.default_rng(5)
     for num, den in ((90, 100), (80, 100), (95, 100)):
@@ -102,6 +110,11 @@ def test_linked_sets_share_a_key():
                         both = len(np.intersect1d(a, b))
                         if den * both >= num * (len(a) + len(b) - both) and not np.array_equal(a, b):
                             assert len(np.intersect1d(rule.keys(a), rule.keys(b))), (num, size, added, removed)
+                            # whatever counts as common, from a few shingles to all
+                            for share in (0.1, 0.5, 0.9, 1.0):
+                                both_sets = np.union1d(a, b)
+                                common = np.sort(rnd.choice(both_sets, int(share * len(both_sets)), replace=False))
+                                assert len(np.intersect1d(rule.keys(a, common), rule.keys(b, common))), (num, size, added, removed, share)
 
 
 def test_tree_keeps_every_linked_pair():
