@@ -22,15 +22,27 @@ BRONZE_SCHEMA = (
 )
 
 
-def load_arrivals(spark: SparkSession, arrivals: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Takes all bronze Parquet files not seen yet and stops; start it once per week."""
+def load_arrivals(spark: SparkSession, arrivals: str, target: str, checkpoint: str, aliases: DataFrame | None = None) -> StreamingQuery:
+    """Takes all bronze Parquet files not seen yet and stops; start it once per week.
+
+    Fills every silver table that comes from bronze; with the alias catalogue also persons and the people of measurements.
+    """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        # three loads read the batch; it is stored for them only while this call lasts
+        # all loads read the batch; it is stored for them only while this call lasts
         batch = batch.persist()
         try:
-            sinks.append_new(silver.entity_session(batch), f"{target}/silver_entidad_sesion_medicion")
-            sinks.append_new(silver.relation_measurement(batch), f"{target}/silver_relacion_medicion")
+            loads = {
+                "silver_entidad_planta": silver.entity_plant(batch),
+                "silver_entidad_punto_medicion": silver.entity_point(batch),
+                "silver_entidad_sesion_medicion": silver.entity_session(batch),
+                "silver_relacion_medicion": silver.relation_measurement(batch),
+            }
+            if aliases is not None:
+                loads["silver_entidad_persona"] = silver.entity_person(aliases)
+                loads["silver_relacion_medicion_persona"] = silver.relation_measurement_person(batch, aliases)
+            for name, rows in loads.items():
+                sinks.append_new(rows, f"{target}/{name}")
             sinks.append_detail(silver.detail_measurement(batch), f"{target}/silver_detalle_medicion")
         finally:
             batch.unpersist()

@@ -140,9 +140,11 @@ def test_stream_takes_each_file_once(spark, people, tmp_path):
     load_arrivals(spark, arrivals, target, state).awaitTermination()
     assert spark.read.parquet(relation).count() == rows.select("planta", "punto_evaluacion", "anio", "semana").distinct().count()
     # a lost checkpoint replays everything and adds nothing
-    load_arrivals(spark, arrivals, target, state + "2").awaitTermination()
+    load_arrivals(spark, arrivals, target, state + "2", people).awaitTermination()
     keys = spark.read.parquet(relation)
     assert keys.count() == keys.select("huella_registro").distinct().count()
+    for name in ("entidad_planta", "entidad_punto_medicion", "entidad_persona", "relacion_medicion_persona"):
+        assert spark.read.parquet(f"{target}/silver_{name}").count() > 0
 
 
 def test_vector_table_is_created_once(spark, tmp_path):
