@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.keys import surrogate_key
@@ -57,32 +57,22 @@ def with_people(
 ) -> DataFrame:
     """One row per distinct measurement with operator and technician (and their ids).
 
-    The lookup has one row per alias, so neither join multiplies rows. Equal measurements show the greatest name (and
-    id): names of the catalogue are ranked once, the facts are aggregated over the ranks, which a hash table can hold,
-    and the texts are put back at the end.
+    The lookup has one row per alias, so neither join multiplies rows; the
+    maximum over equal measurements is map-side combined.
     """
     names = alias_names(aliases, persons)
-    shown = [OPERATOR, TECHNICIAN, *([f"{OPERATOR}_dni", f"{TECHNICIAN}_dni"] if with_ids else [])]
-    texts = names.select(F.explode(F.array(*shown)).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
-    # the catalogue's names, not the facts: a small relation in one window
-    ranked = texts.withColumn("_rank", F.row_number().over(Window.orderBy("_text")))
-    coded = names.select("alias_fuente", *shown)
-    for column in shown:
-        code = ranked.select(F.col("_text").alias(column), F.col("_rank").alias(f"_{column}"))
-        coded = coded.join(code, column, "left").drop(column)
-    coded = grouped_for_join(coded, "alias_fuente").agg(*[F.max(f"_{c}").alias(f"_{c}") for c in shown]).drop("_spread")
-
-    out = measurements.withColumns({f"_{r}_key": F.trim(f"{r}_alias") for r in (OPERATOR, TECHNICIAN)})
+    out = measurements
+    for role in (OPERATOR, TECHNICIAN):
+        side = names.select(
+            F.col("alias_fuente").alias(f"_{role}"), F.col(role).alias(f"_{role}_n"), F.col(f"{role}_dni").alias(f"_{role}_i")
+        )
+        out = out.join(side, F.trim(F.col(f"{role}_alias")) == F.col(f"_{role}"), "left")
+    shown = []
     for role in (OPERATOR, TECHNICIAN):
-        mine = [c for c in shown if c.startswith(role)]
-        side = coded.select(F.col("alias_fuente").alias(f"_{role}_key"), *[f"_{c}" for c in mine])
-        out = out.join(side, f"_{role}_key", "left")
-    out = out.groupBy(*by).agg(*[F.max(f"_{c}").alias(f"_{c}") for c in shown])
-    for column in shown:
-        text = ranked.select(F.col("_rank").alias(f"_{column}"), F.col("_text").alias(column))
-        out = out.join(text, f"_{column}", "left")
-    ordered = [c for r in (OPERATOR, TECHNICIAN) for c in shown if c.startswith(r)]
-    return out.select(*by, *ordered)
+        shown.append(F.max(f"_{role}_n").alias(role))
+        if with_ids:
+            shown.append(F.max(f"_{role}_i").alias(f"{role}_dni"))
+    return out.groupBy(*by).agg(*shown)
 
 
 def person_roles(bronze: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -31,12 +31,6 @@ def test_bronze_is_built_without_a_job(spark):
     assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build bronze")) == []
 
 
-def test_names_are_aggregated_in_hash_tables(spark):
-    frame = QUERIES["alias_resolution"](spark, FOLDER)
-    frame.collect()
-    assert "SortAggregate(key=[planta" not in frame._jdf.queryExecution().executedPlan().toString()
-
-
 def test_plans_do_not_show_keys(spark):
     key = b"0123456789abcdef0123456789abcdef"
     text = F.col("id").cast("string")
