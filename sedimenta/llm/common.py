@@ -153,9 +153,11 @@ _LOADED: dict[str, object] = {}
 
 
 def once(key: str, make: Callable[[], object]) -> object:
-    """One object per worker process: models outlive the tasks that use them. Only the last few stay."""
-    if key not in _LOADED:
-        while len(_LOADED) >= 4:
+    """One object per worker process: models outlive the tasks that use them. Only the three used last stay."""
+    found = _LOADED.pop(key, None)
+    if found is None:
+        while len(_LOADED) >= 3:
             _LOADED.pop(next(iter(_LOADED)))
-        _LOADED[key] = make()
-    return _LOADED[key]
+        found = make()
+    _LOADED[key] = found
+    return found

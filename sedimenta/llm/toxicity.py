@@ -25,7 +25,7 @@ BUCKETS = 1 << 20
 #: A feature is considered when so many standard errors more frequent in toxic texts, in so many of them, and when
 #: by the class prior so much of its occurrences is in toxic texts.
 EXCESS, LEAST_TEXTS, PURITY, FEATURES = 6.0, 4, 0.6, 4096
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS, SAMPLE_CHUNKS = 400_000, 50_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -46,8 +46,8 @@ class _Features:
     stems that also begin harmless words betray themselves by their number.
     """
 
-    def __init__(self, chosen: set[int] | None = None):
-        self.chosen = chosen
+    def __init__(self, chosen: set[int] | None = None, cache: int = CACHE_CHUNKS):
+        self.chosen, self.cache = chosen, cache
         self.wanted = None if chosen is None else {x % BUCKETS for x in chosen}
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -56,7 +56,7 @@ class _Features:
         known = self.known
         missing = chunks.difference(known)
         if missing:
-            if len(known) + len(missing) > CACHE_CHUNKS:
+            if len(known) + len(missing) > self.cache:
                 known.clear()
                 missing = chunks
             for c in missing:
@@ -199,7 +199,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, plain_row
     sample = own.join(F.broadcast(confirmed.unionByName(plain)), "_id")
 
     def work(batch: pa.RecordBatch) -> dict:
-        features = once("toxicity features", _Features)
+        features = once("toxicity features", lambda: _Features(cache=SAMPLE_CHUNKS))
         found = [np.sort(np.fromiter(features.of(t), np.int32)) for t in texts_of(batch, "text")]
         return {"_id": batch.column("_id"), "toxic": batch.column("toxic"), "features": found}
 
@@ -217,6 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, plai
     for kind in (True, False):
         own = rows.filter(rows.column("toxic") if kind else pc.invert(rows.column("toxic"))).column("features").combine_chunks()
         kinds[kind] = Presence(np.asarray(pc.list_value_length(own)), np.asarray(own.flatten()))
+    del rows, own
     return fit(kinds[True], kinds[False], prior)
 
 
