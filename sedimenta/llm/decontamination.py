@@ -35,7 +35,7 @@ RANK, SURPLUS, ITEM_WEIGHT = 640, 64, 3.0
 COSINE = 0.6
 #: A passage is a leak when so much of the item is a common subsequence, or so much and the item's end too.
 SURE, LIKELY, END_WORDS, END_SHARE = 0.8, 0.55, 8, 0.6
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 250_000
 _SIGNS = re.compile(r"[\W_]+")
 
 

@@ -30,9 +30,9 @@ POINT_GROUPS, FANOUT = 64, 16
 STEP = 1.5
 #: Documents and shingles of a block of a candidate cluster; larger clusters are compared block by block.
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 #: A shingle is common when it is met so often among COUNTED shingles of a task; so many of the most common are shipped.
-COMMON, COUNTED, COMMON_SHINGLES = 4, 1 << 22, 1 << 18
+COMMON, COUNTED, COMMON_SHINGLES = 4, 1 << 21, 1 << 18
 _NONE = np.zeros(0, np.uint64)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 

@@ -21,7 +21,7 @@ from sedimenta.llm.common import learnable, local_copy, mapped, once, shipped, t
 BUCKETS, FACTORS = 1 << 15, 8
 #: Labelled rows of each class that are learned from: a bound on the driver's work.
 TRAIN_ROWS = 3_000
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 250_000
 STATISTICS = "log_chars log_words word_length upper symbols digits long_bytes distinct repeats lines line_repeats closed".split()
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 _SYMBOLS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,'-")
