@@ -1,5 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval: a distributed randomised SVD of TF-IDF passages finds
-candidates by cosine, then the longest common subsequence of words and the end of the item decide.
+candidates by cosine, then the longest common subsequence of words and the end of the item decide. Beside them all
+texts that may hold an item word by word, or a short item nearly so, are candidates: shared terms bound what is common,
+so none is missed.
 
 Columns of the matrix are the benchmark's terms, rows its items and all corpus passages that share several content
 terms with it. With M = A'A and a random test matrix W one pass gives Z = MW, and M is close to
@@ -35,6 +37,11 @@ RANK, SURPLUS, ITEM_WEIGHT = 640, 64, 3.0
 COSINE = 0.6
 #: A passage is a leak when so much of the item is a common subsequence, or so much and the item's end too.
 SURE, LIKELY, END_WORDS, END_SHARE = 0.8, 0.55, 8, 0.6
+#: Items of up to so many words are looked for in windows of their own as well, one beginning every STRIDE words: a
+#: span of such an item and a sixth more lies in one of them. Longer items: so many of the rarest terms are compared.
+SHORT, SHORT_WINDOW, COMPARED = 15, 32, 16
+#: How a candidate was found: by cosine, in a short window, by all of its terms in one text.
+LATENT, NEAR, VERBATIM = range(3)
 CACHE_CHUNKS = 250_000
 _SIGNS = re.compile(r"[\W_]+")
 
@@ -62,6 +69,78 @@ class Vocabulary:
         self.terms = {w: k for k, w in enumerate(sorted(kept))}
 
 
+def least_common(words: int) -> int:
+    """Words in common with a short item that its copy needs at least; an item that is all end has to be sure."""
+    return next(k for k in range(1, words + 1) if k / words >= (SURE if words <= END_WORDS else LIKELY))
+
+
+class SharedTerms:
+    """Finds texts or windows that share as many terms with an item as a copy of it has; none of these is missed.
+
+    Of a short item a copy may lack some words, of a longer one none. Terms whose number exceeds what may be lacking
+    cannot all be absent, so the rarest of these lead to the item.
+    """
+
+    def __init__(self, items: list[tuple[int, list[str]]], terms: dict[str, int], frequency: np.ndarray):
+        posts: list[tuple[int, int]] = []
+        self.terms, self.short = len(terms), np.array([len(w) <= SHORT for _, w in items])
+        codes, times, ends, need = [], [], [], []
+        for k, (_, words) in enumerate(items):
+            own: dict[int, int] = {}
+            for w in words:
+                if w in terms:
+                    own[terms[w]] = own.get(terms[w], 0) + 1
+            lacking = len(words) - least_common(len(words)) if self.short[k] else 0
+            rarest = sorted(own, key=lambda c: (frequency[c], c))
+            for c in rarest:
+                posts.append((c, k))
+                lacking -= own[c]
+                if lacking < 0:
+                    break
+            rarest = rarest if self.short[k] else rarest[:COMPARED]
+            codes += rarest
+            times += [own[c] for c in rarest]
+            ends.append(len(codes))
+            # words that are no terms may all be there
+            need.append(least_common(len(words)) - len(words) + sum(own.values()) if self.short[k] else sum(own[c] for c in rarest))
+        posts.sort()
+        self.posts = np.array([k for _, k in posts], np.int64)
+        self.post_starts = np.searchsorted(np.array([c for c, _ in posts], np.int64), np.arange(self.terms + 1))
+        self.codes, self.times, self.need = (np.array(x, np.int64) for x in (codes, times, need))
+        self.starts = np.append(0, ends)
+
+    def pairs(self, group: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`(group, item)` for rows of a group's number and a term in it."""
+        key = np.unique(group.astype(np.int64) * self.terms + code)
+        owner, term = key // self.terms, key % self.terms
+        n = self.post_starts[term + 1] - self.post_starts[term]
+        pair = np.repeat(owner, n) * len(self.need) + self.posts[_cells(self.post_starts[term], n)]
+        pair = np.unique(pair)
+        good = np.zeros(len(pair), bool)
+        for a in range(0, len(pair), 1 << 16):
+            owner, item = np.divmod(pair[a : a + (1 << 16)], len(self.need))
+            n = self.starts[item + 1] - self.starts[item]
+            which, cells = np.repeat(np.arange(len(item)), n), _cells(self.starts[item], n)
+            wanted = owner[which] * self.terms + self.codes[cells]
+            there = key[np.minimum(np.searchsorted(key, wanted), len(key) - 1)] == wanted
+            good[a : a + len(item)] = np.bincount(which, there * self.times[cells], minlength=len(item)) >= self.need[item]
+        return np.divmod(pair[good], len(self.need))
+
+
+def _cells(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, n of them."""
+    return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def least_sightings(vocabulary: Vocabulary) -> int:
+    """Places of terms that a text has at least if it holds an item, or enough for a passage."""
+    least = SHARED
+    for _, words in vocabulary.items:
+        lacking = len(words) - least_common(len(words)) if len(words) <= SHORT else 0
+        least = min(least, sum(w in vocabulary.terms for w in words) - lacking)
+    return max(least, 1)
+
+
 def _spec(name: str) -> dict:
     def load() -> dict:
         with open(local_copy(name), encoding="utf-8") as file:
@@ -71,7 +150,10 @@ def _spec(name: str) -> dict:
 
 
 def sightings(docs: DataFrame, terms: str, identity: str, text: str) -> DataFrame:
-    """`(doc_id, places array<int>, codes array<int>)`: where each text has the benchmark's terms. Texts with few are left out."""
+    """`(doc_id, places array<int>, codes array<int>)`: where each text has the benchmark's terms, counted in words.
+
+    Texts with fewer terms than any copy has are left out. A chunk of signs only is no word.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("places", pa.list_(pa.int32())), ("codes", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,11 +172,13 @@ def sightings(docs: DataFrame, terms: str, identity: str, text: str) -> DataFram
                             known.clear()
                         for c in set(chunks):
                             if c not in known:
-                                known[c] = codes.get(word(c), -1)
+                                w = word(c)
+                                known[c] = codes.get(w, -1) if w else -2
                         row = [known[c] for c in chunks]
                     row = np.array(row, np.int32)
+                    row = row[row > -2]
                     at = np.flatnonzero(row >= 0)
-                    if len(at) >= SHARED:
+                    if len(at) >= spec["least"]:
                         names.append(name)
                         places.append(at.astype(np.int32))
                         found.append(row[at])
@@ -127,6 +211,14 @@ def passages(batch: pa.RecordBatch, weight: np.ndarray) -> tuple[np.ndarray, np.
     return key >> 32, ((key & 0xFFFFFFFF) - reach) * STRIDE, np.cumsum(n) - n, code[cells]
 
 
+def short_windows(places: np.ndarray, codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`(owner and first word, code)` of the terms in windows for short items; the key is owner << 32 | first / STRIDE + 1."""
+    reach = SHORT_WINDOW // STRIDE
+    first = (places // STRIDE)[:, None] - np.arange(reach)
+    key = (owner.astype(np.int64)[:, None] * (1 << 32) + first + 1).ravel()
+    return key, np.repeat(codes, reach)
+
+
 def _projected(codes: np.ndarray, starts: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     """Sums of the matrix rows of each passage's terms."""
     if not len(starts):
@@ -206,13 +298,23 @@ def leak(item: list[str], near: list[str]) -> tuple[bool, float, bool]:
     return share >= SURE or (share >= LIKELY and answered), share, answered
 
 
+def short_leak(item: list[str], near: list[str]) -> tuple[bool, float, bool]:
+    """`leak` of a short item in the best span of its length and a sixth more; spans begin at words of the item."""
+    span, own, best = len(item) + len(item) // 6, set(item), (False, 0.0, False)
+    for k, w in enumerate(near):
+        if w in own:
+            yes, share, answered = leak(item, near[k : k + span])
+            best = max(best, (yes and (share >= SURE or len(item) > END_WORDS), share, answered))
+    return best
+
+
 def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]], identity: str, text: str) -> DataFrame | None:
     vocabulary = Vocabulary(items)
     terms = vocabulary.terms
     if not terms:
         return None
     path = scratch_path(spark, "sightings")
-    seen = sightings(docs, shipped(spark, "terms", json.dumps({"terms": terms}).encode()), identity, text)
+    seen = sightings(docs, shipped(spark, "terms", json.dumps({"terms": terms, "least": least_sightings(vocabulary)}).encode()), identity, text)
     seen.write.parquet(path)
     seen = spark.read.schema("doc_id long, places array<int>, codes array<int>").parquet(path)
 
@@ -243,17 +345,19 @@ def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]]
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
     blob = np.concatenate([basis * weight[:, None], latent]).astype(np.float32)
     model = shipped(spark, "latent", blob.tobytes())
-    described = shipped(spark, "items", json.dumps({"weight": weight.tolist(), "rank": basis.shape[1], "items": vocabulary.items}).encode())
+    description = {"weight": weight.tolist(), "rank": basis.shape[1], "items": vocabulary.items, "terms": terms, "frequency": frequency.tolist()}
+    described = shipped(spark, "items", json.dumps(description).encode())
 
-    def matrices() -> tuple[np.ndarray, np.ndarray]:
-        raw = np.fromfile(local_copy(model), np.float32).reshape(-1, _spec(described)["rank"])
-        return raw[: len(_spec(described)["weight"])], raw[len(_spec(described)["weight"]) :]
+    def matrices() -> tuple[np.ndarray, np.ndarray, SharedTerms]:
+        spec = _spec(described)
+        raw = np.fromfile(local_copy(model), np.float32).reshape(-1, spec["rank"])
+        return raw[: len(spec["weight"])], raw[len(spec["weight"]) :], SharedTerms(spec["items"], spec["terms"], np.array(spec["frequency"]))
 
-    found = pa.schema([("doc_id", pa.int64()), ("item", pa.int32()), ("first", pa.int32()), ("cosine", pa.float64())])
+    found = pa.schema([("doc_id", pa.int64()), ("item", pa.int32()), ("first", pa.int32()), ("cosine", pa.float64()), ("kind", pa.int32())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.array(_spec(described)["weight"], np.float32)
-        project, items_ = once(f"latent {model}", matrices)
+        project, items_, shared = once(f"latent {model}", matrices)
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
@@ -262,12 +366,38 @@ def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]]
                 y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
                 cosine = y @ items_.T
                 which, item = np.nonzero(cosine >= COSINE)
-                names = np.asarray(part.column("doc_id"))[row[which]]
-                columns = names, item, first[which], cosine[which, item]
+                names = np.asarray(part.column("doc_id"))
+                columns = [(names[row[which]], item, first[which], cosine[which, item], np.full(len(which), LATENT))]
+
+                lists = part.column("codes")
+                codes, places = np.asarray(lists.flatten()), np.asarray(part.column("places").flatten())
+                owner = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(lists.offsets)))
+                text_, item = shared.pairs(owner, codes)
+                short = shared.short[item]
+                # longer items: the best passage of the text
+                edges = np.searchsorted(row, [text_[~short], text_[~short] + 1]).T
+                best = [cosine[a:b, i].max(initial=0) for (a, b), i in zip(edges, item[~short])]
+                columns.append((names[text_[~short]], item[~short], np.zeros(len(best)), best, np.full(len(best), VERBATIM)))
+                # short ones: windows of the texts that may hold one
+                some = np.isin(owner, text_[short])
+                key, code = short_windows(places[some], codes[some], owner[some])
+                key, group = np.unique(key, return_inverse=True)
+                window, item = shared.pairs(group, code)
+                window, item = window[shared.short[item]], item[shared.short[item]]
+                hit, place = np.unique(window, return_inverse=True)
+                order = np.argsort(group, kind="stable")
+                order = order[np.isin(group[order], hit)]
+                y = _projected(code[order], np.searchsorted(group[order], hit), project)
+                y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
+                like = (y[place] * items_[item]).sum(axis=1)
+                begin = ((key[window] & 0xFFFFFFFF) - 1) * STRIDE
+                columns.append((names[key[window] >> 32], item, begin, like, np.full(len(item), NEAR)))
+                columns = [np.concatenate([np.asarray(c) for c in x]) for x in zip(*columns)]
+                columns[2] = columns[2].astype(np.int32)
                 yield pa.record_batch([as_arrow(c, f.type) for c, f in zip(columns, found)], schema=found)
 
-    candidates = seen.mapInArrow(search, "doc_id long, item int, first int, cosine double")
-    candidates = candidates.groupBy("doc_id").agg(F.collect_list(F.struct("item", "first", "cosine")).alias("hits"))
+    candidates = seen.mapInArrow(search, "doc_id long, item int, first int, cosine double, kind int")
+    candidates = candidates.groupBy("doc_id").agg(F.collect_list(F.struct("item", "first", "cosine", "kind")).alias("hits"))
     candidates = stored(candidates, "candidates")
     texts = suspected(docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text")), candidates, "doc_id")
     texts = texts.join(candidates, "doc_id")
@@ -279,12 +409,21 @@ def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]]
             for block in blocks(batch, "text"):
                 out = []
                 for name, t, hits in zip(*(block.column(c).to_pylist() for c in ("doc_id", "text", "hits"))):
-                    words = [*map(word, (t or "").split())]
-                    for h in hits:
+                    words, whole, whole_text = [w for w in map(word, (t or "").split()) if w], set(), None
+                    for h in sorted(hits, key=lambda h: -h["cosine"]):
+                        if h["item"] in whole:
+                            continue  # found word by word, with a greater cosine
                         item_id, item = items_[h["item"]]
-                        near = words[max(0, h["first"] - len(item)) : h["first"] + WINDOW + len(item)]
-                        yes, share, answered = leak(item, near)
+                        if h["kind"] == VERBATIM:
+                            whole_text = whole_text or f" {' '.join(words)} "
+                            yes, share, answered = f" {' '.join(item)} " in whole_text, 1.0, True
+                        elif h["kind"] == NEAR:
+                            yes, share, answered = short_leak(item, words[max(0, h["first"]) : h["first"] + SHORT_WINDOW])
+                        else:
+                            yes, share, answered = leak(item, words[max(0, h["first"] - len(item)) : h["first"] + WINDOW + len(item)])
                         if yes:
+                            if share == 1.0:
+                                whole.add(h["item"])
                             out.append((name, item_id, h["cosine"], share, answered))
                 yield pa.record_batch([pa.array([r[k] for r in out], f.type) for k, f in enumerate(leaks)], schema=leaks)
 

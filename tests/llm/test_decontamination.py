@@ -87,3 +87,53 @@ def test_empty_tables(spark, planted):
     no_docs, no_items = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert d.leaks(no_docs, spark.createDataFrame(items, "item_id long, text string")).collect() == []
     assert d.leaks(spark.createDataFrame(docs[:3], "doc_id long, text string"), no_items).collect() == []
+
+
+def test_copies_of_short_and_long_items_equal_brute_force(spark):
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(3, 9))) for _ in range(3000)]
+    common, own = words[:60], [f"q{k}" for k in range(600)]
+    items = {k: rnd.sample(own, n) if k % 2 else [*rnd.sample(own, 1), *rnd.choices(common, k=n - 1)] for k, n in enumerate([*range(1, 16)] * 4)}
+    # longer ones that lie among other terms of the benchmark, or repeat a word
+    items |= {100 + k: rnd.choices(common, k=20 + k) for k in range(6)} | {200: ["rara"] * 18}
+    docs = {}
+    for k, item in items.items():
+        for d_ in range(3):  # alone, in plain text, among words of other items
+            around = rnd.choices((words[60:], words[60:], own + common)[d_], k=(0, 120, 90)[d_])
+            at = rnd.randrange(len(around) + 1)
+            copy = [x for w in item for x in ((w.upper() + ",", "--") if d_ else (w,))]
+            docs[k * 10 + d_] = around[:at] + copy + around[at:]
+    docs |= {5000 + k: rnd.choices(words, k=rnd.randrange(1, 200)) for k in range(100)}
+    table = spark.createDataFrame([(k, " ".join(t)) for k, t in docs.items()], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in d.leaks(table, bench).collect()}
+    plain = {k: f" {' '.join(filter(None, map(d.word, t)))} " for k, t in docs.items()}
+    want = {(k, i) for k, t in plain.items() for i, item in items.items() if f" {' '.join(item)} " in t}
+    assert want <= set(found) and len(want) >= 3 * len(items)
+    assert all(found[x]["lcs"] == 1 and found[x]["answered"] for x in want)
+
+
+def test_short_items_with_altered_words_equal_brute_force(spark):
+    rnd = random.Random(10)
+    words = [f"w{k}" for k in range(40)]
+    items = [(k, rnd.sample(words, n) if k % 2 else rnd.choices(words, k=n)) for k, n in enumerate([*range(1, 16)] * 2)]
+    docs = [(k, rnd.choices(words, k=rnd.randrange(0, 60))) for k in range(60)]
+    for k, (_, item) in enumerate(items):
+        copy = list(item)
+        for _ in range(len(item) // 5):
+            copy[rnd.randrange(len(copy))] = rnd.choice(["zz", "--"])
+        docs.append((100 + k, rnd.choices(words, k=rnd.randrange(40)) + copy + rnd.choices(words, k=30)))
+    want = set()
+    for k, t in docs:
+        t = [w for w in map(d.word, t) if w]
+        for i, item in items:
+            span = len(item) + len(item) // 6
+            for a in range(len(t)):
+                both = brute_common(item, t[a : a + span]) / len(item)
+                end = item[-d.END_WORDS :]
+                answered = brute_common(end, t[a : a + span]) >= d.END_SHARE * len(end)
+                if both >= d.SURE or (len(item) > d.END_WORDS and both >= d.LIKELY and answered):
+                    want.add((k, i))
+    spark_docs = spark.createDataFrame([(k, " ".join(t)) for k, t in docs], "doc_id long, text string")
+    found = d.leaks(spark_docs, spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string"))
+    assert want <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
