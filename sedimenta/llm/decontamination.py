@@ -24,7 +24,7 @@ from sedimenta.session import scratch_path
 
 #: Passages are windows of so many words, one beginning every STRIDE words.
 WINDOW, STRIDE = 64, 16
-#: Items that are looked for in one pass: bounds what is shipped to the tasks. More items take more passes.
+#: Half of it, and RANK - SURPLUS, are the most items that are looked for in one pass. More items take more passes.
 ITEMS_A_PASS = 4096
 #: A term found in more of the passages (and more often than so) is no content term, unless it is among the rarest
 #: of an item.
@@ -432,6 +432,12 @@ def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]]
     return rows.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.lcs", "best.answered")
 
 
+def pass_starts(hashes: np.ndarray) -> list[int]:
+    """The least hashes of the second and later passes: no pass has more items than the basis has directions for."""
+    most = max(1, min(ITEMS_A_PASS // 2, RANK - SURPLUS))
+    return np.unique(np.sort(hashes)[most::most]).tolist()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, identity: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """`(doc_id, item_id, cosine, lcs, answered)`: every document that holds a benchmark item, with its best passage.
 
@@ -440,10 +446,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, identity: str = "doc_id", text:
     """
     spark = docs.sparkSession
     known = benchmark.filter(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).distinct()
-    passes = max(1, -(-known.count() // (ITEMS_A_PASS // 2)))
+    known = known.withColumn("h", F.xxhash64("i", "t"))
+    starts = pass_starts(np.asarray(known.select("h").toArrow().column("h")))
+    passes = len(starts) + 1
     out: DataFrame | None = None
-    for k in range(passes):
-        share = known.filter(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == k) if passes > 1 else known
+    for low, high in zip([None, *starts], [*starts, None]):
+        share = known if low is None else known.filter(F.col("h") >= low)
+        share = share if high is None else share.filter(F.col("h") < high)
         part = _one_pass(spark, docs, sorted((r["i"], r["t"]) for r in share.collect()), identity, text)
         if part is not None:
             out = part if out is None else out.unionByName(part)

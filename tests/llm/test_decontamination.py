@@ -137,3 +137,14 @@ def test_short_items_with_altered_words_equal_brute_force(spark):
     spark_docs = spark.createDataFrame([(k, " ".join(t)) for k, t in docs], "doc_id long, text string")
     found = d.leaks(spark_docs, spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string"))
     assert want <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
+def test_no_pass_has_more_items_than_the_basis_has_directions(spark, planted, monkeypatch):
+    docs, items, want = planted
+    taken, one_pass = [], d._one_pass
+    monkeypatch.setattr(d, "RANK", 28)
+    monkeypatch.setattr(d, "SURPLUS", 8)
+    monkeypatch.setattr(d, "_one_pass", lambda s, t, part, *rest: taken.append(len(part)) or one_pass(s, t, part, *rest))
+    found = d.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+    assert sum(taken) == len(items) and max(taken) <= 20
