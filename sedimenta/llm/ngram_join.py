@@ -186,7 +186,7 @@ def common_shingles(docs: DataFrame, words: int, text: str) -> bytes:
 
 
 def signatures(docs: DataFrame, words: int, rule: Rule, identity: str, text: str) -> DataFrame:
-    """`(doc_id, n_shingles, node, keys)`: size and digest of each set; keys with the first copy in a task only."""
+    """`(doc_id, n_shingles, node, keys)`: size and digest of each set; keys with the first copy in a task that has an id."""
     common = shipped(docs.sparkSession, "common", common_shingles(docs, words, text))
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
@@ -198,9 +198,11 @@ def signatures(docs: DataFrame, words: int, rule: Rule, identity: str, text: str
                 sets = shingler.sets(block.column("text").to_pylist())
                 nodes = [_digest(s) if len(s) else None for s in sets]
                 keys = []
-                for s, node in zip(sets, nodes):
-                    keys.append(None if node is None or node in seen else rule.keys(s, shared))
-                    if len(seen) < CACHE_WORDS:
+                for name, s, node in zip(block.column("id").to_pylist(), sets, nodes):
+                    # a row without an id links nothing, so it is no first copy
+                    first = name is not None and node is not None and node not in seen
+                    keys.append(rule.keys(s, shared) if first else None)
+                    if first and len(seen) < CACHE_WORDS:
                         seen.add(node)
                 columns = [block.column("id"), [len(s) for s in sets], nodes, keys]
                 yield pa.record_batch([as_arrow(c, f.type) for c, f in zip(columns, schema)], schema=schema)

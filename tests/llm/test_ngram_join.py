@@ -145,3 +145,13 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 1 for i in range(1, 300)} | {1000 + i: 1000 for i in range(50)} | {3000: 3000, 3001: 3000}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_row_without_an_id_before_near_copies(spark):
+    words = [f"w{i}" for i in range(200)]
+    text, near = " ".join(words), " ".join([*words[:100], "other", *words[101:]])
+    rows = [(None, text), (5, text), (6, near), (None, near), (7, "apart from all")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted((tuple(r) for r in ngram_join.join_components(df).collect()), key=str) == brute(rows)
+    kept = ngram_join.one_of_each(df, 3, 90, 100).collect()
+    assert sorted((tuple(r) for r in kept), key=str) == sorted([(None, text), (None, near), (5, text), (7, "apart from all")], key=str)
