@@ -24,8 +24,9 @@ from sedimenta.session import scratch_path
 
 #: Passages are windows of so many words, one beginning every STRIDE words.
 WINDOW, STRIDE = 64, 16
-#: Half of it, and RANK - SURPLUS, are the most items that are looked for in one pass. More items take more passes.
-ITEMS_A_PASS = 4096
+#: Half of it, and RANK - SURPLUS, are the most items that are looked for in one pass. More items take more passes, as
+#: do more words than these: they bound the terms, and with them the matrices of terms x rank. A longer item is alone.
+ITEMS_A_PASS, WORDS_A_PASS = 4096, 1 << 15
 #: A term found in more of the passages (and more often than so) is no content term, unless it is among the rarest
 #: of an item.
 CONTENT_SHARE, CONTENT_LEAST, RAREST = 0.0005, 64, 8
@@ -336,12 +337,10 @@ def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]]
     rank = min(RANK, len(terms), len(codes) + SURPLUS)
     test = _test_matrix(len(terms), rank).astype(np.float64)
     z = sketch(seen, shipped(spark, "weights", json.dumps({"weight": weight.tolist()}).encode()), len(terms), rank)
-    rows = np.zeros((len(codes), len(terms)), np.float32)
-    for k, own in enumerate(codes):
-        np.add.at(rows[k], own, weight[own])
-    z += ITEM_WEIGHT**2 * (rows.T @ (rows @ test))
+    for own in codes:
+        np.add.at(z, own, ITEM_WEIGHT**2 * np.outer(weight[own], weight[own] @ test[own]))
     basis = right_singular_vectors(z, test, rank)
-    latent = rows @ basis
+    latent = np.array([weight[own] @ basis[own] for own in codes])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
     blob = np.concatenate([basis * weight[:, None], latent]).astype(np.float32)
     model = shipped(spark, "latent", blob.tobytes())
@@ -432,10 +431,19 @@ def _one_pass(spark: SparkSession, docs: DataFrame, items: list[tuple[int, str]]
     return rows.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.lcs", "best.answered")
 
 
-def pass_starts(hashes: np.ndarray) -> list[int]:
-    """The least hashes of the second and later passes: no pass has more items than the basis has directions for."""
+def pass_starts(hashes: np.ndarray, words: np.ndarray) -> list[int]:
+    """The least hashes of the second and later passes.
+
+    No pass has more items than the basis has directions for, nor more words than WORDS_A_PASS unless one item has.
+    """
     most = max(1, min(ITEMS_A_PASS // 2, RANK - SURPLUS))
-    return np.unique(np.sort(hashes)[most::most]).tolist()
+    starts, items, total = [], 0, 0
+    for k in np.argsort(hashes, kind="stable").tolist():
+        if items and (items == most or total + words[k] > WORDS_A_PASS):
+            starts.append(int(hashes[k]))
+            items, total = 0, 0
+        items, total = items + 1, total + int(words[k])
+    return sorted(set(starts))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, identity: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
@@ -447,7 +455,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, identity: str = "doc_id", text:
     spark = docs.sparkSession
     known = benchmark.filter(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).distinct()
     known = known.withColumn("h", F.xxhash64("i", "t"))
-    starts = pass_starts(np.asarray(known.select("h").toArrow().column("h")))
+    sizes = known.select("h", F.size(F.split("t", r"\s+")).alias("n")).toArrow()
+    starts = pass_starts(np.asarray(sizes.column("h")), np.asarray(sizes.column("n")))
     passes = len(starts) + 1
     out: DataFrame | None = None
     for low, high in zip([None, *starts], [*starts, None]):

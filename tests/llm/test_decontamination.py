@@ -148,3 +148,14 @@ def test_no_pass_has_more_items_than_the_basis_has_directions(spark, planted, mo
     found = d.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
     assert sum(taken) == len(items) and max(taken) <= 20
+
+
+def test_passes_are_bounded_by_words(spark, planted, monkeypatch):
+    docs, items, want = planted
+    taken, one_pass = [], d._one_pass
+    monkeypatch.setattr(d, "WORDS_A_PASS", 400)
+    monkeypatch.setattr(d, "_one_pass", lambda s, t, part, *rest: taken.append(sum(len(x.split()) for _, x in part)) or one_pass(s, t, part, *rest))
+    found = d.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+    assert sum(taken) == sum(len(x.split()) for _, x in items) and len(taken) > 1 and max(taken) <= 400
+    assert d.pass_starts(np.array([30, 10, 20]), np.array([1, 500, 1])) == [20]
