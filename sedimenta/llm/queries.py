@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, decontamination, langid, ngram_join, quality, token_files, topk, toxicity, unigram
+from sedimenta.llm import bpe, chat, decontamination, langid, lexical, merkle, mixing, ngram_join, quality, token_files, topk, toxicity, unigram
 from sedimenta.llm.common import held_out, shipped_file, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,112 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = unigram.ship(spark, unigram.vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
     return unigram.token_counts(table(spark, sf_dir, "documents"), pieces)
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_merkle_manifest"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS row, doc_id, source, lang, n_chars, text,
+           -- crc32 of the id as text, bit by bit: each byte, then eight shifts
+           xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+               lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 2 = 0 AS hit
+    FROM documents
+), parts AS (
+    SELECT row, doc_id, source, hit, text,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+           CASE WHEN hit THEN replace(text, chr(10), '') ELSE text END AS changed
+    FROM docs
+), hashed AS (
+    SELECT row, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS claimed
+    FROM parts
+), trees AS (
+    SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM documents)
+), leaves AS (
+    SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS idx, doc_id, leaf, claimed,
+           count(*) OVER (PARTITION BY tree) AS total
+    FROM hashed JOIN trees ON hashed.source IS NOT DISTINCT FROM trees.source
+), low AS (
+    SELECT tree, 0 AS level, idx, leaf AS digest, total FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (total + 2) // 3
+    FROM low WHERE total > 1 GROUP BY tree, level, idx // 3, total
+), high AS (
+    SELECT -1 AS tree, 0 AS level, tree AS idx, digest, (SELECT count(*) FROM trees) AS total FROM low WHERE total = 1
+    UNION ALL
+    SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (total + 2) // 3
+    FROM high WHERE total > 1 GROUP BY tree, level, idx // 3, total
+), nodes AS (
+    SELECT * FROM low UNION ALL SELECT * FROM high
+), runs AS (
+    SELECT a.tree, a.level, a.idx,
+           coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS before,
+           coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS after
+    FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.idx // 3 = b.idx // 3
+    WHERE a.total > 1 GROUP BY a.tree, a.level, a.idx
+), climb AS (
+    SELECT tree AS home, idx AS leaf_idx, tree, 0 AS level, idx, claimed AS folded, '' AS proof FROM leaves
+    UNION ALL
+    SELECT home, leaf_idx, CASE WHEN run THEN tree ELSE -1 END, CASE WHEN run THEN level + 1 ELSE 0 END,
+           CASE WHEN run THEN idx // 3 ELSE tree END,
+           CASE WHEN run THEN sha256(before || folded || after) ELSE folded END, proof || coalesce(before, '') || coalesce(after, '')
+    FROM (SELECT c.*, r.before, r.after, r.idx IS NOT NULL AS run
+          FROM climb c LEFT JOIN runs r ON c.tree = r.tree AND c.level = r.level AND c.idx = r.idx)
+    WHERE run OR tree >= 0
+), ends AS (
+    SELECT c.* FROM climb c ANTI JOIN runs r ON c.tree = r.tree AND c.level = r.level AND c.idx = r.idx WHERE c.tree = -1
+), root AS (
+    SELECT digest FROM high WHERE total = 1
+)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, (SELECT digest FROM root) AS root, sha256(e.proof) AS proof_sha256,
+       e.folded AS folded_root, e.folded = (SELECT digest FROM root) AS verified
+FROM leaves l JOIN ends e ON l.tree = e.home AND l.idx = e.leaf_idx JOIN low s ON l.tree = s.tree AND s.total = 1
+"""
+
+
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), lengths AS (
+    SELECT row, doc_id, len(words)::BIGINT AS n FROM docs WHERE len(words) > 0
+), stats AS (
+    SELECT count(*)::BIGINT AS n_docs, coalesce(sum(n), 0)::BIGINT AS n_words FROM lengths
+), postings AS (
+    SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(words) AS term FROM docs) GROUP BY ALL
+), df AS (
+    SELECT term, count(*)::BIGINT AS df FROM postings GROUP BY ALL
+), asked AS (
+    SELECT item_id, term, count(*)::BIGINT AS repeats
+    FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL) b,
+         unnest(regexp_extract_all(translate(b.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t(term)
+    GROUP BY ALL
+), scored AS (
+    SELECT a.item_id, l.doc_id, l.row,
+           sum(a.repeats * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df.df + 1)::DOUBLE))::BIGINT
+               * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (75 + (25 * l.n * n_docs) // n_words))))::BIGINT AS score
+    FROM asked a JOIN df USING (term) JOIN postings p USING (term) JOIN lengths l USING (row), stats
+    GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+    FROM scored WHERE score > 0 AND doc_id IS NOT NULL
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
