@@ -28,7 +28,7 @@ from sedimenta.llm.common import blocks
 from sedimenta.session import scratch_path
 
 #: Text bytes and documents after which a task closes its shard; a longer text is a shard of its own.
-SHARD_BYTES, SHARD_DOCS = 16 << 20, 1 << 14
+SHARD_BYTES, SHARD_DOCS = 10 << 20, 1 << 14
 #: Postings of a block.
 BLOCK = 128
 #: Items that a task ranks at a time.
@@ -283,6 +283,8 @@ def weights(index: DataFrame, items: DataFrame, item: str, text: str) -> tuple[D
 def _item_blocks(path: str) -> Iterator[list[tuple]]:
     store, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
     for batch in dataset.dataset(place, filesystem=store, format="parquet").to_batches(batch_size=ITEMS):
+        if not batch.num_rows:
+            continue
         yield [(i, pa.array(t, pa.binary()), np.array(w, np.int64)) for i, t, w in zip(*(batch.column(c).to_pylist() for c in ("item_id", "terms", "weights")))]
 
 

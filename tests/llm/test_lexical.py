@@ -75,6 +75,7 @@ def test_ties_go_by_id_across_shards(spark):
 def test_empty_tables_and_clashing_columns(spark):
     docs, items = corpus(40)
     assert got(spark, [], items) == [] and got(spark, docs, []) == []
+    assert got(spark, docs, [(1, "absent"), (2, "words")]) == []
     d, i = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
     for name in ("id", "terms", "df", "shard", "score", "rank", "term", "weight", "words", "word"):
         d, i = d.withColumn(name, F.lit("clash")), i.withColumn(name, F.lit("clash"))
