@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from sedimenta.session import scratch_path
@@ -51,3 +51,19 @@ def numbered(df: DataFrame, order: list[Column], group: list[str] | None = None,
     same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`{c} of counts`")) for c in [part, *group]]
     place = F.col(f"`{at}`") - F.col(f"`{first} of counts`") + F.col(f"`{before} of counts`")
     return rows.join(counts, reduce(Column.__and__, same)).select(*[F.col(f"`{c}`") for c in df.columns], place.alias(number))
+
+
+def pages(df: DataFrame, order: str, size: int = 512) -> DataFrame:
+    """`(pagina, primero, ultimo, filas)`: the ids of each page of `size` rows by ascending `order`, pages from 0.
+
+    Rows without an id are on no page. A page is read back by its bounds, which the scan gets as a filter.
+    """
+    rows = df.select(F.col(order).alias("id")).filter(F.col("id").isNotNull())
+    page = F.floor(F.col("numero") / F.lit(size)).cast("long").alias("pagina")
+    bounds = F.min("id").alias("primero"), F.max("id").alias("ultimo"), F.count(F.lit(1)).alias("filas")
+    return numbered(rows, [F.col("id").asc()], None, "numero", "pages").groupBy(page).agg(*bounds)
+
+
+def read_page(df: DataFrame, order: str, page: Row) -> DataFrame:
+    """The rows from a page's first to its last id, in order: at most a page's size if ids are unique."""
+    return df.filter(F.col(order).between(page["primero"], page["ultimo"])).orderBy(order)

@@ -53,6 +53,25 @@ def over_limit_latest(
     return out.orderBy(*_highest_first()) if ordered else out
 
 
+def summary_rows(yearly: DataFrame, limit: Column) -> DataFrame:
+    """The shown columns of yearly sums: `(planta, anio, semanas_medidas, puntos_medidos, suma, maximo, minimo, sobre, filas)`."""
+    return yearly.select(
+        "planta",
+        "anio",
+        "semanas_medidas",
+        F.when(F.col("semanas_medidas") == 1, "semana medida").otherwise("semanas medidas").alias("semanas_label"),
+        "puntos_medidos",
+        F.when(F.col("puntos_medidos") == 1, "punto").otherwise("puntos").alias("puntos_label"),
+        round_half_up(F.col("suma") / F.col("filas"), 3).alias("concentracion_promedio_mg_m3"),
+        round_half_up(F.col("maximo"), 3).alias("concentracion_max_mg_m3"),
+        round_half_up(F.col("minimo"), 3).alias("concentracion_min_mg_m3"),
+        F.col("sobre").alias("registros_sobre_limite"),
+        F.col("filas").alias("total_registros"),
+        round_half_up(F.col("sobre") * F.lit(100.0) / F.col("filas"), 1).alias("pct_sobre_limite"),
+        limit.alias("limite_interno_mg_m3"),
+    )
+
+
 def annual_summary(bronze: DataFrame, bands: DataFrame, ordered: bool = True) -> DataFrame:
     """M00002: yearly statistics of each plant.
 
@@ -73,35 +92,17 @@ def annual_summary(bronze: DataFrame, bands: DataFrame, ordered: bool = True) ->
             F.count("*").alias("_rows"),
         )
     )
-    total, over = F.sum("_rows"), F.sum("_over")
-    out = (
-        cells.groupBy("planta", "anio")
-        .agg(
+    out = summary_rows(
+        cells.groupBy("planta", "anio").agg(
             F.count_distinct("semana").alias("semanas_medidas"),
             F.count_distinct("punto_evaluacion").alias("puntos_medidos"),
-            round_half_up(F.sum("_sum") / total, 3).alias("concentracion_promedio_mg_m3"),
-            round_half_up(F.max("_max"), 3).alias("concentracion_max_mg_m3"),
-            round_half_up(F.min("_min"), 3).alias("concentracion_min_mg_m3"),
-            over.alias("registros_sobre_limite"),
-            total.alias("total_registros"),
-        )
-        .select(
-            "planta",
-            "anio",
-            "semanas_medidas",
-            F.when(F.col("semanas_medidas") == 1, "semana medida").otherwise("semanas medidas").alias("semanas_label"),
-            "puntos_medidos",
-            F.when(F.col("puntos_medidos") == 1, "punto").otherwise("puntos").alias("puntos_label"),
-            "concentracion_promedio_mg_m3",
-            "concentracion_max_mg_m3",
-            "concentracion_min_mg_m3",
-            "registros_sobre_limite",
-            "total_registros",
-            round_half_up(F.col("registros_sobre_limite") * F.lit(100.0) / F.col("total_registros"), 1).alias(
-                "pct_sobre_limite"
-            ),
-            limit.alias("limite_interno_mg_m3"),
-        )
+            F.sum("_sum").alias("suma"),
+            F.max("_max").alias("maximo"),
+            F.min("_min").alias("minimo"),
+            F.sum("_over").alias("sobre"),
+            F.sum("_rows").alias("filas"),
+        ),
+        limit,
     )
     if not ordered:
         return out

@@ -3,7 +3,9 @@
 Layers meet in Parquet, so bronze is computed once for its ten consumers and a
 lost executor or a failed stage never repeats more than one layer. Replaced
 layers go to a folder of the run; silver only ever gets appended to, by anti
-joins, so a repeated run adds nothing.
+joins, so a repeated run adds nothing. Only sheets whose content changed are
+loaded, versioned and reshaped again, and only the chunk buckets that got chunks
+are rewritten; everything else stays in the files of the run that wrote it.
 """
 
 from __future__ import annotations
@@ -21,9 +23,12 @@ from sedimenta.operators import history, reshape
 from sedimenta.plans import marts, silver
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources import sinks
-from sedimenta.sources.landing import load_landing
+from sedimenta.sources.changes import Loads
+from sedimenta.sources.chunk_store import ChunkStore
+from sedimenta.sources.landing import open_landing, write_landing
 from sedimenta.sources.registry import LANDING_SOURCES, RULES, LandingSource
 from sedimenta.sources.seeds import band_seed
+from sedimenta.sources.versioned import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -43,16 +48,24 @@ class Run:
 
 
 def snapshot_sheets(
-    spark: SparkSession, run: Run, landing: dict[str, DataFrame], sources: Sequence[LandingSource] = LANDING_SOURCES
+    spark: SparkSession,
+    run: Run,
+    landing: dict[str, DataFrame],
+    sources: Sequence[LandingSource] = LANDING_SOURCES,
+    loaded_by: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Next versions of every measurement sheet with history; returns the open versions."""
+    """Next versions of every measurement sheet with history; returns the open versions.
+
+    `loaded_by` names the run that holds a sheet's versions so far, where that is not the previous one.
+    """
     current: dict[str, DataFrame] = {}
     for source in sources:
         sheet = landing.get(source.name)
         if sheet is None or source.name not in fv.SOURCE_PLANT or not source.enable_snapshots:
             continue
         key = ["etiqueta"]
-        known = sinks.read_if_exists(spark, run.path("snapshots", source.name, run.previous)) if run.previous else None
+        before = (loaded_by or {}).get(source.name, run.previous)
+        known = sinks.read_if_exists(spark, run.path("snapshots", source.name, before)) if before else None
         versions = (
             history.scd2_first(sheet, key, run.now)
             if known is None
@@ -63,24 +76,44 @@ def snapshot_sheets(
     return current
 
 
-def load_bronze(run: Run, sheets: dict[str, DataFrame], base_year: int = fv.BASE_YEAR) -> DataFrame:
-    """All sheets in one pass, stored by year so that later filters on `anio` skip whole folders."""
+def load_bronze(
+    run: Run, sheets: dict[str, DataFrame], base_year: int = fv.BASE_YEAR, touched: Sequence[str] | None = None
+) -> DataFrame:
+    """All sheets in one pass, stored by source and year, so that later filters on `anio` skip whole folders.
+
+    `touched` names the sources that the sheets replace, or that are gone; the files of the others stay as they are. Without it
+    the table is replaced.
+    """
+    if not sheets and (touched is None or run.previous is None):
+        raise ValueError("no sheet to load")
+    spark = SparkSession.active()
+    table = VersionedTable(spark, run.shared("bronze", "bronce_mediciones"), "_bronce_fuente", ("anio",))
+    replaced = None if touched is None else [fv.SNAPSHOT_PREFIX + name for name in touched]
+    if not sheets:
+        return table.keep(run.run_id, run.previous, replaced)
     stacked = reshape.stack_sheets(sheets, fv.SOURCE_PLANT)
     bronze = reshape.wide_to_bronze(
         stacked, sheet=["_fuente"], source="_fuente", base_year=base_year, loaded_at=F.lit(run.now).cast("timestamp")
     )
-    # the year travels as a folder name; it comes back as the same integer column
-    return sinks.write_table(bronze, run.path("bronze", "bronce_mediciones"), ("anio",))
+    return table.replace(bronze, run.run_id, run.previous, replaced)
+
 
+def load_silver(
+    run: Run, bronze: DataFrame, aliases: DataFrame, changed: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Appends what is new to every silver table and returns the tables.
 
-def load_silver(run: Run, bronze: DataFrame, aliases: DataFrame) -> dict[str, DataFrame]:
-    """Appends what is new to every silver table and returns the tables."""
+    With `changed`, the keys of plants, points, sessions and measurements come from these sources only: the rows of the
+    others were taken in earlier. People and details look at all of bronze, as aliases may have changed and equal
+    contents of other keys count.
+    """
+    fresh = bronze if changed is None else bronze.filter(F.col("_bronce_fuente").isin([fv.SNAPSHOT_PREFIX + c for c in changed]))
     keyed = {
-        "silver_entidad_planta": silver.entity_plant(bronze, run.now),
-        "silver_entidad_punto_medicion": silver.entity_point(bronze, run.now),
-        "silver_entidad_sesion_medicion": silver.entity_session(bronze, run.now),
+        "silver_entidad_planta": silver.entity_plant(fresh, run.now),
+        "silver_entidad_punto_medicion": silver.entity_point(fresh, run.now),
+        "silver_entidad_sesion_medicion": silver.entity_session(fresh, run.now),
         "silver_entidad_persona": silver.entity_person(aliases, run.now),
-        "silver_relacion_medicion": silver.relation_measurement(bronze, run.now),
+        "silver_relacion_medicion": silver.relation_measurement(fresh, run.now),
         "silver_relacion_medicion_persona": silver.relation_measurement_person(bronze, aliases, run.now),
     }
     out = {name: sinks.append_new(df, run.shared("silver", name)) for name, df in keyed.items()}
@@ -110,10 +143,8 @@ def load_chunks(spark: SparkSession, run: Run, gold: dict[str, DataFrame], signi
         ch.build_chunks(gold[rule.mart], rule, run.run_id, created, run.run_id, signing_key) for rule in RULES.values()
     ]
     generated = sinks.write_table(reduce(DataFrame.unionByName, made), run.path("chunks", "generados"))
-    before = sinks.read_if_exists(spark, run.path("chunks", "almacen", run.previous)) if run.previous else None
-    store = generated if before is None else ch.upsert_chunks(before, generated)
     # repeated keys in one run (equal rows of two sheets) leave one chunk
-    return sinks.write_table(ch.one_per_id(store), run.path("chunks", "almacen"))
+    return ChunkStore(spark, run.shared("chunks", "almacen"), signing_key).upsert(generated, run.run_id, run.previous)
 
 
 def run_all(
@@ -128,8 +159,18 @@ def run_all(
 ) -> dict[str, DataFrame]:
     """All layers in order; returns bronze, silver, marts and the chunk store by name."""
     bands = band_seed(spark) if bands is None else bands
-    landing = load_landing(spark, root, run.path("landing", "").rstrip("/"), sources)
-    bronze = load_bronze(run, snapshot_sheets(spark, run, landing, sources), base_year)
-    tables = load_silver(run, bronze, aliases)
+    sheets = open_landing(spark, root, sources)
+    before = Loads.read(spark, run.path("landing", "_cargas", run.previous) if run.previous else None)
+    loads = before.after(sheets, run.run_id)
+    changed = [name for name, by in loads.runs.items() if by == run.run_id]
+    gone = [name for name in before.runs if name not in loads.runs]
+    landing = write_landing({name: sheets[name] for name in changed}, run.path("landing", "").rstrip("/"))
+    current = snapshot_sheets(spark, run, landing, sources, before.runs)
+    known = bool(before.runs)
+    bronze = load_bronze(run, current, base_year, [*changed, *gone] if known else None)
+    tables = load_silver(run, bronze, aliases, changed if known else None)
     gold = load_marts(run, bronze, tables, aliases, bands)
-    return {"bronce_mediciones": bronze, **tables, **gold, "chunks": load_chunks(spark, run, gold, signing_key)}
+    chunks = load_chunks(spark, run, gold, signing_key)
+    # last, so a run that failed is no run to compare with
+    loads.write(spark, run.path("landing", "_cargas"))
+    return {"bronce_mediciones": bronze, **tables, **gold, "chunks": chunks}

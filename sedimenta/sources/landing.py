@@ -49,11 +49,16 @@ def load_landing(
     spark: SparkSession, root: str, target: str, sources: Iterable[LandingSource] = LANDING_SOURCES
 ) -> dict[str, DataFrame]:
     """Replaces each landing table found under `root` and returns the written tables."""
+    return write_landing(open_landing(spark, root, sources), target)
+
+
+def write_landing(sheets: dict[str, DataFrame], target: str) -> dict[str, DataFrame]:
+    """Replaces the landing tables of the given sheets."""
     written: dict[str, DataFrame] = {}
-    for name, sheet in open_landing(spark, root, sources).items():
+    for name, sheet in sheets.items():
         path = f"{target.rstrip('/')}/{name}"
         sheet.write.mode("overwrite").parquet(path)
-        written[name] = spark.read.parquet(path)
+        written[name] = sheet.sparkSession.read.parquet(path)
     return written
 
 

@@ -10,12 +10,15 @@ from sedimenta.functions import fingerprint
 from sedimenta.operators import chunks as ch
 from sedimenta.operators import metrics
 from sedimenta.operators.people import MEASUREMENT, with_people
+from sedimenta.operators.numbering import pages
 from sedimenta.plans.marts import with_limit_and_band
+from sedimenta.session import scratch_path
+from sedimenta.sources.chunk_store import ChunkStore
 from sedimenta.sources.registry import RULES
 from sedimenta.sources.seeds import band_seed
 from sedimenta.testbed import frames as fr
 from sedimenta.testbed import sql as s
-from sedimenta.testbed.registry import query
+from sedimenta.testbed.registry import ORACLE, query
 
 # Keys of the trial run only; a deployment passes its own.
 SIGNING_KEY = b"trial signing key"
@@ -193,6 +196,25 @@ def _(spark, sf):
     return ch.upsert_chunks(_store(spark, sf), new)
 
 
+@query("chunk_upsert_buckets", ORACLE["chunk_upsert"])
+def _(spark, sf):
+    """The same through a stored table: the second run reads and writes the buckets of its ids only."""
+    good = fr.table(spark, sf, "labels").filter("quality = 1").select(F.md5(F.col("doc_id").cast("string")).alias("chunk_id"))
+    store = ChunkStore(spark, scratch_path(spark, "almacen"), SIGNING_KEY, digits=1)
+    store.upsert(_store(spark, sf), "r1", None)
+    return store.upsert(_store(spark, sf, "source").join(good, "chunk_id", "left_semi"), "r2", "r1")
+
+
+@query(
+    "chunk_pages",
+    """SELECT (n // 512)::BIGINT AS pagina, min(chunk_id) AS primero, max(chunk_id) AS ultimo, count(*) AS filas
+FROM (SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS n FROM (SELECT md5(cast(doc_id AS VARCHAR)) AS chunk_id FROM documents)) GROUP BY 1""",
+)
+def _(spark, sf):
+    """Pages of 512 chunks by id over the whole store."""
+    return pages(_store(spark, sf), "chunk_id", 512)
+
+
 @query(
     "chunk_validity",
     "SELECT doc_id FROM documents WHERE n_chars % 3 = 0 OR n_chars > 2000",
@@ -239,6 +261,17 @@ def _(spark, sf):
     )
 
 
+@query("chunk_forget_indexed", ORACLE["chunk_forget"])
+def _(spark, sf):
+    """The same request against a stored table: the index tells which buckets are read and written."""
+    gone = fr.table(spark, sf, "supplier").filter("s_acctbal < 1000")
+    people = gone.select(F.concat(F.lit("Persona "), F.col("s_suppkey").cast("string")).alias("valor"))
+    store = ChunkStore(spark, scratch_path(spark, "almacen"), SIGNING_KEY, digits=1)
+    store.load(_named_chunks(spark, sf), "r1")
+    left = store.forget(people, "r2", "r1")
+    return left.select("chunk_id", "estrategia_olvido", *[F.col("pii_tokens")[c].alias(c) for c in ("operador", "tecnico")])
+
+
 _EXPECTED = {r.id: r for r in (P1, P2, P3, P4)}
 
 

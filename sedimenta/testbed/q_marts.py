@@ -9,10 +9,12 @@ from sedimenta.operators.lookup import band_lookup, internal_limit
 from sedimenta.operators.people import with_people
 from sedimenta.operators.ranking import keep_latest, latest_session, peak_per_group
 from sedimenta.plans import marts, silver
+from sedimenta.plans.annual import AnnualStates
+from sedimenta.session import scratch_path
 from sedimenta.sources.seeds import band_seed
 from sedimenta.testbed import frames as fr
 from sedimenta.testbed import sql as s
-from sedimenta.testbed.registry import query
+from sedimenta.testbed.registry import ORACLE, query
 
 
 @query("m1_over_limit_latest", s.with_(*s.M1_CTES) + "SELECT * FROM m1")
@@ -25,6 +27,16 @@ def _(spark, sf):
     return fr.mart(spark, sf, "M00002", ordered=True)
 
 
+@query("m2_annual_from_states", ORACLE["m2_annual_summary"])
+def _(spark, sf):
+    """The history up to 1996 as one load, the rest as another; the summary reads their states."""
+    limit, facts = internal_limit(band_seed(spark)).scalar(), fr.bronze(spark, sf)
+    states = AnnualStates(spark, scratch_path(spark, "anual"))
+    states.load(facts.filter("anio <= 1996"), "r1", limit)
+    states.load(facts.filter("anio > 1996"), "r2", limit)
+    return states.summary(limit)
+
+
 @query("m3_historic_peak", s.with_(*s.M3_CTES) + "SELECT * FROM m3")
 def _(spark, sf):
     return fr.mart(spark, sf, "M00003", ordered=True)
