@@ -66,6 +66,21 @@ def governed(df: DataFrame, expanded: DataFrame, user_id: str, required: Mapping
     return out
 
 
+def visible_counts(df: DataFrame, expanded: DataFrame, users: DataFrame, required: Mapping[str, str]) -> DataFrame:
+    """`(user_id, filas)`: how many rows `governed` shows to each of `users(user_id)`, all users at once.
+
+    Rows are counted by their values of the required dimensions first; only those counts meet the grants. A user
+    without a grant in a required dimension, or without any, has 0.
+    """
+    columns = list(required.values())
+    seen = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    for i, (dimension, column) in enumerate(required.items()):
+        granted = expanded.filter(F.col("dimension") == dimension).select("user_id", F.col("valor").alias(column)).distinct()
+        seen = seen.join(granted, [column] if i == 0 else ["user_id", column])
+    shown = seen.groupBy("user_id").agg(F.sum("_n").alias("filas"))
+    return users.select("user_id").distinct().join(shown, "user_id", "left").select("user_id", F.coalesce("filas", F.lit(0)).alias("filas"))
+
+
 def clearance_rank(value: Column, order: Sequence[str] = fv.CLEARANCES) -> Column:
     """Position of an ordinal value, NULL for an unknown one."""
     rank = F.lit(None).cast("int")

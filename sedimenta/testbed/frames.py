@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from sedimenta.functions.text import number_text
 from sedimenta.operators.reshape import pivot_cells
 from sedimenta.plans import marts, silver
+from sedimenta.session import scratch_path
 from sedimenta.sources.seeds import band_seed
 
 FIRST_YEAR = 1995
@@ -91,6 +92,25 @@ def mart(spark: SparkSession, sf: str, name: str, ordered: bool = False) -> Data
     return marts.latest_session_all(facts, sessions(spark, sf), *people, bands, ordered)
 
 
+def stored_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The highest concentration and the header values of every point and week, kept in the shared folder for the query that asks."""
+    points = (
+        bronze(spark, sf)
+        .groupBy("planta", "anio", "semana", "punto_evaluacion")
+        .agg(
+            F.max("concentracion_mg_m3").alias("c"),
+            F.max("fecha").alias("fecha"),
+            F.max(F.trim("operador_alias")).alias("op"),
+            F.max("tecnico_alias").alias("tec"),
+            F.max("hora_inicio").alias("hi"),
+            F.max("hora_termino").alias("ht"),
+        )
+    )
+    path = scratch_path(spark, "points")
+    points.write.parquet(path)
+    return spark.read.schema(points.schema).parquet(path)
+
+
 def cell_table(spark: SparkSession, sf: str) -> DataFrame:
     """`(planta, hoja, base, fila, columna, etiqueta, valor)`: sheets of two years per plant.
 
@@ -100,11 +120,11 @@ def cell_table(spark: SparkSession, sf: str) -> DataFrame:
     year, week = F.col("anio"), F.col("semana")
     base = year - (year - FIRST_YEAR) % 2
     column = (year - base) * WEEKS + week + 1
-    measured = bronze(spark, sf)
+    # the facts are read once, down to a row per point and week; bodies, headers and week rows come from these
+    measured = stored_points(spark, sf)
     tag = [F.col("planta"), F.concat_ws("_", "planta", base.cast("string")).alias("hoja"), base.alias("base")]
 
-    points = measured.groupBy("planta", "anio", "semana", "punto_evaluacion").agg(F.max("concentracion_mg_m3").alias("c"))
-    body = points.select(
+    body = measured.select(
         *tag,
         (F.substring("punto_evaluacion", 2, 10).cast("int") + 9).alias("fila"),
         column.alias("columna"),
@@ -116,11 +136,7 @@ def cell_table(spark: SparkSession, sf: str) -> DataFrame:
         return F.struct(F.lit(number).alias("fila"), F.lit(label).alias("etiqueta"), value.cast("string").alias("valor"))
 
     per_week = measured.groupBy("planta", "anio", "semana").agg(
-        F.max("fecha").alias("fecha"),
-        F.max(F.trim("operador_alias")).alias("op"),
-        F.max("tecnico_alias").alias("tec"),
-        F.max("hora_inicio").alias("hi"),
-        F.max("hora_termino").alias("ht"),
+        *[F.max(c).alias(c) for c in ("fecha", "op", "tec", "hi", "ht")]
     )
     headers = per_week.select(
         *tag,

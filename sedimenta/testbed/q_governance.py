@@ -90,6 +90,25 @@ def _(spark, sf):
     return out
 
 
+_ALL_USERS = "SELECT DISTINCT user_id FROM xp UNION ALL SELECT 'nadie'"
+
+
+@query(
+    "governance_visible_counts",
+    s.with_(*s.M2_CTES, GRANTS)
+    + f"""SELECT user_id, (SELECT count(*) FROM m2 WHERE planta IN (SELECT valor FROM xp WHERE xp.user_id = u.user_id AND dimension = 'planta')
+  AND CASE WHEN anio % 2 = 0 THEN 'Medioambiente' ELSE 'Seguridad ocupacional' END IN (SELECT valor FROM xp WHERE xp.user_id = u.user_id AND dimension = 'ambito')) AS filas
+FROM ({_ALL_USERS}) u""",
+)
+def _(spark, sf):
+    """Visible rows of every user, and of one without grants; even years belong to another area."""
+    area = F.when(F.col("anio") % 2 == 0, "Medioambiente").otherwise("Seguridad ocupacional")
+    allowed = expanded(spark, sf)
+    users = allowed.select("user_id").unionByName(local_rows(spark, [("nadie",)], "user_id string"))
+    rows = fr.mart(spark, sf, "M00002").withColumn("ambito", area)
+    return gov.visible_counts(rows, allowed, users, {"planta": "planta", "ambito": "ambito"})
+
+
 _RANK = "CASE {0} WHEN 'Público' THEN 0 WHEN 'Interno' THEN 1 WHEN 'Restringido' THEN 2 WHEN 'Solo gerencias' THEN 3 END"
 _DOC_CLEARANCE = (
     "CASE WHEN n_chars % 5 = 0 THEN 'Público' WHEN n_chars % 5 = 1 THEN 'Interno' WHEN n_chars % 5 = 2 THEN 'Restringido' "
@@ -167,6 +186,12 @@ def _(spark, sf):
     return reports.report("peak_historico", _marts(spark, sf), expanded(spark, sf), AUDITOR)
 
 
+@query("report_peak_granted", s.with_(*s.M3_CTES, GRANTS) + _select("peak_historico", "m3").replace("'auditor'", "'jefe ASIA'"))
+def _(spark, sf):
+    """The same report for a user who sees one region."""
+    return reports.report("peak_historico", _marts(spark, sf), expanded(spark, sf), "jefe ASIA")
+
+
 _CATALOG = " UNION ALL ".join(
     f"SELECT '{r.id}' AS reporte_id, '{r.title}' AS nombre, {list(r.formats)} AS formatos" for r in REPORTS.values()
 )
@@ -221,6 +246,20 @@ def _(spark, sf):
     return indicators.indicator("pct-sobre-limite-anual", _marts(spark, sf), expanded(spark, sf), AUDITOR)
 
 
+@query(
+    "kpi_pct_over_limit_granted",
+    s.with_(*s.M2_CTES, GRANTS)
+    + _banded(
+        _K2 + " WHERE planta IN (SELECT valor FROM xp WHERE user_id = 'jefe AFRICA' AND dimension = 'planta')",
+        ((None, 4.9, "ok"), (5.0, 14.9, "warning"), (15.0, None, "critico")),
+        5.0,
+    ),
+)
+def _(spark, sf):
+    """The same indicator for a user who sees one region."""
+    return indicators.indicator("pct-sobre-limite-anual", _marts(spark, sf), expanded(spark, sf), "jefe AFRICA")
+
+
 @query(
     "kpi_critical_points",
     s.with_(*s.M4_CTES) + _banded(_K3, ((None, 0, "ok"), (1, 2, "warning"), (3, None, "critico")), 0),
