@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from sedimenta.functions import content_hash, number_text, surrogate_key
+from sedimenta.functions import content_hash, number_texts, surrogate_key
 from sedimenta.operators import history
 from sedimenta.plans import silver
 from sedimenta.testbed import frames as fr
@@ -118,8 +118,9 @@ def _(spark, sf):
             "raro": F.coalesce(odd, -1 / F.pow(F.lit(2.0), line + 9)),
         }
     )
-    numbers = [number_text(c) for c in ("l_quantity", "l_discount", "l_extendedprice")]
-    long = [number_text(c) for c in ("fino", "enorme", "raro")]
+    texts = {"n": number_texts("l_quantity", "l_discount", "l_extendedprice"), "l": number_texts("fino", "enorme", "raro")}
+    items = items.select("l_orderkey", "l_linenumber", "l_shipdate", *[t.alias(n) for n, t in texts.items()])
+    numbers, long = ([F.col(n)[i] for i in range(3)] for n in texts)
     return items.select(
         "l_orderkey",
         "l_linenumber",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import hashlib
 import hmac
 from datetime import date, datetime, timezone
@@ -132,6 +133,17 @@ def test_number_text_keeps_every_digit(spark, value, text):
     assert got == text if text is not None else float(got) == value
 
 
+def test_number_texts_of_all_magnitudes(spark):
+    rnd = random.Random(5)
+    values = [rnd.choice((1, -1)) * rnd.random() * 10.0 ** rnd.randint(-12, 20) for _ in range(3000)]
+    values += [float(f"{m}e{p}") for m in ("1", "1.5", "9.999999999999999") for p in range(-8, 20)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", fn.number_text("v").alias("t"), fn.number_texts("v", "v").alias("ts")).collect()
+    assert all(float(r["t"]) == r["v"] and r["ts"] == [r["t"]] * 2 for r in rows)
+    # repr() switches to exponents where this text does; Java may write one digit more than the shortest
+    assert sum(r["t"] == repr(r["v"]) for r in rows) > 0.9 * len(rows)
+    assert all(("e" in r["t"]) == ("e" in repr(r["v"])) for r in rows)
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/Santiago", "Europe/Berlin", "Pacific/Auckland"])
 def test_instants_do_not_depend_on_the_session_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
