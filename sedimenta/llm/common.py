@@ -14,6 +14,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.operators.numbering import free_names
 from sedimenta.session import scratch_path
 
 #: Text bytes that a task turns into Python objects at a time.
@@ -105,25 +106,27 @@ def suspected(df: DataFrame, ids: DataFrame, identity: str, inside: bool = True)
     A bit map of hashed ids, at most FILTER_BITS / 64 rows whatever `ids` has, is sent to the rows, so that a join
     with few ids need not shuffle the texts of all. `ids` should be stored, as it is read again by the join.
     """
-    slot = F.pmod(F.xxhash64(F.col(identity).cast("long")), F.lit(FILTER_BITS))
-    bits = ids.select(slot.alias("_slot")).selectExpr("_slot div 64 AS _word", "shiftleft(1L, cast(_slot % 64 AS int)) AS _bit")
-    words = bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    marked = df.withColumn("_slot", slot).withColumn("_at", F.expr("_slot div 64"))
-    marked = marked.join(F.broadcast(words.withColumnRenamed("_word", "_at")), "_at", "left")
-    hit = F.expr("coalesce(shiftrightunsigned(_bits, cast(_slot % 64 AS int)) & 1L = 1L, false)")
+    word, seen, bits, mark = free_names(df, "word", "seen", "bits", "mark")
+    slot = F.pmod(F.xxhash64(F.col(f"`{identity}`").cast("long")), F.lit(FILTER_BITS))
+    words = ids.select(slot.alias("slot")).selectExpr("slot div 64 AS w", "shiftleft(1L, cast(slot % 64 AS int)) AS b")
+    words = words.groupBy(F.col("w").alias(word)).agg(F.bit_or("b").alias(bits))
+    marked = df.withColumn(mark, slot).withColumn(seen, F.expr(f"`{mark}` div 64"))
+    marked = marked.join(F.broadcast(words), F.col(seen) == F.col(word), "left")
+    hit = F.expr(f"coalesce(shiftrightunsigned(`{bits}`, cast(`{mark}` % 64 AS int)) & 1L = 1L, false)")
     return marked.filter(hit if inside else ~hit).select([F.col(f"`{c}`") for c in df.columns])
 
 
 def without(df: DataFrame, ids: DataFrame, identity: str) -> DataFrame:
     """The rows whose id is not among the stored `ids`; rows without an id stay."""
-    gone = ids.select(F.col(identity).alias("_gone")).distinct()
+    [name] = free_names(df, "gone")
+    gone = ids.select(F.col(f"`{identity}`").alias(name)).distinct()
     unsure = suspected(df, ids, identity)
-    kept = unsure.join(gone, F.col(f"`{identity}`") == F.col("_gone"), "left_anti")
+    kept = unsure.join(gone, F.col(f"`{identity}`") == F.col(name), "left_anti")
     return suspected(df, ids, identity, inside=False).unionByName(kept)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """A small result written to the shared folder and read back."""
+    """A result written to the shared folder and read back: from here on nothing before it is computed again."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

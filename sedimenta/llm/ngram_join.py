@@ -11,11 +11,13 @@ smaller of the query's and the node's greatest count. Pairs that survive this bo
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -185,30 +187,136 @@ def common_shingles(docs: DataFrame, words: int, text: str) -> bytes:
     return np.sort(np.asarray(top).astype(np.int64).view(np.uint64)).tobytes()
 
 
-def signatures(docs: DataFrame, words: int, rule: Rule, identity: str, text: str) -> DataFrame:
-    """`(doc_id, n_shingles, node, keys)`: size and digest of each set; keys with the first copy in a task that has an id."""
+#: Keys that a task holds before it packs them, keys that one reduce group gets, and keys of a document, about.
+PACKED, PER_GROUP, KEYS_EACH = 1 << 22, 1 << 20, 200
+#: Bits of a key that count: what differs in the others meets by mistake and is told apart on the sets.
+KEY_BITS = 56
+_SIGNATURE = "doc_id long, n_shingles long, node binary, mark long, other long, part int, packed binary"
+
+
+class Meetings:
+    """The keys of a task's sets. Packed, each key takes a few bytes, and only one set of the task goes on with a key it shares."""
+
+    def __init__(self, task: int, parts: int):
+        self.task, self.shift = task, np.uint64(KEY_BITS - (parts - 1).bit_length())
+        self.keys: list[np.ndarray] = []
+        self.marks: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, ordinal: int, keys: np.ndarray) -> None:
+        self.keys.append(keys.view(np.uint64) >> np.uint64(64 - KEY_BITS))
+        self.marks.append(np.full(len(keys), ordinal, np.uint32))
+        self.held += len(keys)
+
+    def pack(self) -> tuple[list[tuple[int, int]], list[tuple[int, bytes]]]:
+        """Links between sets of this task that share a key, and for each part of the key range its sorted keys with one set each."""
+        keys, marks = np.concatenate([_NONE, *self.keys]), np.concatenate([np.zeros(0, np.uint32), *self.marks])
+        self.keys, self.marks, self.held = [], [], 0
+        order = np.lexsort((marks, keys))
+        keys, marks = keys[order], marks[order]
+        first = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+        least = marks[first][np.cumsum(first) - 1] if len(keys) else marks
+        joined = np.unique(np.stack([marks, least])[:, marks != least], axis=1)
+        base = self.task << 31
+        links = [(base + int(a), base + int(b)) for a, b in joined.T]
+        keys, marks = keys[first], marks[first]
+        part = (keys >> self.shift).astype(np.int64)
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        out = []
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+            gaps = np.diff(keys[start:end], prepend=keys[start] & ~((np.uint64(1) << self.shift) - np.uint64(1)))
+            out.append((int(part[start]), struct.pack("<QQI", base, int(part[start]), end - start) + _bytes(gaps) + _bytes(marks[start:end].astype(np.uint64))))
+        return links, out
+
+    @staticmethod
+    def unpack(raw: bytes, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and marks of a packed part."""
+        base, part, n = struct.unpack_from("<QQI", raw)
+        gaps, at = _numbers(raw, struct.calcsize("<QQI"), n)
+        marks, _ = _numbers(raw, at, n)
+        return np.cumsum(gaps, dtype=np.uint64) + (np.uint64(part) << np.uint64(shift)), marks.astype(np.int64) + np.int64(base)
+
+
+def _bytes(values: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the greatest needs, after one byte that says how many."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _numbers(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    width, end = raw[at], at + 1 + n * raw[at]
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 1).reshape(n, width)
+    return wide.view("<u8").ravel(), end
+
+
+def signatures(docs: DataFrame, words: int, rule: Rule, identity: str, text: str, parts: int) -> DataFrame:
+    """Rows of three kinds: a document's `(doc_id, n_shingles, node, mark)`, a link `(mark, other)`, and keys `(part, packed)`.
+
+    `node` is the digest of a set. The first copy of a set in a task that has an id gets a mark, under which its keys go on.
+    """
     common = shipped(docs.sparkSession, "common", common_shingles(docs, words, text))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("mark", pa.int64()), ("other", pa.int64()), ("part", pa.int32()), ("packed", pa.binary())])
+
+    def rows(**columns: list) -> pa.RecordBatch:
+        n = max(map(len, columns.values()))
+        return pa.record_batch([as_arrow(columns.get(f.name, [None] * n), f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = once(f"shingles {words}", lambda: Shingler(words)), set()
         shared = once(f"common {common}", lambda: np.fromfile(local_copy(common), np.uint64))
+        task = TaskContext.get().partitionId()
+        meetings, ordinal = Meetings(task, parts), 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            links, blobs = meetings.pack()
+            if links:
+                yield rows(mark=[a for a, _ in links], other=[b for _, b in links])
+            if blobs:
+                yield rows(part=[p for p, _ in blobs], packed=[b for _, b in blobs])
+
         for batch in batches:
             for block in blocks(batch, "text"):
                 sets = shingler.sets(block.column("text").to_pylist())
                 nodes = [_digest(s) if len(s) else None for s in sets]
-                keys = []
+                marks: list[int | None] = []
                 for name, s, node in zip(block.column("id").to_pylist(), sets, nodes):
+                    marks.append(None)
                     # a row without an id links nothing, so it is no first copy
-                    first = name is not None and node is not None and node not in seen
-                    keys.append(rule.keys(s, shared) if first else None)
-                    if first and len(seen) < CACHE_WORDS:
+                    if name is None or node is None or node in seen:
+                        continue
+                    if len(seen) < CACHE_WORDS:
                         seen.add(node)
-                columns = [block.column("id"), [len(s) for s in sets], nodes, keys]
-                yield pa.record_batch([as_arrow(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                    keys = rule.keys(s, shared)
+                    if len(keys):
+                        marks[-1] = (task << 31) + ordinal
+                        meetings.add(ordinal, keys)
+                        ordinal += 1
+                    if meetings.held >= PACKED:
+                        yield from packed()
+                yield rows(doc_id=block.column("id"), n_shingles=[len(s) for s in sets], node=nodes, mark=marks)
+        yield from packed()
 
-    rows = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node binary, keys array<long>")
+    given = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text"))
+    return given.mapInArrow(run, _SIGNATURE)
+
+
+def met(packed: DataFrame, parts: int) -> DataFrame:
+    """`(a, b)` marks that share a key, from `(part, packed)`: each with the least mark of that key. Keys of one set only leave no row."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    shift = KEY_BITS - (parts - 1).bit_length()
+
+    def run(table: pa.Table) -> pa.Table:
+        held = [Meetings.unpack(raw.as_py(), shift) for raw in table.column("packed")]
+        keys, marks = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((marks, keys))
+        keys, marks = keys[order], marks[order]
+        first = np.append(True, keys[1:] != keys[:-1])
+        least = marks[first][np.cumsum(first) - 1]
+        pairs = np.unique(np.stack([marks, least])[:, marks != least], axis=1)
+        return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
+
+    return packed.groupBy("part").applyInArrow(run, "a long, b long")
 
 
 # -- inside a candidate cluster -------------------------------------------------------------
@@ -298,24 +406,27 @@ def join_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     an id links nothing and has a NULL component. Rows of one id stand for one document with several texts.
     """
     spark, rule = docs.sparkSession, Rule(num, den)
+    # parts of the key range, so that a group stays the same size however many documents there are
+    parts, many = 256, docs.count()
+    while parts * PER_GROUP < KEYS_EACH * many:
+        parts *= 2
     path = scratch_path(spark, "signatures")
-    signatures(docs, words, rule, identity, text).write.parquet(path)
-    own = spark.read.schema("doc_id long, n_shingles long, node binary, keys array<long>").parquet(path)
+    signatures(docs, words, rule, identity, text, parts).write.parquet(path)
+    every = spark.read.schema(_SIGNATURE).parquet(path)
+    own = every.filter(F.col("n_shingles").isNotNull()).select("doc_id", "n_shingles", "node", "mark")
     named = own.filter(F.col("doc_id").isNotNull() & F.col("node").isNotNull())
 
-    # 64 bits of the digest do for candidates: a collision only joins two clusters, and pairs are verified
-    short = F.conv(F.substring(F.hex("node"), 1, 15), 16, 10).cast("long")
-    firsts = named.filter(F.size("keys") > 0).select("doc_id", "n_shingles", short.alias("small"), "keys")
-    meetings = firsts.select("small", F.explode("keys").alias("key"))
-    by_key = meetings.withColumn("least", F.expr("min(small) OVER (PARTITION BY key)")).filter(F.col("small") != F.col("least"))
-    clusters = components(by_key.select(F.col("small").alias("a"), F.col("least").alias("b")))
-
-    members = stored(firsts.select("doc_id", "n_shingles", "small").join(clusters, F.col("small") == F.col("node")).select("doc_id", "n_shingles", "small", F.col("label").alias("cluster")), "members")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("shingles"))
+    near = every.filter(F.col("other").isNotNull()).select(F.col("mark").alias("a"), F.col("other").alias("b"))
+    clusters = components(near.unionByName(met(every.filter(F.col("part").isNotNull()).select("part", "packed"), parts)))
+    firsts = named.filter(F.col("mark").isNotNull()).select("doc_id", "n_shingles", "mark", F.col("node").alias("set"))
+    # one document for each set of a cluster; a cluster of one set has nothing to verify
+    members = firsts.join(clusters, F.col("mark") == F.col("node")).groupBy(F.col("label").alias("cluster"), "set")
+    members = stored(members.agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles")), "members")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("shingles")).filter("docs > 1")
     number = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    placed = members.join(sizes.select("cluster", number.alias("blocks")), "cluster")
-    mine = F.pmod(F.xxhash64("small"), F.col("blocks")).cast("int")
-    placed = placed.select("doc_id", "cluster", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    members = stored(members.join(sizes.select("cluster", number.alias("blocks")), "cluster"), "members")
+    mine = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    placed = members.select("doc_id", "cluster", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     placed = placed.select(F.col("doc_id").alias("_id"), "cluster", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"))
     texts = docs.select(F.col(identity).cast("long").alias("_id"), F.col(text).alias("text"))
     texts = suspected(texts, members.select(F.col("doc_id").alias("_id")), "_id")

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sedimenta.llm import ngram_join
 from sedimenta.llm.components import components
@@ -155,3 +156,35 @@ def test_row_without_an_id_before_near_copies(spark):
     assert sorted((tuple(r) for r in ngram_join.join_components(df).collect()), key=str) == brute(rows)
     kept = ngram_join.one_of_each(df, 3, 90, 100).collect()
     assert sorted((tuple(r) for r in kept), key=str) == sorted([(None, text), (None, near), (5, text), (7, "apart from all")], key=str)
+
+
+def test_packed_keys_come_back_and_links_of_a_task_are_kept():
+    rng = np.random.default_rng(4)
+    shared = rng.integers(0, 1 << 63, 5, dtype=np.int64)
+    meetings = ngram_join.Meetings(3, 256)
+    given: dict[int, set[int]] = {}
+    for ordinal in range(300):
+        keys = np.concatenate([rng.integers(-(1 << 63), (1 << 63) - 1, 40, dtype=np.int64), shared[: ordinal % 6]])
+        meetings.add(ordinal, keys)
+        for k in (keys.view(np.uint64) >> np.uint64(64 - ngram_join.KEY_BITS)).tolist():
+            given.setdefault(k, set()).add((3 << 31) + ordinal)
+    links, blobs = meetings.pack()
+    back: dict[int, int] = {}
+    for part, raw in blobs:
+        keys, marks = ngram_join.Meetings.unpack(raw, ngram_join.KEY_BITS - 8)
+        assert all(k >> (ngram_join.KEY_BITS - 8) == part for k in keys.tolist())
+        back |= zip(keys.tolist(), marks.tolist())
+    assert back == {k: min(m) for k, m in given.items()}
+    assert {(a, b) for a, b in links} == {(a, min(m)) for m in given.values() for a in m if a != min(m)}
+    assert ngram_join.Meetings(0, 256).pack() == ([], [])
+
+
+def test_columns_named_like_inner_ones_stay_as_they_are(spark):
+    same = "one two three four five six seven eight nine ten"
+    rows = [(1, same), (2, same), (3, "another text that shares nothing at all with it"), (None, same)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("_at", "_slot", "_bits", "_word", "_gone", "at", "word", "seen", "bits", "mark", "gone", "node"):
+        df = df.withColumn(name, F.lit(f"own {name}"))
+    got = {r["doc_id"]: r.asDict() for r in ngram_join.one_of_each(df, 3, 90, 100).collect()}
+    assert set(got) == {1, 3, None}
+    assert all(r[c] == f"own {c}" for r in got.values() for c in df.columns[2:])
