@@ -89,10 +89,19 @@ class Segments:
 
 
 def integers(vector: str, scale: int = 64) -> Column:
-    """floor(scale * x) of each component; NULL for vectors that are NULL or hold NULL or non-finite components."""
+    """floor(scale * x) of each component; NULL for vectors that are NULL or hold NULL or non-finite components.
+
+    Components of 2 ** 31 and more end the query with an error that says so.
+    """
     fine = F.forall(vector, lambda x: F.coalesce(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != F.lit(float("inf"))), F.lit(False)))
     # a guard inside, too: the branches of a condition may be computed before it
-    whole = F.transform(vector, lambda x: F.when(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < 1e15), F.floor(x.cast("double") * scale)))
+    def component(x: Column) -> Column:
+        value = x.cast("double") * scale
+        far = F.raise_error(F.lit(f"a vector component times {scale} reaches 2 ** 31: scores would not fit 64-bit integers"))
+        small = F.when(F.abs(value) < float(1 << 31), F.floor(value))
+        return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), F.coalesce(small, far))
+
+    whole = F.transform(vector, component)
     return F.when(F.col(vector).isNotNull() & fine, whole)
 
 
@@ -101,6 +110,8 @@ def _packed(ids: list[int], vectors: list[list[int]]) -> bytes:
     matrix = np.zeros((len(ids), width), np.int64)
     for row, v in zip(matrix, vectors):
         row[: len(v)] = v
+    if width * int(np.abs(matrix).max(initial=0)) ** 2 >= 1 << 63:
+        raise ValueError("vectors are too large for exact 64-bit scores")
     out = io.BytesIO()
     np.savez(out, ids=np.array(ids, np.int64), matrix=matrix.astype(np.min_scalar_type(-int(np.abs(matrix).max(initial=1)) - 1)))
     return out.getvalue()

@@ -61,3 +61,18 @@ def test_unusable_vectors_short_vectors_and_repeats(spark):
     assert run(spark, rows) == brute(rows, 5)
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, []) == []
+
+
+@pytest.mark.parametrize("far", [1e15, 1e30, 3e38])
+def test_components_too_large_for_exact_scores_end_the_query_with_a_reason(spark, far):
+    rows = spark.createDataFrame([(20, [far, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64-bit"):
+        topk.top_k(rows, rows.filter("vec_id % 20 = 0")).collect()
+
+
+def test_large_components_that_fit_are_exact(spark):
+    rows = spark.createDataFrame([(20, [3e7, -2e7]), (1, [1e7, 3e7]), (2, [-3e7, 0.5])], "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in topk.top_k(rows, rows.filter("vec_id % 20 = 0")).collect()]
+    v = {1: (10**7 * 64, 3 * 10**7 * 64), 2: (-3 * 10**7 * 64, 32)}
+    q = (3 * 10**7 * 64, -2 * 10**7 * 64)
+    assert sorted(got, key=lambda x: -x[1]) == sorted(((i, q[0] * x + q[1] * y) for i, (x, y) in v.items()), key=lambda x: -x[1])
