@@ -104,16 +104,15 @@ def format_chats(turns: DataFrame, conversation: str = "conv_id", order: str = "
     )
 
 
-def read_back(formatted: DataFrame, trained: str = "assistant") -> DataFrame:
-    """Adds `turns` and `loss_text`, both read from `formatted`: the trained texts one after the other, unescaped."""
-    parsed = formatted.withColumn("turns", parse(F.col("formatted")))
-    texts = F.transform(F.filter("turns", lambda t: t["role"] == trained), lambda t: t["text"])
-    return parsed.withColumn("loss_text", F.array_join(texts, ""))
+def read_back(formatted: DataFrame) -> DataFrame:
+    """Adds `turns`, parsed from `formatted`, and `loss_text`: what stands under the mask there, unescaped, one span after the other."""
+    spans = F.transform("mask", lambda m: unescape(F.substring(F.col("formatted"), (m["start"] + 1).cast("int"), m["length"].cast("int"))))
+    return formatted.withColumn("turns", parse(F.col("formatted"))).withColumn("loss_text", F.array_join(spans, ""))
 
 
-def digests(formatted: DataFrame, conversation: str = "conv_id", trained: str = "assistant") -> DataFrame:
+def digests(formatted: DataFrame, conversation: str = "conv_id") -> DataFrame:
     """Counts and hashes of what is read back from the formatted conversations."""
-    back = read_back(formatted, trained)
+    back = read_back(formatted)
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
         conversation,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from sedimenta.llm import chat
 
 HOSTILE = [
@@ -55,3 +57,10 @@ def test_empty_table_and_long_text(spark):
 def test_plan_has_no_python(spark):
     plan = chat.digests(chat.format_chats(spark.createDataFrame([(1, 1, "user", "x")], SCHEMA)))._jdf.queryExecution().toString()
     assert "Python" not in plan.split("Physical Plan")[1] and "Arrow" not in plan.split("Physical Plan")[1]
+
+
+def test_loss_is_read_under_the_mask(spark):
+    out = chat.format_chats(spark.createDataFrame([(1, 0, "user", "ask"), (1, 1, "assistant", "an ### answer")], SCHEMA))
+    assert chat.read_back(out).first()["loss_text"] == "an ### answer"
+    moved = out.withColumn("mask", F.transform("mask", lambda m: F.struct((m["start"] + 3).alias("start"), (m["length"] - 3).alias("length"))))
+    assert chat.read_back(moved).first()["loss_text"] == "### answer"
