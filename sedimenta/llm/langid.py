@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ HIDDEN = 8
 TRAIN_ROWS, TRAIN_CHARS = 700, 320
 BATCH = 4096
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # category L, as in the training rows: no fraction, superscript or numeral is one
 
 
 class BiGRU:

@@ -72,6 +72,13 @@ def test_language_of_edge_rows(spark):
     assert kept.columns == edges(spark).columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 4, 5, 5, 6, 7]
 
 
+def test_signs_that_are_no_letters(spark):
+    model = langid.ship(spark, langid.train(spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")))
+    rows = [(1, "½ ² Ⅷ ① 12 _"), (2, "ª"), (3, "中"), (4, "é")]
+    assert not langid._LETTER.search(rows[0][1]) and all(langid._LETTER.search(t) for _, t in rows[1:])
+    assert [r["lang_pred"] for r in langid.identify(spark.createDataFrame(rows[:1], "doc_id long, text string"), model).collect()] == ["und"]
+
+
 def test_language_without_labels(spark):
     none = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     model = langid.ship(spark, langid.train(none))
