@@ -156,10 +156,10 @@ _LOADED: dict[str, object] = {}
 
 
 def once(key: str, make: Callable[[], object]) -> object:
-    """One object per worker process: models outlive the tasks that use them. Only the three used last stay."""
+    """One object per worker process: models outlive the tasks that use them. Only the two used last stay: no stage needs more."""
     found = _LOADED.pop(key, None)
     if found is None:
-        while len(_LOADED) >= 3:
+        while len(_LOADED) >= 2:
             _LOADED.pop(next(iter(_LOADED)))
         found = make()
     _LOADED[key] = found

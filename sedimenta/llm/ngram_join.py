@@ -188,7 +188,7 @@ def common_shingles(docs: DataFrame, words: int, text: str) -> bytes:
 
 
 #: Keys that a task holds before it packs them, keys that one reduce group gets, and keys of a document, about.
-PACKED, PER_GROUP, KEYS_EACH = 1 << 22, 1 << 20, 200
+PACKED, PER_GROUP, KEYS_EACH = 1 << 20, 1 << 20, 200
 #: Bits of a key that count: what differs in the others meets by mistake and is told apart on the sets.
 KEY_BITS = 56
 _SIGNATURE = "doc_id long, n_shingles long, node binary, mark long, other long, part int, packed binary"
