@@ -254,9 +254,9 @@ class Encoder:
         return b" ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-def encoder(definition: str, lexicon: str | None = None) -> Encoder:
+def encoder(definition: str, lexicon: str | None = None, cache: int = CACHE_CHUNKS) -> Encoder:
     """The worker's encoder of shipped files."""
-    return once(f"bpe {definition} {lexicon}", lambda: Encoder(local_copy(definition), local_copy(lexicon) if lexicon else None))
+    return once(f"bpe {definition} {lexicon}", lambda: Encoder(local_copy(definition), local_copy(lexicon) if lexicon else None, cache))
 
 
 def word_counts(docs: DataFrame, definition: str, text: str = "text") -> DataFrame:
@@ -339,14 +339,18 @@ def decode(encoded: DataFrame, definition: str, identity: str = "doc_id", ids: s
     return encoded.select(identity, ids).mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, names: tuple[str, str | None], identity: str = "doc_id", text: str = "text") -> DataFrame:
-    """`(identity, n_tokens, ids_sha256, decoded_sha256)`: encodes, decodes the ids again and hashes both."""
+def digests(docs: DataFrame, names: tuple[str, str | None], identity: str = "doc_id", text: str = "text", cache: int = CACHE_CHUNKS) -> DataFrame:
+    """`(identity, n_tokens, ids_sha256, decoded_sha256)`: encodes, decodes the ids again and hashes both.
+
+    One row per input row: NULL and empty texts have no ids, repeated rows come again, other columns are left out. `cache` is
+    the number of chunks a worker remembers; ids do not depend on it.
+    """
     from hashlib import sha256
 
     kind = docs.schema[identity].dataType.simpleString()
 
     def work(batch) -> dict:
-        own = encoder(*names)
+        own = encoder(*names, cache)
         ids = own.encode(texts_of(batch, text))
         return {
             identity: batch.column(identity),

@@ -25,7 +25,7 @@ BUCKETS = 1 << 20
 #: A feature is considered when so many standard errors more frequent in toxic texts, in so many of them, and when
 #: by the class prior so much of its occurrences is in toxic texts.
 EXCESS, LEAST_TEXTS, PURITY, FEATURES = 6.0, 4, 0.6, 4096
-CACHE_CHUNKS, SAMPLE_CHUNKS = 250_000, 20_000
+CACHE_CHUNKS, SAMPLE_CHUNKS = 150_000, 20_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
