@@ -103,4 +103,4 @@ def test_edge_rows_pass_through_every_stage(spark):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == [*range(1, 11)] and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == [*range(1, 14)] and "pipeline" in entry.queries()
