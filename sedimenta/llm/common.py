@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -84,6 +86,7 @@ def mapped(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], dict], t
             for block in blocks(batch, text):
                 out = work(block)
                 yield pa.record_batch([as_arrow(out[f.name], f.type) for f in arrow], schema=arrow)
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -152,6 +155,15 @@ def local_copy(name: str) -> str:
     return SparkFiles.get(name)
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a worker outlives its task and would keep the peak of the stage before."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 _LOADED: dict[str, object] = {}
 
 
@@ -161,6 +173,8 @@ def once(key: str, make: Callable[[], object]) -> object:
     if found is None:
         while len(_LOADED) >= 2:
             _LOADED.pop(next(iter(_LOADED)))
+        gc.collect()
+        release()
         found = make()
     _LOADED[key] = found
     return found
