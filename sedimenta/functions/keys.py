@@ -47,3 +47,8 @@ def joined_key(columns: Sequence[str | Column], separator: str) -> Column:
     """Columns joined by a separator, NULL as ''."""
     parts = [F.col(c) if isinstance(c, str) else c for c in columns]
     return F.concat_ws(separator, *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+
+
+def derived_key(info: Column, key: bytes) -> Column:
+    """A key of 32 bytes for `info`, as binary: the first block of HKDF-Expand (RFC 5869) with HMAC-SHA256 under `key`."""
+    return F.unhex(hmac_sha256(F.concat(F.coalesce(info, F.lit("")), F.lit("\x01")), key))

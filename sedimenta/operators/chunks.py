@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sedimenta.functions.keys import fingerprint, hmac_sha256, joined_key
+from sedimenta.functions.keys import derived_key, fingerprint, hmac_sha256, joined_key
 from sedimenta.functions.text import number_text
 from sedimenta.operators.lookup import distinct_for_join, local_rows
 from sedimenta.sources import fixed_values as fv
@@ -169,29 +169,63 @@ def development_view(chunks: DataFrame) -> DataFrame:
     return chunks.select(*COMMON_FIELDS, *DEVELOPMENT_FIELDS)
 
 
-def production_view(chunks: DataFrame, data_key: bytes, wrapping_key: bytes, wrapping_version: str) -> DataFrame:
+def production_view(chunks: DataFrame, data_key: bytes | Column, wrapping_key: bytes, wrapping_version: str) -> DataFrame:
     """Fields for storage: text and business data encrypted, the data key wrapped.
 
-    AES-GCM draws a new IV for every value. Nothing is compared or joined on
-    ciphertext, so a retried task may write other bytes for the same content.
+    With `chunk_data_key` as the data key every chunk has a key of its own; bytes are one key for all. AES-GCM draws a new
+    IV for every value. Nothing is compared or joined on ciphertext, so a retried task may write other bytes for
+    the same content.
     """
+    own = data_key if isinstance(data_key, Column) else F.lit(data_key)
     return chunks.select(
         *[c for c in COMMON_FIELDS if c not in ("texto", "datos_negocio")],
-        encrypt(F.col("texto"), data_key).alias("texto"),
-        encrypt(F.to_json("datos_negocio"), data_key).alias("datos_negocio"),
+        encrypt(F.col("texto"), own).alias("texto"),
+        encrypt(F.to_json("datos_negocio"), own).alias("datos_negocio"),
         "chunk_id",
         "regla_version",
-        F.base64(F.aes_encrypt(F.lit(data_key), F.lit(wrapping_key), F.lit("GCM"))).alias("dek_cifrada"),
+        wrap(own, wrapping_key).alias("dek_cifrada"),
         F.lit(wrapping_version).alias("kek_version"),
     )
 
 
-def encrypt(text: Column, key: bytes) -> Column:
-    return F.base64(F.aes_encrypt(text, F.lit(key), F.lit("GCM")))
+def chunk_data_key(identity: Column, run_key: bytes) -> Column:
+    """The data key of one chunk, derived from the run's key and its id, so a task that runs again derives the same."""
+    return derived_key(F.concat(F.lit("chunk|"), F.coalesce(identity, F.lit(""))), run_key)
 
 
-def decrypt(text: Column, key: bytes) -> Column:
-    return F.aes_decrypt(F.unbase64(text), F.lit(key), F.lit("GCM")).cast("string")
+def wrap(data_key: Column, wrapping_key: bytes) -> Column:
+    return F.base64(F.aes_encrypt(data_key, F.lit(wrapping_key), F.lit("GCM")))
+
+
+def unwrapped(wrapping_keys: Mapping[str, bytes], wrapped: str = "dek_cifrada", version: str = "kek_version") -> Column:
+    """The data key of a row, by the wrapping key of its version. A version that was not given ends the query."""
+    held = F.col(wrapped)
+    known = F.raise_error(F.concat(F.lit("no wrapping key of version "), F.coalesce(F.col(version), F.lit("NULL")))).cast("binary")
+    for name, key in wrapping_keys.items():
+        known = F.when(F.col(version) == name, F.aes_decrypt(F.unbase64(held), F.lit(key), F.lit("GCM"))).otherwise(known)
+    return F.when(held.isNotNull(), known)
+
+
+def opened(stored: DataFrame, wrapping_keys: Mapping[str, bytes], columns: Sequence[str] = ("texto", "datos_negocio")) -> DataFrame:
+    """Stored chunks with the given columns in clear text; the key fields stay as they are."""
+    own = unwrapped(wrapping_keys)
+    return stored.withColumns({c: decrypt(F.col(c), own) for c in columns})
+
+
+def rotate_wrapping(stored: DataFrame, wrapping_keys: Mapping[str, bytes], version: str) -> DataFrame:
+    """Data keys wrapped anew under `version`, one of the given keys. Texts are not touched, nor rows that have that version already."""
+    others = {v: k for v, k in wrapping_keys.items() if v != version}
+    stale = ~F.col("kek_version").eqNullSafe(version)
+    again = F.when(stale, wrap(unwrapped(others), wrapping_keys[version])).otherwise(F.col("dek_cifrada"))
+    return stored.withColumns({"dek_cifrada": again, "kek_version": F.lit(version)})
+
+
+def encrypt(text: Column, key: bytes | Column) -> Column:
+    return F.base64(F.aes_encrypt(text, key if isinstance(key, Column) else F.lit(key), F.lit("GCM")))
+
+
+def decrypt(text: Column, key: bytes | Column) -> Column:
+    return F.aes_decrypt(F.unbase64(text), key if isinstance(key, Column) else F.lit(key), F.lit("GCM")).cast("string")
 
 
 def upsert_chunks(stored: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:

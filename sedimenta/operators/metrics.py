@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.chunks import chunk_id
@@ -95,6 +95,18 @@ def expectations(rules: Sequence[Rule], minimum: dict[str, int] = SUITE_MIN_CHUN
     ]
 
 
+def _faults(e: ChunkExpectation) -> tuple[Column, Column]:
+    """Of a chunk of the rule: a required tag is wrong, the personal keys are not the declared ones."""
+    wrong = F.lit(False)
+    for name, value in e.tags.items():
+        wrong = wrong | ~F.col("dimensiones")[name].eqNullSafe(F.lit(value))
+    keys = F.array(*[F.lit(p) for p in sorted(e.rule.pii)]).cast("array<string>")
+    return wrong, ~F.array_sort(F.map_keys("pii_tokens")).eqNullSafe(keys)
+
+
+_COUNTS = ("chunks", "tags_erroneos", "pii_erronea")
+
+
 def chunk_checks(chunks: DataFrame, expected: Sequence[ChunkExpectation], total_min: int | None = None) -> DataFrame:
     """Per expected rule, also without chunks: enough of them, tags as required, personal keys exactly as declared.
 
@@ -102,21 +114,49 @@ def chunk_checks(chunks: DataFrame, expected: Sequence[ChunkExpectation], total_
     """
     bad_tags, bad_keys = F.lit(False), F.lit(False)
     for e in expected:
-        mine = F.col("regla_id") == e.rule.id
-        wrong = F.lit(False)
-        for name, value in e.tags.items():
-            wrong = wrong | ~F.col("dimensiones")[name].eqNullSafe(F.lit(value))
-        bad_tags = F.when(mine, wrong).otherwise(bad_tags)
-        keys = F.array(*[F.lit(p) for p in sorted(e.rule.pii)]).cast("array<string>")
-        bad_keys = F.when(mine, ~F.array_sort(F.map_keys("pii_tokens")).eqNullSafe(keys)).otherwise(bad_keys)
-    declared = local_rows(chunks.sparkSession, [(e.rule.id, e.min_chunks) for e in expected], "regla_id string, min_chunks int")
+        mine, (tags, keys) = F.col("regla_id") == e.rule.id, _faults(e)
+        bad_tags, bad_keys = F.when(mine, tags).otherwise(bad_tags), F.when(mine, keys).otherwise(bad_keys)
     found = chunks.groupBy("regla_id").agg(
         F.count("*").alias("chunks"), F.count_if(bad_tags).alias("tags_erroneos"), F.count_if(bad_keys).alias("pii_erronea")
     )
-    counts = ["chunks", "tags_erroneos", "pii_erronea"]
-    rows = declared.join(found, "regla_id", "left").fillna(0, counts).select("regla_id", "min_chunks", *counts)
+    return _judged(found, expected, total_min)
+
+
+def _judged(found: DataFrame, expected: Sequence[ChunkExpectation], total_min: int | None) -> DataFrame:
+    declared = local_rows(found.sparkSession, [(e.rule.id, e.min_chunks) for e in expected], "regla_id string, min_chunks int")
+    rows = declared.join(found, "regla_id", "left").fillna(0, [*_COUNTS]).select("regla_id", "min_chunks", *_COUNTS)
     if total_min is not None:
-        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]
-        rows = rows.unionByName(rows.agg(*sums).select(F.lit("TOTAL").alias("regla_id"), F.lit(total_min).alias("min_chunks"), *counts))
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]
+        rows = rows.unionByName(rows.agg(*sums).select(F.lit("TOTAL").alias("regla_id"), F.lit(total_min).alias("min_chunks"), *_COUNTS))
     enough = F.col("chunks") >= F.col("min_chunks")
     return rows.withColumn("cumple", enough & (F.col("tags_erroneos") == 0) & (F.col("pii_erronea") == 0))
+
+
+class WriteChecks:
+    """The same checks, counted in the pass that writes the chunks: give it to a write, then ask for the result.
+
+    The counts are taken in the stage that writes, behind its shuffle, where Spark counts every task once even if a lost
+    executor makes an earlier stage run again.
+    """
+
+    def __init__(self, expected: Sequence[ChunkExpectation], total_min: int | None = None):
+        self.expected, self.total_min = expected, total_min
+        self.observation = Observation()
+
+    def watch(self, chunks: DataFrame) -> DataFrame:
+        measured = [F.count(F.lit(1)).alias("filas")]
+        for i, e in enumerate(self.expected):
+            mine, (tags, keys) = F.col("regla_id").eqNullSafe(e.rule.id), _faults(e)
+            measured += [F.count_if(x).alias(f"{c}{i}") for c, x in zip(_COUNTS, (mine, mine & tags, mine & keys))]
+        return chunks.observe(self.observation, *measured)
+
+    def written(self) -> int:
+        """Rows of the write, chunks of further rules included; waits until it has ended."""
+        return self.observation.get["filas"]
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """What `chunk_checks` gives for the written chunks, without reading them."""
+        got = self.observation.get
+        rows = [(e.rule.id, *(got[f"{c}{i}"] for c in _COUNTS)) for i, e in enumerate(self.expected)]
+        found = local_rows(spark, rows, "regla_id string, chunks long, tags_erroneos long, pii_erronea long")
+        return _judged(found, self.expected, self.total_min)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators import chunks as ch
 from sedimenta.operators import history, reshape
+from sedimenta.operators.metrics import WriteChecks
 from sedimenta.plans import marts, silver
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources import sinks
@@ -136,13 +137,16 @@ def load_marts(
     }
 
 
-def load_chunks(spark: SparkSession, run: Run, gold: dict[str, DataFrame], signing_key: bytes) -> DataFrame:
-    """Chunks of this run, upserted over the previous store; chunks not generated again are kept."""
+def load_chunks(
+    spark: SparkSession, run: Run, gold: dict[str, DataFrame], signing_key: bytes, checks: WriteChecks | None = None
+) -> DataFrame:
+    """Chunks of this run, upserted over the previous store; chunks not generated again are kept. `checks` counts them as they are written."""
     created = run.now.strftime("%Y-%m-%dT%H:%M:%S.000Z")
     made = [
         ch.build_chunks(gold[rule.mart], rule, run.run_id, created, run.run_id, signing_key) for rule in RULES.values()
     ]
-    generated = sinks.write_table(reduce(DataFrame.unionByName, made), run.path("chunks", "generados"))
+    generated = reduce(DataFrame.unionByName, made)
+    generated = sinks.write_table(checks.watch(generated) if checks else generated, run.path("chunks", "generados"))
     # repeated keys in one run (equal rows of two sheets) leave one chunk
     return ChunkStore(spark, run.shared("chunks", "almacen"), signing_key).upsert(generated, run.run_id, run.previous)
 
@@ -156,8 +160,9 @@ def run_all(
     bands: DataFrame | None = None,
     base_year: int = fv.BASE_YEAR,
     sources: Sequence[LandingSource] = LANDING_SOURCES,
+    checks: WriteChecks | None = None,
 ) -> dict[str, DataFrame]:
-    """All layers in order; returns bronze, silver, marts and the chunk store by name."""
+    """All layers in order; returns bronze, silver, marts and the chunk store by name. `checks` counts the run's chunks as they are written."""
     bands = band_seed(spark) if bands is None else bands
     sheets = open_landing(spark, root, sources)
     before = Loads.read(spark, run.path("landing", "_cargas", run.previous) if run.previous else None)
@@ -170,7 +175,7 @@ def run_all(
     bronze = load_bronze(run, current, base_year, [*changed, *gone] if known else None)
     tables = load_silver(run, bronze, aliases, changed if known else None)
     gold = load_marts(run, bronze, tables, aliases, bands)
-    chunks = load_chunks(spark, run, gold, signing_key)
+    chunks = load_chunks(spark, run, gold, signing_key, checks)
     # last, so a run that failed is no run to compare with
     loads.write(spark, run.path("landing", "_cargas"))
     return {"bronce_mediciones": bronze, **tables, **gold, "chunks": chunks}

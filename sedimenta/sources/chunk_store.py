@@ -7,6 +7,8 @@ beginning of the hash, so a request to forget reads a few of its folders and the
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from sedimenta.operators.lookup import distinct_for_join, local_rows
 from sedimenta.sources.versioned import RUN, VersionedTable
 
 BUCKET, MARK = "cubo", "marca"
+Watch = Callable[[DataFrame], DataFrame]
 _INDEX = f"huella string, {BUCKET} string, {RUN} string, {MARK} string"
 
 
@@ -43,9 +46,9 @@ class ChunkStore:
         stored = self.table.read(run)
         return None if stored is None else stored.drop(BUCKET)
 
-    def _write(self, chunks: DataFrame, run: str, previous: str | None, touched: list[str] | None) -> DataFrame:
+    def _write(self, chunks: DataFrame, run: str, previous: str | None, touched: list[str] | None, watch: Watch | None = None) -> DataFrame:
         """Replaces the touched buckets (all, if None), and writes the index of what now stands in them."""
-        out = self.table.replace(chunks.withColumn(BUCKET, self._bucket(F.col("chunk_id"))), run, previous, touched)
+        out = self.table.replace(chunks.withColumn(BUCKET, self._bucket(F.col("chunk_id"))), run, previous, touched, watch)
         if self.pii in chunks.columns:
             mine = self.table.read(run, [v for v, r in self.table.manifest(run).items() if r == run])
             held = mine.select(BUCKET, F.explode(self.pii).alias("_", "valor")).filter(F.col("valor").isNotNull())
@@ -53,9 +56,9 @@ class ChunkStore:
             entries.hint("rebalance", MARK).write.mode("overwrite").partitionBy(MARK).parquet(f"{self.index}/{RUN}={run}")
         return out.drop(BUCKET)
 
-    def load(self, chunks: DataFrame, run: str) -> DataFrame:
-        """A first store of all the given chunks, with every row of a repeated id."""
-        return self._write(chunks, run, None, None)
+    def load(self, chunks: DataFrame, run: str, watch: Watch | None = None) -> DataFrame:
+        """A first store of all the given chunks, with every row of a repeated id. `watch` observes them as they are written."""
+        return self._write(chunks, run, None, None, watch)
 
     def upsert(self, new: DataFrame, run: str, previous: str | None) -> DataFrame:
         """The store of `previous` with the new chunks, as `operators.chunks.upsert_chunks` gives it; only the buckets of new ids are read and written.
@@ -84,3 +87,33 @@ class ChunkStore:
         touched = self.touched_by(people, previous)
         left = ch.forget(self.table.read(previous, touched).drop(BUCKET), people)
         return self._write(left, run, previous, touched)
+
+
+class KeyedStore:
+    """Encrypted chunks in two tables of the same buckets: bodies, and the wrapped data key of each. A rotation rewrites keys only."""
+
+    KEY_FIELDS = ("dek_cifrada", "kek_version")
+
+    def __init__(self, spark: SparkSession, base: str, digits: int = 2):
+        self.bucket = F.coalesce(F.substring("chunk_id", 1, digits), F.lit("sin_id")).alias(BUCKET)
+        self.bodies = VersionedTable(spark, base, BUCKET)
+        self.keys = VersionedTable(spark, f"{base.rstrip('/')}.claves", BUCKET)
+
+    def load(self, stored: DataFrame, run: str) -> DataFrame:
+        """Stores what `production_view` gives, one row per id. Both tables derive a chunk's key from its id, so they agree though `stored` is computed twice."""
+        self.bodies.replace(stored.drop(*self.KEY_FIELDS).select("*", self.bucket), run, None)
+        self.keys.replace(stored.select("chunk_id", *self.KEY_FIELDS, self.bucket), run, None)
+        return self.read(run, run)
+
+    def read(self, bodies: str, keys: str) -> DataFrame:
+        """Bodies as of one run with the keys as of another. The join carries the bucket, so both sides prune alike."""
+        joined = self.bodies.read(bodies).join(self.keys.read(keys), ["chunk_id", BUCKET], "left")
+        return joined.drop(BUCKET)
+
+    def rotate(self, wrapping_keys: Mapping[str, bytes], version: str, run: str, previous: str) -> list[str]:
+        """Wraps keys of other versions anew and returns the buckets that had some; no body is read, no other bucket's file written."""
+        held = self.keys.read(previous)
+        stale = held.filter(~F.col("kek_version").eqNullSafe(version)).select(BUCKET).distinct()
+        touched = sorted(r[0] for r in stale.collect())
+        self.keys.replace(ch.rotate_wrapping(self.keys.read(previous, touched), wrapping_keys, version), run, previous, touched)
+        return touched

@@ -8,7 +8,7 @@ run that failed is repeated from the manifest before it, and a value that got no
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,16 +70,24 @@ class VersionedTable:
         table = self.spark.read.schema(full).option("basePath", self.base).parquet(*paths)
         return table.filter(self._held(manifest)).select(*[f.name for f in schema])
 
-    def replace(self, df: DataFrame, run: str, previous: str | None, touched: Iterable[str] | None = None) -> DataFrame:
+    def replace(
+        self,
+        df: DataFrame,
+        run: str,
+        previous: str | None,
+        touched: Iterable[str] | None = None,
+        watch: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
         """Replaces the `touched` values by the rows of `df`, which must have no others, and returns the table as of `run`.
 
-        Without `touched` the whole table is replaced.
+        Without `touched` the whole table is replaced. `watch` may observe the rows in the stage that writes them.
 
         Values with many rows are split between tasks, so that no task writes a large partition alone.
         """
         path = f"{self.base}/{RUN}={run}"
         columns = [self.key, *self.below]
-        df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
+        dealt = df.hint("rebalance", *columns)
+        (watch(dealt) if watch else dealt).write.mode("overwrite").partitionBy(*columns).parquet(path)
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
         stored = T.StructType([f for f in schema if f.name not in columns] + [schema[c] for c in columns])
         found = self.spark.read.schema(stored).parquet(path).select(self.key).distinct().collect()

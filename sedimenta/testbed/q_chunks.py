@@ -13,7 +13,7 @@ from sedimenta.operators.people import MEASUREMENT, with_people
 from sedimenta.operators.numbering import pages
 from sedimenta.plans.marts import with_limit_and_band
 from sedimenta.session import scratch_path
-from sedimenta.sources.chunk_store import ChunkStore
+from sedimenta.sources.chunk_store import ChunkStore, KeyedStore
 from sedimenta.sources.registry import RULES
 from sedimenta.sources.seeds import band_seed
 from sedimenta.testbed import frames as fr
@@ -24,6 +24,7 @@ from sedimenta.testbed.registry import ORACLE, query
 SIGNING_KEY = b"trial signing key"
 DATA_KEY = b"0123456789abcdef0123456789abcdef"
 WRAPPING_KEY = b"fedcba9876543210fedcba9876543210"
+NEXT_WRAPPING_KEY = b"0f1e2d3c4b5a69780f1e2d3c4b5a6978"
 RUN = {"run_id": "c1", "created_at": "2026-01-05T00:00:00.000Z", "medallion_id": "m1", "signing_key": SIGNING_KEY}
 
 P1, P2, P3, P4 = (RULES[f"P0000{i}_M0000{i}"] for i in (1, 2, 3, 4))
@@ -170,11 +171,33 @@ def _(spark, sf):
     + f"SELECT md5({key_sql(P1)}) AS chunk_id, {text_sql(P1)} AS texto, 'k1' AS kek_version, {len(DATA_KEY)} AS largo_dek FROM m1",
 )
 def _(spark, sf):
-    """Production fields, opened again with the wrapped key's owner."""
-    stored = ch.production_view(_built(spark, sf, P1), DATA_KEY, WRAPPING_KEY, "k1")
-    unwrapped = F.aes_decrypt(F.unbase64("dek_cifrada"), F.lit(WRAPPING_KEY), F.lit("GCM"))
-    opened = F.aes_decrypt(F.unbase64("texto"), unwrapped, F.lit("GCM")).cast("string")
-    return stored.select("chunk_id", opened.alias("texto"), "kek_version", F.length(unwrapped).alias("largo_dek"))
+    """Production fields under a key for each chunk, opened again with the wrapped key's owner."""
+    own = ch.chunk_data_key(F.col("chunk_id"), DATA_KEY)
+    stored = ch.production_view(_built(spark, sf, P1), own, WRAPPING_KEY, "k1")
+    unwrapped = ch.unwrapped({"k1": WRAPPING_KEY})
+    return ch.opened(stored, {"k1": WRAPPING_KEY}).select("chunk_id", "texto", "kek_version", F.length(unwrapped).alias("largo_dek"))
+
+
+@query(
+    "chunk_key_rotation",
+    """SELECT md5(cast(doc_id AS VARCHAR)) AS chunk_id, text AS texto, 'k2' AS kek_version, 32 AS largo_dek,
+count(*) OVER () AS llaves FROM documents""",
+)
+def _(spark, sf):
+    """Whole texts under a key each, stored; the wrapping key is replaced without touching a text, then all is opened with the new one."""
+    own = ch.chunk_data_key(F.col("chunk_id"), DATA_KEY)
+    sealed = _store(spark, sf).select(
+        "chunk_id", ch.encrypt(F.col("texto"), own).alias("texto"), ch.wrap(own, WRAPPING_KEY).alias("dek_cifrada"), F.lit("k1").alias("kek_version")
+    )
+    store = KeyedStore(spark, scratch_path(spark, "cifrados"), digits=1)
+    store.load(sealed, "r1")
+    store.rotate({"k1": WRAPPING_KEY, "k2": NEXT_WRAPPING_KEY}, "k2", "r2", "r1")
+    stored = store.read("r1", "r2")
+    key = ch.unwrapped({"k2": NEXT_WRAPPING_KEY})
+    distinct = stored.agg(F.count_distinct(key)).scalar()
+    return ch.opened(stored, {"k2": NEXT_WRAPPING_KEY}, ["texto"]).select(
+        "chunk_id", "texto", "kek_version", F.length(key).alias("largo_dek"), distinct.alias("llaves")
+    )
 
 
 def _store(spark, sf, column: str = "text"):
@@ -337,6 +360,14 @@ def _(spark, sf):
     return metrics.chunk_checks(_run(spark, sf), metrics.expectations([P1, P2, P3, P4]), metrics.SUITE_MIN_TOTAL)
 
 
+@query("chunk_suite_checks_written", ORACLE["chunk_suite_checks"])
+def _(spark, sf):
+    """The same, counted by the pass that stores the chunks."""
+    checks = metrics.WriteChecks(metrics.expectations([P1, P2, P3, P4]), metrics.SUITE_MIN_TOTAL)
+    ChunkStore(spark, scratch_path(spark, "almacen"), SIGNING_KEY, digits=1).load(_run(spark, sf), "r1", checks.watch)
+    return checks.result(spark)
+
+
 @query(
     "row_fingerprint",
     """SELECT p_partkey, substring(sha256(to_json({'marca': p_brand, 'nombre': p_name, 'tamano': p_size, 'tipo': nullif(p_type, 'SMALL')})), 1, 16)

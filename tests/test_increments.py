@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hmac
 import random
 from datetime import datetime
 from pathlib import Path
@@ -10,12 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.operators import chunks as ch
+from sedimenta.operators import metrics
 from sedimenta.operators.numbering import numbered, pages, read_page
 from sedimenta.plans import annual, marts, medallion
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources.changes import Loads, sheet_digests
-from sedimenta.sources.chunk_store import ChunkStore
+from sedimenta.sources.chunk_store import ChunkStore, KeyedStore
 from sedimenta.sources.landing import open_landing
+from sedimenta.sources.registry import RULES
 from sedimenta.sources.versioned import VersionedTable
 from tests.test_load import people, write_workbook  # noqa: F401
 
@@ -186,3 +189,50 @@ def test_only_changed_sheets_are_loaded_again(spark, people, tmp_path):  # noqa:
     assert third["bronce_mediciones"].count() == 9 * 80 + 53
     assert Loads.read(spark, f"{base}/landing/w3/_cargas").runs["mediciones_nodo"] == "w2"
     assert len(open_landing(spark, str(tmp_path))) == 9
+
+
+def test_keys_are_derived_per_chunk_and_rotate_without_touching_texts(spark, tmp_path):
+    run_key, old, new = b"r" * 32, b"a" * 32, b"b" * 32
+    rows = [(f"{i % 16:x}{i}", None if i == 3 else f"texto {i} ñ" if i else "") for i in range(60)]
+    plain = spark.createDataFrame(rows, "chunk_id string, texto string")
+    own = ch.chunk_data_key(F.col("chunk_id"), run_key)
+    sealed = plain.select("chunk_id", ch.encrypt(F.col("texto"), own).alias("texto"), ch.wrap(own, old).alias("dek_cifrada"), F.lit("k1").alias("kek_version"))
+    want = {i: hmac.new(run_key, f"chunk|{i}\x01".encode(), "sha256").digest() for i, _ in rows}
+    assert {r[0]: bytes(r[1]) for r in sealed.select("chunk_id", ch.unwrapped({"k1": old})).collect()} == want
+
+    store = KeyedStore(spark, str(tmp_path / "s"), digits=1)
+    before = {r["chunk_id"]: r["texto"] for r in store.load(sealed, "r1").collect()}
+    bodies = files(tmp_path / "s")
+    keys = {"k1": old, "k2": new}
+    assert len(store.rotate(keys, "k2", "r2", "r1")) == 16
+    after = store.read("r1", "r2")
+    assert files(tmp_path / "s") == bodies
+    assert {r["chunk_id"]: r["texto"] for r in after.collect()} == before
+    assert rows_of(ch.opened(after, {"k2": new}, ["texto"]).select("chunk_id", "texto")) == rows_of(plain)
+    assert {r[0] for r in after.select("kek_version").distinct().collect()} == {"k2"}
+    # a rotation that was done changes nothing, and the table of the run before is still there
+    assert store.rotate(keys, "k2", "r3", "r2") == [] and rows_of(store.read("r1", "r3")) == rows_of(after)
+    assert rows_of(ch.opened(store.read("r1", "r1"), {"k1": old}, ["texto"]).select("chunk_id", "texto")) == rows_of(plain)
+    with pytest.raises(Exception, match="no wrapping key of version k2"):
+        ch.opened(after, {"k1": old}, ["texto"]).collect()
+
+
+def test_checks_taken_while_writing_equal_those_of_a_scan(spark, tmp_path):
+    rules = [RULES["P00001_M00001"], RULES["P00002_M00002"]]
+    expected = metrics.expectations(rules, {r.id: 3 for r in rules})
+    rows = []
+    for i in range(40):
+        rule = rules[i % 2]
+        tags = {k: v for k, v in rule.tags.items()} if i % 5 else None
+        keys = {p: "x" for p in rule.pii} | ({"otra": "y"} if i % 7 == 0 else {})
+        rows.append((f"{i % 16:x}{i}", rule.id if i % 9 else [None, "OTRA"][i % 2], tags, keys if i % 11 else None))
+    schema = "chunk_id string, regla_id string, dimensiones map<string,string>, pii_tokens map<string,string>"
+    chunks = spark.createDataFrame(rows, schema)
+    store = ChunkStore(spark, str(tmp_path / "s"), b"k", digits=1)
+    checks = metrics.WriteChecks(expected, 30)
+    store.load(chunks, "r1", checks.watch)
+    assert checks.written() == len(rows)
+    assert rows_of(checks.result(spark)) == rows_of(metrics.chunk_checks(chunks, expected, 30))
+    none = metrics.WriteChecks(expected, 30)
+    store.load(chunks.filter("chunk_id = 'zz'"), "r2", none.watch)
+    assert none.written() == 0 and rows_of(none.result(spark)) == rows_of(metrics.chunk_checks(chunks.limit(0), expected, 30))
