@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +15,8 @@ from sedimenta.llm.common import learnable, local_copy, mapped, once, shipped, t
 #: Bytes that share one recurrent state; every byte of a text is in exactly one window.
 WINDOW = 64
 HIDDEN = 8
-#: Labelled rows of each language that are learned from, and characters of each: a bound on the driver's work.
-TRAIN_ROWS, TRAIN_CHARS = 700, 320
+#: Labelled rows of each language that are learned from, each with its whole text: a bound on the driver's work.
+TRAIN_ROWS = 100
 BATCH = 4096
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")  # category L, as in the training rows: no fraction, superscript or numeral is one
@@ -208,29 +207,26 @@ class Detector:
         return names, [min(1.0, float(p[b])) if ok else 0.0 for p, b, ok in zip(pooled, best, lettered)]
 
 
-def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS, identity: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """`(lang, piece)`: at most `rows` rows of each language, from each a piece that begins anywhere in the text.
+def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS, identity: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """`(lang, text)`: at most `rows` rows of each language, with their whole texts.
 
-    Which rows and where depends on a hash of the id only. Languages are thinned before the shuffle, so one
-    with most of the table costs no more than the others.
+    Which rows depends on a hash of the id only, and of the text where ids repeat. Languages are thinned before the
+    shuffle, so one with most of the table costs no more than the others.
     """
     hashed = F.xxhash64(F.col(identity).cast("string"))
-    begin = F.pmod(F.shiftright(hashed, 8), F.greatest(F.length(text) - chars + 1, F.lit(1)).cast("long")).cast("int") + 1
-    piece = F.substring(F.col(text), begin, F.lit(chars))
     known = docs.filter(learnable(identity, 5, 0) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    known = thinned(known, lang, rows, hashed)
-    small = known.select(F.col(lang).alias("lang"), piece.alias("piece"), hashed.alias("_h"))
-    first = Window.partitionBy("lang").orderBy("_h", "piece")
-    return small.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= rows).select("lang", "piece")
+    small = thinned(known, lang, rows, hashed).select(F.col(lang).alias("lang"), F.col(text).alias("text"), hashed.alias("_h"), F.xxhash64(text).alias("_t"))
+    first = Window.partitionBy("lang").orderBy("_h", "_t")
+    return small.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= rows).select("lang", "text")
 
 
-def train(docs: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS, epochs: int = 8, **columns: str) -> Detector:
+def train(docs: DataFrame, rows: int = TRAIN_ROWS, epochs: int = 8, **columns: str) -> Detector:
     """Learns from the text and language of documents whose crc32(id) mod 5 is not 0. No labelled row: everything is `und`."""
-    sample = sorted((r["lang"], r["piece"]) for r in training_rows(docs, rows, chars, **columns).collect())
+    sample = sorted((r["lang"], r["text"]) for r in training_rows(docs, rows, **columns).collect())
     languages = sorted({lang for lang, _ in sample})
     if not languages:
         return Detector([], None)
-    codes, lengths, owner = windows([piece.encode() for _, piece in sample])
+    codes, lengths, owner = windows([text.encode() for _, text in sample])
     label = np.array([languages.index(lang) for lang, _ in sample])[owner]
     mask = (np.arange(WINDOW)[:, None] < lengths).astype(np.float32)
     return Detector(languages, BiGRU.fresh(len(languages)).fit(codes, mask, label, epochs))

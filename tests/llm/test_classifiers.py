@@ -41,6 +41,41 @@ def test_gradients_by_backpropagation_through_time_equal_differences():
             assert abs((up - down) / (2 * eps) - g[name][at]) < 2e-4, (name, at)
 
 
+def test_pooled_probabilities_equal_the_written_out_formula():
+    """A plain loop over bytes and units, one text at a time: the state restarts at every window."""
+    rnd = np.random.default_rng(4)
+    net = langid.BiGRU.fresh(3, hidden=4, seed=2)
+    net.w = {k: (v + 0.1 * rnd.standard_normal(v.shape)).astype(np.float32) for k, v in net.w.items()}
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    texts = [bytes(rnd.integers(0, 256, n).astype(np.uint8)) for n in (1, 64, 100, 130)]
+    got = langid.Detector(["a", "b", "c"], net).pooled(texts)
+    for text, mean in zip(texts, got):
+        total = np.zeros(3)
+        for start in range(0, len(text), langid.WINDOW):
+            part = text[start : start + langid.WINDOW]
+            states = {}
+            for d, order in (("f", range(len(part))), ("b", range(len(part) - 1, -1, -1))):
+                W, U, c, h = (*(net.w[x + d].astype(float) for x in "WUc"), np.zeros(4))
+                for t in order:
+                    x, u = W[part[t]], U @ h
+                    z, r = sig(x[:4] + u[:4]), sig(x[4:8] + u[4:8])
+                    n = np.tanh(x[8:] + r * (u[8:] + c))
+                    h = (1 - z) * n + z * h
+                    states[d, t] = h
+            for t in range(len(part)):
+                e = np.exp(net.w["Wo"] @ np.concatenate([states["f", t], states["b", t]]) + net.w["bo"])
+                total += e / e.sum()
+        assert np.allclose(mean, total / len(text), atol=1e-5)
+
+
+def test_training_reads_whole_texts_of_few_rows(spark):
+    rows = [(i, f"{'ab'[i % 2]} " * (1 + i * 50), "xy"[i % 2]) for i in range(40)] + [(None, "zz", "x"), (90, None, "x"), (91, "12", "y"), (92, "text", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {(lang, text) for _, text, lang in rows}
+    some = [tuple(r) for r in langid.training_rows(docs, 5).collect()]
+    assert len(some) == 10 and set(some) <= whole and {lang for lang, _ in some} == {"x", "y"}
+
+
 def test_windows_cover_whole_texts_and_pooling_is_the_mean():
     rnd = np.random.default_rng(1)
     texts = [bytes(rnd.integers(1, 256, n).astype(np.uint8)) for n in (0, 1, 63, 64, 65, 200, 1000)]
@@ -105,6 +140,32 @@ def test_risk_derivatives_and_clamp():
             assert base == pytest.approx(0.4 * np.logaddexp(0, -p).mean()) and (g_u <= 0).all()
 
 
+def test_scores_equal_a_plain_loop_over_features():
+    """Features are found again from their definition, without the cache, and summed one by one."""
+    rnd = np.random.default_rng(5)
+    texts = ["Bad badly BAD badness good", "", "fine words, bad-tempered words", "x " * 50 + "badger badminton", "Ünïcode ünïversal bad 12"]
+    every = sorted({x for t in texts for x in toxicity._Features().of(t)})
+    own = toxicity.Classifier(every[::2], rnd.standard_normal((3, len(every[::2]))), rnd.standard_normal(3))
+    for text, score in zip(texts, own.scores(texts)):
+        per_chunk = [set(toxicity.chunk_features(c)) for c in set(text.split())]
+        present = {x for xs in per_chunk for x in xs}
+        present |= {x + toxicity.BUCKETS for x in present if sum(x in xs for xs in per_chunk) > 1}
+        votes = []
+        for member in range(3):
+            f = own.bias[member]
+            for at, x in enumerate(own.features):
+                if x in present:
+                    f += own.weights[member, at]
+            votes.append(1 / (1 + np.exp(-f)))
+        assert score == pytest.approx(sum(votes) / 3, abs=1e-12)
+
+
+def test_every_feature_that_passes_is_used():
+    wide = toxicity.Presence(np.full(40, 6000), np.tile(np.arange(6000, dtype=np.int32), 40))
+    plain = toxicity.Presence(np.full(400, 1), np.full(400, 7000, np.int32))
+    assert len(toxicity.fit(wide, plain, 0.5, steps=2).features) == 6000
+
+
 def test_toxicity_held_out(spark):
     out = queries.QUERIES["op3_toxicity"](spark, "/root/testdata/sf0.1").join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").filter("held_out")
     row = out.agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))).alias("caught"), F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("wrong")).first()
