@@ -23,8 +23,8 @@ from sedimenta.llm.common import blocks, learnable, local_copy, mapped, once, sh
 TOXIC_ROWS, PLAIN_ROWS, MEMBERS = 4_000, 8_000, 3
 BUCKETS = 1 << 20
 #: A feature is considered when so many standard errors more frequent in toxic texts, in so many of them, and when
-#: by the class prior so much of its occurrences is in toxic texts.
-EXCESS, LEAST_TEXTS, PURITY, FEATURES = 6.0, 4, 0.6, 4096
+#: by the class prior so much of its occurrences is in toxic texts. All that pass are used: the sample bounds their number.
+EXCESS, LEAST_TEXTS, PURITY = 6.0, 4, 0.6
 CACHE_CHUNKS, SAMPLE_CHUNKS = 150_000, 20_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -136,8 +136,7 @@ def fit(positive: Presence, unlabelled: Presence, prior: float, members: int = M
     rate = (unlabelled.counts() + 1) / (unlabelled.n + 2)
     excess = (p / n_p - rate) / np.sqrt(rate * (1 - rate) / n_p)
     purity = prior * (p / n_p) / rate
-    good = np.flatnonzero((excess > EXCESS) & (p >= LEAST_TEXTS) & (purity >= PURITY))
-    features = np.sort(good[np.lexsort((good, -excess[good]))][:FEATURES])
+    features = np.flatnonzero((excess > EXCESS) & (p >= LEAST_TEXTS) & (purity >= PURITY))
     if not positive.n or not unlabelled.n:
         features = features[:0]
     place = np.full(2 * BUCKETS, -1, np.int32)
