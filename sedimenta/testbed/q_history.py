@@ -9,20 +9,26 @@ from pyspark.sql import functions as F
 from sedimenta.functions import content_hash, number_texts, surrogate_key
 from sedimenta.operators import history
 from sedimenta.plans import silver
+from sedimenta.session import scratch_path
+from sedimenta.sources.snapshot_store import SnapshotStore
 from sedimenta.testbed import frames as fr
 from sedimenta.testbed import sql as s
-from sedimenta.testbed.registry import query
+from sedimenta.testbed.registry import ORACLE, query
 
 FIRST, SECOND = datetime(2026, 1, 5), datetime(2026, 1, 12)
 CHECKED = ["p_name", "p_brand", "p_retailprice"]
 
 
-def _versions(spark, sf):
+def _loads(spark, sf):
     """First load: the parts without those of size 50; second load: all, with every tenth price changed."""
     part = fr.table(spark, sf, "part").select("p_partkey", *CHECKED, "p_size")
-    first = history.scd2_first(part.filter("p_size < 50"), ["p_partkey"], FIRST)
     changed = F.when(F.col("p_partkey") % 10 == 0, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice"))
-    return history.scd2_snapshot(first, part.withColumn("p_retailprice", changed), ["p_partkey"], CHECKED, SECOND)
+    return part.filter("p_size < 50"), part.withColumn("p_retailprice", changed)
+
+
+def _versions(spark, sf):
+    first, second = _loads(spark, sf)
+    return history.scd2_snapshot(history.scd2_first(first, ["p_partkey"], FIRST), second, ["p_partkey"], CHECKED, SECOND)
 
 
 _SCD = """WITH old AS (SELECT p_partkey, p_name, p_brand, p_retailprice, p_size FROM part WHERE p_size < 50),
@@ -36,9 +42,8 @@ v AS (
 """
 
 
-@query("scd2_snapshot", _SCD + "SELECT * FROM v")
-def _(spark, sf):
-    return _versions(spark, sf).select(
+def _dated(versions):
+    return versions.select(
         "p_partkey",
         *CHECKED,
         "p_size",
@@ -48,6 +53,20 @@ def _(spark, sf):
     )
 
 
+@query("scd2_snapshot", _SCD + "SELECT * FROM v")
+def _(spark, sf):
+    return _dated(_versions(spark, sf))
+
+
+@query("scd2_snapshot_buckets", ORACLE["scd2_snapshot"])
+def _(spark, sf):
+    """The same through a stored table: open versions in buckets, closed ones in a partition that no later load reads."""
+    store = SnapshotStore(spark, scratch_path(spark, "versiones"), ["p_partkey"], CHECKED, buckets=16)
+    for source, run, before, now in zip(_loads(spark, sf), ("w1", "w2"), (None, "w1"), (FIRST, SECOND)):
+        store.load(source, run, before, now)
+    return _dated(store.versions("w2"))
+
+
 @query(
     "scd2_grown_columns",
     """SELECT p_partkey, p_retailprice, NULL AS p_semana, '2026-01-05' AS desde, '2026-01-12' AS hasta FROM part WHERE p_size % 3 = 0

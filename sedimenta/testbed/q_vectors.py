@@ -8,9 +8,11 @@ from sedimenta.operators import chunks as ch
 from sedimenta.operators import context, vectors
 from sedimenta.operators import governance as gov
 from sedimenta.operators.ranking import last_n
+from sedimenta.operators.vector_cells import VectorCells
+from sedimenta.session import scratch_path
 from sedimenta.testbed import frames as fr
 from sedimenta.testbed import sql as s
-from sedimenta.testbed.registry import query
+from sedimenta.testbed.registry import ORACLE, query
 
 SIZE = 64
 
@@ -29,6 +31,18 @@ def _top(spark, sf, table=None, **options):
     return vectors.top_k(table, fr.centroids(spark, sf), **options)
 
 
+def _tagged(spark, sf):
+    languages = fr.table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "lang")
+    return fr.table(spark, sf, "embeddings").join(languages, "vec_id")
+
+
+def _readable(spark):
+    """Keeps the rows whose language the reader may see."""
+    grants = gov.user_grants(spark, {"lector": {"idioma": ["europeos"]}})
+    groups = gov.group_members(spark, {"idioma": {"europeos": ("en", "es")}})
+    return lambda df: gov.governed(df, gov.expand_grants(grants, groups), "lector", {"idioma": "lang"})
+
+
 @query("vector_topk", s.with_(*s.topk()) + "SELECT query_id, vec_id, score, cast(rn AS INTEGER) AS rn FROM top")
 def _(spark, sf):
     """The ten nearest vectors to the mean of every label, over all vectors."""
@@ -53,12 +67,21 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Only vectors of documents in the user's languages are scored."""
-    tagged = fr.table(spark, sf, "embeddings").join(
-        fr.table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "lang"), "vec_id"
-    )
-    grants = gov.user_grants(spark, {"lector": {"idioma": ["europeos"]}})
-    groups = gov.group_members(spark, {"idioma": {"europeos": ("en", "es")}})
-    return _top(spark, sf, gov.governed(tagged, gov.expand_grants(grants, groups), "lector", {"idioma": "lang"}))
+    return _top(spark, sf, _readable(spark)(_tagged(spark, sf)))
+
+
+@query("vector_cells_topk", ORACLE["vector_topk"])
+def _(spark, sf):
+    """The same from a table in cells, whose far cells are left out by their bounds."""
+    store = VectorCells(spark, scratch_path(spark, "vectores")).build(fr.table(spark, sf, "embeddings"), SIZE)
+    return store.search(fr.centroids(spark, sf), 10).rows
+
+
+@query("vector_cells_governed", ORACLE["vector_topk_governed"])
+def _(spark, sf):
+    """Languages are folders: what the user may not see is not read."""
+    store = VectorCells(spark, scratch_path(spark, "vectores"), ["lang"]).build(_tagged(spark, sf), SIZE)
+    return store.search(fr.centroids(spark, sf), 10, _readable(spark)).rows
 
 
 @query(

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.operators import chunks as ch
-from sedimenta.operators import metrics
+from sedimenta.operators import history, metrics
 from sedimenta.operators.numbering import numbered, pages, read_page
 from sedimenta.plans import annual, marts, medallion
 from sedimenta.sources import fixed_values as fv
@@ -19,6 +19,7 @@ from sedimenta.sources.changes import Loads, sheet_digests
 from sedimenta.sources.chunk_store import ChunkStore, KeyedStore
 from sedimenta.sources.landing import open_landing
 from sedimenta.sources.registry import RULES
+from sedimenta.sources.snapshot_store import SnapshotStore
 from sedimenta.sources.versioned import VersionedTable
 from tests.test_load import people, write_workbook  # noqa: F401
 
@@ -236,3 +237,42 @@ def test_checks_taken_while_writing_equal_those_of_a_scan(spark, tmp_path):
     none = metrics.WriteChecks(expected, 30)
     store.load(chunks.filter("chunk_id = 'zz'"), "r2", none.watch)
     assert none.written() == 0 and rows_of(none.result(spark)) == rows_of(metrics.chunk_checks(chunks.limit(0), expected, 30))
+
+
+def test_snapshots_read_and_write_the_buckets_that_changed(spark, tmp_path):
+    schema = "k string, x double, y string, otra int"
+    base = [(f"k{i}", float(i), "a", 1) for i in range(60)] + [(None, 1.0, "n", 1), ("dos", 1.0, "a", 1), ("dos", 2.0, "a", 1), ("cero", 0.0, "a", 1), ("nan", float("nan"), None, 1)]
+    changed = {r[0]: r for r in base if r[0] not in ("dos", "k9")} | {"k3": ("k3", -3.0, "a", 1), "k4": ("k4", 4.0, None, 1), "cero": ("cero", -0.0, "a", 1), "k5": ("k5", 5.0, "a", 9), "nuevo": ("nuevo", 0.5, "a", 1)}
+    loads = [base, [*changed.values(), ("dos", 2.0, "a", 1)], [*changed.values(), ("dos", 2.0, "a", 1)], base]
+    store = SnapshotStore(spark, str(tmp_path / "s"), ["k"], ["x", "y"], buckets=16)
+    want, before = None, {}
+    for i, rows in enumerate(loads):
+        now, source = datetime(2026, 1, 5 + 7 * i), spark.createDataFrame(rows, schema).repartition(3)
+        want = history.scd2_first(source, ["k"], now) if want is None else history.scd2_snapshot(want, source, ["k"], ["x", "y"], now)
+        for _ in range(2):  # a run may be repeated
+            touched = store.load(source, f"w{i}", f"w{i - 1}" if i else None, now)
+        got = store.versions(f"w{i}")
+        assert rows_of(got.select(*want.columns)) == rows_of(want)
+        assert rows_of(store.current(f"w{i}").select("k", "x", "y", "otra")) == rows_of(history.scd2_current(want).select("k", "x", "y", "otra"))
+        after = files(tmp_path / "s")
+        assert {p: t for p, t in after.items() if p in before} == before
+        before = after
+        assert len(touched) == (16 if i == 0 else 0 if i == 2 else len(touched)) and (i not in (1, 3) or 0 < len(touched) < 16)
+        written = {p.split("parte=")[1].split("/")[0] for p in after if f"_corrida=w{i}" in p}
+        assert written == {*touched} | ({f"cerradas-w{i}"} if i in (1, 3) else set())
+    plan = store.current("w3")._jdf.queryExecution().executedPlan().toString()
+    assert "cerradas" not in plan and "parte" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_new_check_column_touches_every_bucket_and_is_null_in_old_versions(spark, tmp_path):
+    first = spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, x int")
+    second = first.withColumn("z", F.when(F.col("x") < 5, F.col("x")))
+    store = SnapshotStore(spark, str(tmp_path / "s"), ["k"], ["x"], buckets=4)
+    store.load(first, "w1", None, datetime(2026, 1, 5))
+    grown = SnapshotStore(spark, str(tmp_path / "s"), ["k"], ["x", "z"], buckets=4)
+    assert len(grown.load(second, "w2", "w1", datetime(2026, 1, 12))) == 4
+    want = history.scd2_snapshot(history.scd2_first(first, ["k"], datetime(2026, 1, 5)), second, ["k"], ["x", "z"], datetime(2026, 1, 12))
+    assert rows_of(grown.versions("w2").select(*want.columns)) == rows_of(want)
+    wider = second.withColumn("libre", F.lit("a"))  # not compared: no bucket is touched, the column is there
+    assert grown.load(wider, "w3", "w2", datetime(2026, 1, 19)) == []
+    assert {r["libre"] for r in grown.versions("w3").collect()} == {None}
