@@ -116,13 +116,14 @@ def build_chunks(
     medallion_id: str,
     signing_key: bytes,
     valid_until: int = fv.NO_EXPIRY,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """All fields of the chunks of a rule, with clear text; a narrow transform of the mart.
 
     `texto` holds tokens for personal values; their values are only in `pii_tokens`.
-    Every column is turned to text once, and key, text and payload refer to that.
+    Every column is turned to text once, and key, text and payload refer to that. Columns to `keep` come last, as they are.
     """
-    rows = mart.select(*[shown_text(mart, c).alias(c) for c in rule.columns])
+    rows = mart.select(*[shown_text(mart, c).alias(c) for c in rule.columns], *keep)
     key = chunk_key(rows, rule.key_columns, rule.separator, prefix=rule.id)
     text = tagged_text(render(rows, rule.template, rule.pii), rule.tags, rule.tags_in_text)
     business = F.create_map(
@@ -151,10 +152,17 @@ def build_chunks(
         fingerprint({"id": F.lit(rule.id), "plantilla": F.lit(rule.template), "version": F.lit(rule.version)}).alias(
             "regla_version"
         ),
+        *keep,
     )
     return with_integrity(built, signing_key)
 
 
+def rule_rows(mart: DataFrame, rule: Rule) -> tuple[DataFrame, Column]:
+    """What `build_chunks` needs of a mart, and the id of each row's chunk: for stores that build chunks where they are written."""
+    rows = mart.select(*rule.columns)
+    return rows, chunk_id(chunk_key(rows, rule.key_columns, rule.separator, prefix=rule.id))
+
+
 def with_integrity(chunks: DataFrame, signing_key: bytes) -> DataFrame:
     """Content hash, its signature, and the signature of key plus hash as received."""
     return (

@@ -133,7 +133,7 @@ def _judged(found: DataFrame, expected: Sequence[ChunkExpectation], total_min: i
 
 
 class WriteChecks:
-    """The same checks, counted in the pass that writes the chunks: give it to a write, then ask for the result.
+    """The same checks, counted in the pass that writes the chunks: give it to a write, or several, then ask for the result.
 
     The counts are taken in the stage that writes, behind its shuffle, where Spark counts every task once even if a lost
     executor makes an earlier stage run again.
@@ -141,22 +141,25 @@ class WriteChecks:
 
     def __init__(self, expected: Sequence[ChunkExpectation], total_min: int | None = None):
         self.expected, self.total_min = expected, total_min
-        self.observation = Observation()
+        self.observations: list[Observation] = []
 
     def watch(self, chunks: DataFrame) -> DataFrame:
         measured = [F.count(F.lit(1)).alias("filas")]
         for i, e in enumerate(self.expected):
             mine, (tags, keys) = F.col("regla_id").eqNullSafe(e.rule.id), _faults(e)
             measured += [F.count_if(x).alias(f"{c}{i}") for c, x in zip(_COUNTS, (mine, mine & tags, mine & keys))]
-        return chunks.observe(self.observation, *measured)
+        self.observations.append(Observation())
+        return chunks.observe(self.observations[-1], *measured)
+
+    def _sum(self, name: str) -> int:
+        return sum(o.get[name] for o in self.observations)
 
     def written(self) -> int:
-        """Rows of the write, chunks of further rules included; waits until it has ended."""
-        return self.observation.get["filas"]
+        """Rows of the writes, chunks of further rules included; waits until they have ended."""
+        return self._sum("filas")
 
     def result(self, spark: SparkSession) -> DataFrame:
         """What `chunk_checks` gives for the written chunks, without reading them."""
-        got = self.observation.get
-        rows = [(e.rule.id, *(got[f"{c}{i}"] for c in _COUNTS)) for i, e in enumerate(self.expected)]
+        rows = [(e.rule.id, *(self._sum(f"{c}{i}") for c in _COUNTS)) for i, e in enumerate(self.expected)]
         found = local_rows(spark, rows, "regla_id string, chunks long, tags_erroneos long, pii_erronea long")
         return _judged(found, self.expected, self.total_min)

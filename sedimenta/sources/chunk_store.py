@@ -7,7 +7,7 @@ beginning of the hash, so a request to forget reads a few of its folders and the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions.keys import hmac_sha256
 from sedimenta.operators import chunks as ch
 from sedimenta.operators.lookup import distinct_for_join, local_rows
-from sedimenta.sources.versioned import RUN, VersionedTable
+from sedimenta.sources.versioned import CODEC, RUN, Build, VersionedTable
 
 BUCKET, MARK = "cubo", "marca"
 Watch = Callable[[DataFrame], DataFrame]
@@ -48,18 +48,29 @@ class ChunkStore:
 
     def _write(self, chunks: DataFrame, run: str, previous: str | None, touched: list[str] | None, watch: Watch | None = None) -> DataFrame:
         """Replaces the touched buckets (all, if None), and writes the index of what now stands in them."""
-        out = self.table.replace(chunks.withColumn(BUCKET, self._bucket(F.col("chunk_id"))), run, previous, touched, watch)
-        if self.pii in chunks.columns:
+        return self._write_parts([(chunks.withColumn(BUCKET, self._bucket(F.col("chunk_id"))), None)], run, previous, touched, watch)
+
+    def _write_parts(self, parts: Sequence[tuple[DataFrame, Build | None]], run: str, previous: str | None, touched: list[str] | None, watch: Watch | None) -> DataFrame:
+        out = self.table.replace_built(parts, run, previous, touched, watch)
+        if self.pii in out.columns:
             mine = self.table.read(run, [v for v, r in self.table.manifest(run).items() if r == run])
             held = mine.select(BUCKET, F.explode(self.pii).alias("_", "valor")).filter(F.col("valor").isNotNull())
             entries = self._entries(held.select(BUCKET, "valor").distinct())
-            entries.hint("rebalance", MARK).write.mode("overwrite").partitionBy(MARK).parquet(f"{self.index}/{RUN}={run}")
+            entries.hint("rebalance", MARK).write.mode("overwrite").option("compression", CODEC).partitionBy(MARK).parquet(f"{self.index}/{RUN}={run}")
         return out.drop(BUCKET)
 
     def load(self, chunks: DataFrame, run: str, watch: Watch | None = None) -> DataFrame:
         """A first store of all the given chunks, with every row of a repeated id. `watch` observes them as they are written."""
         return self._write(chunks, run, None, None, watch)
 
+    def load_built(self, parts: Sequence[tuple[DataFrame, Column, Build]], run: str, watch: Watch | None = None) -> DataFrame:
+        """`load` of chunks that are built where they are written, from parts `(rows, id of a row's chunk, build)`.
+
+        Only the rows are shuffled. A build gives one chunk a row, of the same columns in all parts, and keeps the column `BUCKET`.
+        """
+        placed = [(rows.withColumn(BUCKET, self._bucket(identity)), build) for rows, identity, build in parts]
+        return self._write_parts(placed, run, None, None, watch)
+
     def upsert(self, new: DataFrame, run: str, previous: str | None) -> DataFrame:
         """The store of `previous` with the new chunks, as `operators.chunks.upsert_chunks` gives it; only the buckets of new ids are read and written.
 

@@ -8,7 +8,7 @@ run that failed is repeated from the manifest before it, and a value that got no
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +20,10 @@ from sedimenta.sources.sinks import read_if_exists
 
 #: Name of the folder level that tells runs apart.
 RUN = "_corrida"
+#: Codec of the files: hex digests, the widest columns of chunks, halve under it and not under the default.
+CODEC = "zstd"
+#: Makes the stored rows of rows, one by one.
+Build = Callable[[DataFrame], DataFrame]
 
 
 class VersionedTable:
@@ -84,11 +88,32 @@ class VersionedTable:
 
         Values with many rows are split between tasks, so that no task writes a large partition alone.
         """
+        return self.replace_built([(df, None)], run, previous, touched, watch)
+
+    def replace_built(
+        self,
+        parts: Sequence[tuple[DataFrame, Build | None]],
+        run: str,
+        previous: str | None,
+        touched: Iterable[str] | None = None,
+        watch: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
+        """`replace` by the rows of several parts, each `(rows, build)`: rows are dealt out and sorted as they are, the task that writes builds from them.
+
+        So no shuffle and no sort carries what a row can be built to. A build keeps the key columns as they come and gives one
+        schema in all parts; `watch` is asked for every part.
+        """
         path = f"{self.base}/{RUN}={run}"
         columns = [self.key, *self.below]
-        dealt = df.hint("rebalance", *columns)
-        (watch(dealt) if watch else dealt).write.mode("overwrite").partitionBy(*columns).parquet(path)
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+        schema = None
+        for rows, build in parts:
+            dealt = rows.hint("rebalance", *columns)
+            built = build(dealt.sortWithinPartitions(*columns)) if build else dealt
+            mine = T.StructType([T.StructField(f.name, f.dataType) for f in built.schema])
+            if schema is not None and mine.simpleString() != schema.simpleString():
+                raise ValueError(f"parts of different columns: {schema.simpleString()} and {mine.simpleString()}")
+            mode, schema = "overwrite" if schema is None else "append", mine
+            (watch(built) if watch else built).write.mode(mode).option("compression", CODEC).partitionBy(*columns).parquet(path)
         stored = T.StructType([f for f in schema if f.name not in columns] + [schema[c] for c in columns])
         found = self.spark.read.schema(stored).parquet(path).select(self.key).distinct().collect()
         written = {r[self.key] for r in found}

@@ -16,7 +16,7 @@ from sedimenta.operators.numbering import numbered, pages, read_page
 from sedimenta.plans import annual, marts, medallion
 from sedimenta.sources import fixed_values as fv
 from sedimenta.sources.changes import Loads, sheet_digests
-from sedimenta.sources.chunk_store import ChunkStore, KeyedStore
+from sedimenta.sources.chunk_store import BUCKET, ChunkStore, KeyedStore
 from sedimenta.sources.landing import open_landing
 from sedimenta.sources.registry import RULES
 from sedimenta.sources.snapshot_store import SnapshotStore
@@ -276,3 +276,37 @@ def test_a_new_check_column_touches_every_bucket_and_is_null_in_old_versions(spa
     wider = second.withColumn("libre", F.lit("a"))  # not compared: no bucket is touched, the column is there
     assert grown.load(wider, "w3", "w2", datetime(2026, 1, 19)) == []
     assert {r["libre"] for r in grown.versions("w3").collect()} == {None}
+
+
+def test_chunks_are_built_behind_the_shuffle_that_places_them(spark, tmp_path):
+    rules = [RULES["P00001_M00001"], RULES["P00004_M00004"]]
+    run = {"run_id": "r", "created_at": "2026-01-05T00:00:00.000Z", "medallion_id": "m", "signing_key": b"key"}
+    rows = [(f"Planta {i % 7}" if i % 6 else None, f"P{i}", 2025, i % 53, i / 10, "Ana" if i % 3 else None) for i in range(60)] * 2
+    marts_ = []
+    for rule in rules:
+        facts = spark.createDataFrame(rows, "planta string, punto_evaluacion string, anio int, semana int, concentracion_mg_m3 double, operador string")
+        marts_.append(facts.withColumns({c: F.lit("x") for c in rule.columns if c not in facts.columns}))
+    whole = ch.build_chunks(marts_[0], rules[0], **run).unionByName(ch.build_chunks(marts_[1], rules[1], **run))
+    parts = [(*ch.rule_rows(m, r), lambda rows, r=r: ch.build_chunks(rows, r, **run, keep=(BUCKET,))) for m, r in zip(marts_, rules)]
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return checks.watch(df)
+
+    store, checks = ChunkStore(spark, str(tmp_path / "s"), b"k", digits=1), metrics.WriteChecks(metrics.expectations(rules), 30)
+    for _ in range(2):  # a run may be repeated
+        checks = metrics.WriteChecks(metrics.expectations(rules), 30)
+        got = store.load_built(parts, "r1", seen)
+    assert rows_of(got) == rows_of(whole.select(*got.columns)) and checks.written() == 240
+    assert rows_of(checks.result(spark)) == rows_of(metrics.chunk_checks(whole, metrics.expectations(rules), 30))
+    # texts and digests are made above the exchange, rows are sorted below them
+    for plan in plans:
+        above, below = plan.split("RebalancePartitions")
+        assert "firma_hmac" in above and "Sort [cubo" in above.split("\n")[-2]
+        assert not {"firma_hmac", "datos_negocio", "sha2("} & set(below.replace("#", " ").split()) and "sha2(" not in below
+    other = ChunkStore(spark, str(tmp_path / "t"), b"k", digits=1)
+    assert rows_of(other.load(whole, "r1")) == rows_of(got)
+    assert sorted(other.touched_by(spark.createDataFrame([("Ana",)], "valor string"), "r1")) == sorted(store.touched_by(spark.createDataFrame([("Ana",)], "valor string"), "r1"))
+    with pytest.raises(ValueError, match="parts of different columns"):
+        store.load_built([parts[0], (*parts[1][:2], lambda rows: rows.select("planta", BUCKET))], "r2")
