@@ -269,21 +269,22 @@ def valid_chunks(chunks: DataFrame, now_epoch: int | Column) -> DataFrame:
     return chunks.filter((F.col("valido_hasta") == fv.NO_EXPIRY) | (F.col("valido_hasta") > now))
 
 
-def forget(chunks: DataFrame, people: DataFrame) -> DataFrame:
+def forget(chunks: DataFrame, people: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Right to be forgotten for the values in `people(valor)`.
 
     Strategy `borrar_chunk` drops the chunk that holds one of the values;
     `etiquetas` keeps it and drops those entries from `pii_tokens`.
     Entries are looked up as rows `(chunk, entry)`, so the forget list may be large.
+
+    `within` names columns that follow from the id, such as a bucket: the rows then come in ranges of them and of the id, by the one
+    shuffle in which chunks meet their entries, and can be written by these columns without another.
     """
     values = distinct_for_join(people, "valor")
-    hits = (
-        chunks.select("chunk_id", F.explode("pii_tokens").alias("_name", "valor"))
-        .join(values, "valor", "left_semi")
-        .groupBy("chunk_id")
-        .agg(F.collect_set("_name").alias("_hit"))
-    )
-    marked = chunks.join(hits, "chunk_id", "left")
+    entries = chunks.select(*within, "chunk_id", F.explode("pii_tokens").alias("_name", "valor")).join(values, "valor", "left_semi")
+    if within:
+        marked = _met_in_ranges(chunks, entries.drop("valor"), within)
+    else:
+        marked = chunks.join(entries.groupBy("chunk_id").agg(F.collect_set("_name").alias("_hit")), "chunk_id", "left")
     kept = marked.filter(F.col("_hit").isNull() | (F.col("estrategia_olvido") != "borrar_chunk"))
     cleaned = F.when(F.col("_hit").isNull(), F.col("pii_tokens")).otherwise(
         F.map_filter("pii_tokens", lambda name, _: ~F.array_contains(F.col("_hit"), name))
@@ -291,6 +292,22 @@ def forget(chunks: DataFrame, people: DataFrame) -> DataFrame:
     return kept.withColumn("pii_tokens", cleaned).drop("_hit")
 
 
+def _met_in_ranges(chunks: DataFrame, entries: DataFrame, within: Sequence[str]) -> DataFrame:
+    """Chunks with `_hit`, the names of the entries `(within, chunk_id, _name)` of their id or NULL, in ranges of `within` and the id.
+
+    Chunks without an id have no entries; a hash of the row spreads them.
+    """
+    row = F.xxhash64(F.to_json(F.struct(*chunks.columns), {"ignoreNullFields": "false"}))
+    spread = F.when(F.col("chunk_id").isNull(), row).otherwise(F.lit(0))
+    both = chunks.withColumns({"_name": F.lit(None).cast("string"), "_spread": spread, "_chunk": F.lit(True)}).unionByName(
+        entries.filter(F.col("chunk_id").isNotNull()).withColumns({"_spread": F.lit(0).cast("long"), "_chunk": F.lit(False)}), allowMissingColumns=True
+    )
+    place = [*within, "chunk_id", "_spread"]
+    names = F.collect_set("_name").over(Window.partitionBy(*place))
+    met = both.repartitionByRange(*place).withColumn("_hit", names).filter("_chunk")
+    return met.withColumn("_hit", F.when(F.size("_hit") > 0, F.col("_hit"))).drop("_name", "_spread", "_chunk")
+
+
 def rule_quality(chunks: DataFrame, rules: Sequence[Rule], recall: DataFrame | None = None) -> DataFrame:
     """Chunk count of every rule, also of those without chunks, against its expected range.
 

@@ -50,8 +50,16 @@ class ChunkStore:
         """Replaces the touched buckets (all, if None), and writes the index of what now stands in them."""
         return self._write_parts([(chunks.withColumn(BUCKET, self._bucket(F.col("chunk_id"))), None)], run, previous, touched, watch)
 
-    def _write_parts(self, parts: Sequence[tuple[DataFrame, Build | None]], run: str, previous: str | None, touched: list[str] | None, watch: Watch | None) -> DataFrame:
-        out = self.table.replace_built(parts, run, previous, touched, watch)
+    def _write_parts(
+        self,
+        parts: Sequence[tuple[DataFrame, Build | None]],
+        run: str,
+        previous: str | None,
+        touched: list[str] | None,
+        watch: Watch | None = None,
+        placed: bool = False,
+    ) -> DataFrame:
+        out = self.table.replace_built(parts, run, previous, touched, watch, placed)
         if self.pii in out.columns:
             mine = self.table.read(run, [v for v, r in self.table.manifest(run).items() if r == run])
             held = mine.select(BUCKET, F.explode(self.pii).alias("_", "valor")).filter(F.col("valor").isNotNull())
@@ -96,8 +104,8 @@ class ChunkStore:
     def forget(self, people: DataFrame, run: str, previous: str) -> DataFrame:
         """The store of `previous` without the people, as `operators.chunks.forget` gives it; reads the index and the touched buckets only."""
         touched = self.touched_by(people, previous)
-        left = ch.forget(self.table.read(previous, touched).drop(BUCKET), people)
-        return self._write(left, run, previous, touched)
+        left = ch.forget(self.table.read(previous, touched), people, (BUCKET,))
+        return self._write_parts([(left, None)], run, previous, touched, placed=True)
 
 
 class KeyedStore:

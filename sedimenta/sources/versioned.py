@@ -97,17 +97,19 @@ class VersionedTable:
         previous: str | None,
         touched: Iterable[str] | None = None,
         watch: Callable[[DataFrame], DataFrame] | None = None,
+        placed: bool = False,
     ) -> DataFrame:
         """`replace` by the rows of several parts, each `(rows, build)`: rows are dealt out and sorted as they are, the task that writes builds from them.
 
         So no shuffle and no sort carries what a row can be built to. A build keeps the key columns as they come and gives one
-        schema in all parts; `watch` is asked for every part.
+        schema in all parts; `watch` is asked for every part. Rows that are `placed` come in ranges of the key columns and are
+        written as they are dealt.
         """
         path = f"{self.base}/{RUN}={run}"
         columns = [self.key, *self.below]
         schema = None
         for rows, build in parts:
-            dealt = rows.hint("rebalance", *columns)
+            dealt = rows if placed else rows.hint("rebalance", *columns)
             built = build(dealt.sortWithinPartitions(*columns)) if build else dealt
             mine = T.StructType([T.StructField(f.name, f.dataType) for f in built.schema])
             if schema is not None and mine.simpleString() != schema.simpleString():

@@ -254,14 +254,22 @@ _CHUNK_ROWS = """rows AS (SELECT planta, punto_evaluacion, anio, semana, concent
 gone AS (SELECT 'Persona ' || s_suppkey AS valor FROM supplier WHERE s_acctbal < 1000)"""
 
 
-def _named_chunks(spark, sf):
+def _named(spark, sf):
+    """Every measurement with its people."""
+    return with_people(fr.bronze(spark, sf), fr.aliases(spark, sf), fr.persons(spark, sf))
+
+
+def _named_id(named):
+    return ch.chunk_id(ch.chunk_key(named, ("planta", "punto_evaluacion", "anio", "semana", "concentracion_mg_m3", "fecha", "hora_inicio")))
+
+
+def _named_chunks(named, keep=()):
     """Every measurement as a stored chunk with its people."""
-    named = with_people(fr.bronze(spark, sf), fr.aliases(spark, sf), fr.persons(spark, sf))
-    key = ch.chunk_key(named, ("planta", "punto_evaluacion", "anio", "semana", "concentracion_mg_m3", "fecha", "hora_inicio"))
     return named.select(
-        ch.chunk_id(key).alias("chunk_id"),
+        _named_id(named).alias("chunk_id"),
         ch.pii_map(named, ("operador", "tecnico")).alias("pii_tokens"),
         F.when(F.col("semana") % 2 == 0, "etiquetas").otherwise("borrar_chunk").alias("estrategia_olvido"),
+        *keep,
     )
 
 
@@ -279,7 +287,7 @@ def _(spark, sf):
         .filter("s_acctbal < 1000")
         .select(F.concat(F.lit("Persona "), F.col("s_suppkey").cast("string")).alias("valor"))
     )
-    return ch.forget(_named_chunks(spark, sf), gone).select(
+    return ch.forget(_named_chunks(_named(spark, sf)), gone).select(
         "chunk_id", "estrategia_olvido", *[F.col("pii_tokens")[c].alias(c) for c in ("operador", "tecnico")]
     )
 
@@ -290,7 +298,8 @@ def _(spark, sf):
     gone = fr.table(spark, sf, "supplier").filter("s_acctbal < 1000")
     people = gone.select(F.concat(F.lit("Persona "), F.col("s_suppkey").cast("string")).alias("valor"))
     store = ChunkStore(spark, scratch_path(spark, "almacen"), SIGNING_KEY, digits=1)
-    store.load(_named_chunks(spark, sf), "r1")
+    named = _named(spark, sf)
+    store.load_built([(named, _named_id(named), lambda rows: _named_chunks(rows, (BUCKET,)))], "r1")
     left = store.forget(people, "r2", "r1")
     return left.select("chunk_id", "estrategia_olvido", *[F.col("pii_tokens")[c].alias(c) for c in ("operador", "tecnico")])
 

@@ -310,3 +310,26 @@ def test_chunks_are_built_behind_the_shuffle_that_places_them(spark, tmp_path):
     assert sorted(other.touched_by(spark.createDataFrame([("Ana",)], "valor string"), "r1")) == sorted(store.touched_by(spark.createDataFrame([("Ana",)], "valor string"), "r1"))
     with pytest.raises(ValueError, match="parts of different columns"):
         store.load_built([parts[0], (*parts[1][:2], lambda rows: rows.select("planta", BUCKET))], "r2")
+
+
+def test_forgetting_shuffles_the_stored_chunks_once(spark, tmp_path):
+    rows = [r.asDict() for r in some_chunks(spark, range(90)).collect()]
+    rows += [r | {"texto": "otra vez", "pii_tokens": {"operador": f"x{i}"}} for i, r in enumerate(rows[:30])]  # ids twice
+    rows += [{**r, "chunk_id": None} for r in rows[:20]] * 2
+    rows += [{**rows[40], "pii_tokens": None}, {**rows[41], "estrategia_olvido": None}, {**rows[42], "pii_tokens": {"operador": None}}]
+    chunks = spark.createDataFrame([tuple(r[c] for c in ("chunk_id", "texto", "fecha_creacion", "estrategia_olvido", "pii_tokens")) for r in rows], CHUNK)
+    store = ChunkStore(spark, str(tmp_path / "store"), b"key", digits=1)
+    store.load(chunks, "r1")
+    gone = spark.createDataFrame([("Ana",), ("t3",), ("x5",), (None,)], "valor string")
+    want, stored = rows_of(ch.forget(chunks, gone)), chunks.withColumn("cubo", F.coalesce(F.substring("chunk_id", 1, 1), F.lit("sin_id")))
+    for _ in range(2):  # a run may be repeated
+        assert rows_of(store.forget(gone, "r2", "r1").select(*chunks.columns)) == want
+    left = ch.forget(stored, gone, ("cubo",))
+    assert rows_of(left.drop("cubo")) == want
+    # one exchange of whole chunks, in ranges by bucket, and none behind it
+    plan = store.table.read("r1").transform(ch.forget, gone, ("cubo",))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "RebalancePartitions" not in plan
+    buckets = {}
+    for r in left.select("cubo", F.spark_partition_id().alias("p")).distinct().collect():
+        buckets.setdefault(r["p"], set()).add(r["cubo"])
+    assert sum(map(len, buckets.values())) <= len({b for s in buckets.values() for b in s}) + len(buckets)
