@@ -1,8 +1,8 @@
 """Exact top-k by inner product over an impact-ordered index, read score-at-a-time.
 
 A block of vectors is stored as segments of postings: one for each dimension and quantised value, with the rows that
-have it. A query reads segments by descending impact |q_d * value| and adds to its accumulators. At checkpoints the
-unread segments bound what every row can still gain or lose; rows whose upper bound reaches the k-th best lower bound
+have it. A group of queries reads segments by descending impact, the sum of its |q_d * value|, and each adds to its accumulators. At
+checkpoints the unread segments bound what every row can still gain or lose; rows whose upper bound reaches the k-th best lower bound
 may be members. Reading stops when that proof has left few rows, and those are scored exactly.
 """
 
@@ -21,9 +21,11 @@ from sedimenta.session import scratch_path
 
 #: Rows of an index block and queries of a block.
 BLOCK_ROWS, BLOCK_QUERIES = 1 << 14, 512
-#: Values of one quantised impact.
-STEP = 4
-#: Shares of a query's impact after which the proof is tried.
+#: Quantised values of a dimension: narrower vectors are held exactly, wider ones in steps of a power of two.
+LEVELS = 128
+#: Queries that read the postings of a block together.
+GROUP = 128
+#: Shares of a group's impact after which the proof is tried.
 CHECKPOINTS = (0.35, 0.55, 0.75, 0.9)
 
 
@@ -32,7 +34,9 @@ class Segments:
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         self.ids, self.matrix = ids, matrix
-        levels = matrix // STEP
+        span = int(matrix.max(initial=0)) - int(matrix.min(initial=0))
+        self.step = 1 << (span // LEVELS).bit_length()
+        levels = matrix // self.step
         rows, dims, values, starts = [], [], [], [0]
         for d in range(matrix.shape[1]):
             order = np.argsort(levels[:, d], kind="stable").astype(np.int32)
@@ -43,47 +47,74 @@ class Segments:
             starts += (starts[-1] + np.append(first[1:], len(order))).tolist()
         self.rows = np.concatenate([*rows, np.zeros(0, np.int32)])
         self.dims = np.array(dims, np.int64)
-        self.values = np.concatenate([*values, np.zeros(0, np.int64)]) * STEP
+        self.values = np.concatenate([*values, np.zeros(0, np.int64)]) * self.step
         self.starts = starts
+        self.by_id = np.argsort(ids, kind="stable")
 
     def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids and scores of the k best rows that do not have the query's id; ties to the smaller id."""
-        width = min(len(query), self.matrix.shape[1])
-        q = np.zeros(self.matrix.shape[1], np.int64)
-        q[:width] = query[:width]  # a vector's missing components are 0
-        mine = np.flatnonzero(self.ids != query_id)
-        possible = self._possible(q, mine, k) if len(mine) > k and len(self.dims) else mine
-        scores = self.matrix[possible] @ q
-        ids = self.ids[possible]
-        best = np.lexsort((ids, -scores))[:k]
-        return ids[best], scores[best]
+        return next(self.tops(np.array([query_id]), query[None], k))
+
+    def tops(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """`top` of each query. A group of queries reads the postings together."""
+        width = min(queries.shape[1], self.matrix.shape[1])
+        asked = np.zeros((len(queries), self.matrix.shape[1]), np.int64)
+        asked[:, :width] = queries[:, :width]  # a vector's missing components are 0
+        ordered = self.ids[self.by_id]
+        first, end = (np.searchsorted(ordered, query_ids, side).tolist() for side in ("left", "right"))
+        own = [self.by_id[a:b] for a, b in zip(first, end)]
+        for at in range(0, len(asked), GROUP):
+            q = asked[at : at + GROUP]
+            for vector, possible in zip(q, self._possible_of(q, own[at : at + GROUP], k)):
+                scores, ids = self.matrix[possible] @ vector, self.ids[possible]
+                best = np.lexsort((ids, -scores))[:k]
+                yield ids[best], scores[best]
 
     def _possible(self, q: np.ndarray, mine: np.ndarray, k: int) -> np.ndarray:
-        rows, starts, weight = self.rows, self.starts, q[self.dims]
-        low, high = weight * self.values, weight * (self.values + STEP - 1)
-        base = low.copy()  # what is added for a posting: its value rounded down
-        low, high = np.minimum(low, high), np.maximum(low, high)
-        impact = np.abs(weight * (self.values + STEP // 2))
+        return self._possible_of(q[None], [np.setdiff1d(np.arange(len(self.ids)), mine)], k)[0]
+
+    def _possible_of(self, queries: np.ndarray, own: list[np.ndarray], k: int) -> list[np.ndarray]:
+        """For each query the rows that may be among its k best, without its `own` rows."""
+        size, n = len(self.ids), len(queries)
+        candidates = np.ones((n, size), bool)
+        for mask, rows in zip(candidates, own):
+            mask[rows] = False
+        if not len(self.dims) or size <= k + max(map(len, own)):
+            return [np.flatnonzero(mask) for mask in candidates]
+        rows, starts, weight = self.rows, self.starts, queries.T[self.dims]
+        base = weight * self.values[:, None]  # what is added for a posting: its value rounded down
+        other = weight * (self.values + self.step - 1)[:, None]
+        low, high = np.minimum(base, other), np.maximum(base, other)
+        # the impact of a segment on the group; in floats, as a sum over queries may pass 64 bits
+        impact = np.abs(weight.astype(float) * (self.values + self.step // 2)[:, None]).sum(axis=1)
         order = np.argsort(-impact, kind="stable")
         mass = np.cumsum(impact[order])
         stops = sorted({*np.searchsorted(mass, np.array(CHECKPOINTS) * mass[-1]).tolist(), len(order)})
         # a posting that is read leaves its rounding open
-        over, under = np.maximum(q, 0) * (STEP - 1), np.minimum(q, 0) * (STEP - 1)
-        score = np.zeros(len(self.ids), np.int64)
-        at, left = 0, mine
+        over, under = np.maximum(queries.T, 0) * (self.step - 1), np.minimum(queries.T, 0) * (self.step - 1)
+        most = self.matrix.shape[1] * int(np.abs(queries).max()) * (int(np.abs(self.values).max()) + self.step)
+        kind = np.int32 if most < 1 << 31 else np.int64
+        score, added = np.zeros((size, n), kind), base.astype(kind)
+        at = 0
         for stop in stops:
             for s in order[at:stop].tolist():
-                if base[s]:
-                    score[rows[starts[s] : starts[s + 1]]] += base[s]
+                score[rows[starts[s] : starts[s + 1]]] += added[s]
             at = stop
             gain, loss = over.copy(), under.copy()
-            unread = order[at:]
-            np.maximum.at(gain, self.dims[unread], high[unread])
-            np.minimum.at(loss, self.dims[unread], low[unread])
-            known = score[left]
-            threshold = np.partition(known, len(known) - k)[len(known) - k] + loss.sum()
-            left = left[known + gain.sum() >= threshold]
-            if len(left) <= max(8 * k, len(self.ids) // 8):
+            unread = np.sort(order[at:])  # segments are numbered by dimension
+            if len(unread):
+                dims, first = np.unique(self.dims[unread], return_index=True)
+                gain[dims] = np.maximum(gain[dims], np.maximum.reduceat(high[unread], first))
+                loss[dims] = np.minimum(loss[dims], np.minimum.reduceat(low[unread], first))
+            open_ = gain.sum(axis=0) - loss.sum(axis=0)
+            if stop < len(order) and (score.max(axis=0).astype(np.int64) - score.min(axis=0) <= open_).any():
+                continue  # nothing can be excluded for some query yet
+            left = []
+            for known, mask, width in zip(np.ascontiguousarray(score.T).astype(np.int64), candidates, open_.tolist()):
+                mine = np.flatnonzero(mask)
+                known = known[mine]
+                left.append(mine[known + width >= np.partition(known, len(known) - k)[len(known) - k]])
+            if max(map(len, left)) <= max(8 * k, size // 8):
                 break
         return left
 
@@ -172,7 +203,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, identity: str = "
         for batch in batches:
             for packed, asked in zip(batch.column("rows"), batch.column("asked")):
                 segments = Segments(*_unpacked(packed.as_py()))
-                found = [(q, *segments.top(q, v, k)) for q, v in zip(*_unpacked(asked.as_py()))]
+                names, vectors = _unpacked(asked.as_py())
+                found = [(q, *best) for q, best in zip(names, segments.tops(names, vectors, k))]
                 columns = [np.repeat([f[0] for f in found], [len(f[1]) for f in found])]
                 columns += [np.concatenate([f[j] for f in found]) for j in (1, 2)]
                 yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], schema=out)

@@ -76,3 +76,21 @@ def test_large_components_that_fit_are_exact(spark):
     v = {1: (10**7 * 64, 3 * 10**7 * 64), 2: (-3 * 10**7 * 64, 32)}
     q = (3 * 10**7 * 64, -2 * 10**7 * 64)
     assert sorted(got, key=lambda x: -x[1]) == sorted(((i, q[0] * x + q[1] * y) for i, (x, y) in v.items()), key=lambda x: -x[1])
+
+
+@pytest.mark.parametrize("spread", [40, 3000, 1 << 28])
+def test_a_group_of_queries_leaves_few_rows_to_score(spread):
+    rnd = np.random.default_rng(9)
+    matrix = rnd.integers(-spread, spread, (3000, 24))
+    matrix[1500:1530] = matrix[7]
+    ids = rnd.integers(0, 2500, 3000)  # some repeat
+    segments = topk.Segments(ids, matrix)
+    asked = np.array([*range(0, 300), -1])
+    found = [*segments.tops(ids[asked], matrix[asked], 20)]
+    for q, (names, scores) in zip(asked.tolist(), found):
+        want = sorted((-int(s), int(i)) for i, s in zip(ids, matrix @ matrix[q]) if i != ids[q])[:20]
+        assert [(-s, i) for s, i in zip(scores.tolist(), names.tolist())] == want
+    left = segments._possible_of(matrix[:100], [np.flatnonzero(ids == ids[q]) for q in range(100)], 20)
+    # random vectors leave no gap to stop early in, so what postings round away must not keep rows in
+    assert max(map(len, left)) <= (60 if spread == 40 else 300)
+    assert len(segments.dims) <= 24 * 2 * topk.LEVELS
