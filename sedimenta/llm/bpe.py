@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import regex
@@ -236,17 +238,25 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        # millions of short-lived lists and no cycles: the collector would walk them over and over
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [self.chunks(t) for t in texts]
-        known = self.known
-        found = [[*map(known.get, cs)] for cs in split]
-        missing = {c for cs, ids in zip(split, found) if None in ids for c, x in zip(cs, ids) if x is None}
+        missing = set(chain.from_iterable(split)).difference(self.known)
+        if len(self.known) + len(missing) > self.limit:
+            # the half that was learned first stays: frequent chunks come early
+            self.known = dict(islice(self.known.items(), self.limit // 2))
+            missing = set(chain.from_iterable(split)).difference(self.known)
         if missing:
-            fresh = self.learn(missing)
-            if len(known) + len(fresh) > self.limit:
-                known = self.known = {}
-            known |= fresh
-            found = [[fresh[c] if x is None else x for c, x in zip(cs, ids)] if None in ids else ids for cs, ids in zip(split, found)]
-        return [b"".join(ids) for ids in found]
+            self.known |= self.learn(missing)
+        return [b"".join(map(self.known.__getitem__, cs)) for cs in split]
 
     def decode(self, ids: bytes) -> bytes:
         """The tokens joined by blanks, in UTF-8: what a tokenizer without a decoder gives."""

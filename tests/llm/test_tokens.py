@@ -114,3 +114,16 @@ def test_empty_tables(spark, tmp_path):
     table = docs(spark, [])
     assert token_files.read_shards(token_files.write_shards(table, str(tmp_path / "none"), shipped_file(spark, PATH))).collect() == []
     assert bpe.digests(table, bpe.compile_lexicon(spark, table, PATH)).collect() == []
+
+
+def test_a_full_cache_keeps_the_chunks_learned_first(library, monkeypatch):
+    often = [f"often{i}" for i in range(30)]
+    blocks = [[" ".join([*often, *(f"rare{b}x{i}" for i in range(40))])] * 2 for b in range(12)]
+    own, learned = bpe.Encoder(PATH, cache=100), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda chunks: learned.extend(chunks) or learn(chunks))
+    for texts in [[" ".join(often)], *blocks, [" ".join(f"wide{i}" for i in range(500))], *blocks[:1]]:
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(own.known) <= 50 + max(50, len(set(texts[0].split())))
+    assert all(learned.count(c) == 1 for c in often)
