@@ -136,7 +136,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def shipped(spark: SparkSession, name: str, content: bytes) -> str:
-    """Gives every executor a read-only copy of a small file; returns the name `local_copy` takes."""
+    """Gives every executor a read-only copy of a small file; returns the name `local_copy` takes.
+
+    What the driver needed to make the content is free by now and goes back to the system.
+    """
+    release()
     own = f"{name}-{uuid.uuid4().hex}"
     path = os.path.join(tempfile.mkdtemp(prefix="ship-"), own)
     with open(path, "wb") as out:
@@ -156,7 +160,7 @@ def local_copy(name: str) -> str:
 
 
 def release() -> None:
-    """Gives freed memory back to the system: a worker outlives its task and would keep the peak of the stage before."""
+    """Gives freed memory back to the system: a worker, as the driver, would keep the peak of the stage before."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

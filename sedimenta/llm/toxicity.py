@@ -26,6 +26,8 @@ BUCKETS = 1 << 20
 #: by the class prior so much of its occurrences is in toxic texts. All that pass are used: the sample bounds their number.
 EXCESS, LEAST_TEXTS, PURITY = 6.0, 4, 0.6
 CACHE_CHUNKS, SAMPLE_CHUNKS = 150_000, 20_000
+#: Features of the sample that the driver handles at a time.
+PIECE = 1 << 18
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -121,22 +123,30 @@ class Presence:
         self.n, self.sizes, self.features = len(sizes), sizes, features
 
     def counts(self) -> np.ndarray:
-        return np.bincount(self.features, minlength=2 * BUCKETS)
+        total = np.zeros(2 * BUCKETS, np.int64)
+        for start in range(0, len(self.features), PIECE):
+            total += np.bincount(self.features[start : start + PIECE], minlength=2 * BUCKETS)
+        return total
 
     def cells(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Text and column of the features that have a column."""
-        columns = place[self.features]
-        some = columns >= 0
-        return np.repeat(np.arange(self.n), self.sizes)[some], columns[some]
+        at, columns = [np.zeros(0, np.int64)], [place[:0]]
+        for start in range(0, len(self.features), PIECE):
+            own = place[self.features[start : start + PIECE]]
+            some = np.flatnonzero(own >= 0)
+            at.append(some + start)
+            columns.append(own[some])
+        return np.searchsorted(np.cumsum(self.sizes), np.concatenate(at), "right"), np.concatenate(columns)
 
 
 def fit(positive: Presence, unlabelled: Presence, prior: float, members: int = MEMBERS, steps: int = 400, seed: int = 0) -> Classifier:
     """Each member learns from all toxic texts and its own share of the unlabelled ones, for a smaller variance."""
     p, n_p = positive.counts(), max(positive.n, 1)
-    rate = (unlabelled.counts() + 1) / (unlabelled.n + 2)
+    several = np.flatnonzero(p >= LEAST_TEXTS)
+    p, rate = p[several], (unlabelled.counts()[several] + 1) / (unlabelled.n + 2)
     excess = (p / n_p - rate) / np.sqrt(rate * (1 - rate) / n_p)
     purity = prior * (p / n_p) / rate
-    features = np.flatnonzero((excess > EXCESS) & (p >= LEAST_TEXTS) & (purity >= PURITY))
+    features = several[(excess > EXCESS) & (purity >= PURITY)]
     if not positive.n or not unlabelled.n:
         features = features[:0]
     place = np.full(2 * BUCKETS, -1, np.int32)
@@ -211,10 +221,11 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, plai
     known = labels.filter(learnable(identity, 3, 1) & F.col("toxic").isNotNull())
     count = known.agg(F.count("*").alias("n"), F.sum((F.col("toxic") == 1).cast("long")).alias("t")).first()
     prior = min(0.5, max(1e-3, (count["t"] or 0) / max(count["n"], 1)))
-    rows = training_rows(docs, labels, toxic_rows, plain_rows, identity, text).toArrow().combine_chunks().sort_by("_id")
+    rows = training_rows(docs, labels, toxic_rows, plain_rows, identity, text).toArrow()
     kinds = {}
     for kind in (True, False):
-        own = rows.filter(rows.column("toxic") if kind else pc.invert(rows.column("toxic"))).column("features").combine_chunks()
+        own = rows.filter(rows.column("toxic") if kind else pc.invert(rows.column("toxic")))
+        own = own.sort_by("_id").column("features").combine_chunks()
         kinds[kind] = Presence(np.asarray(pc.list_value_length(own)), np.asarray(own.flatten()))
     del rows, own
     return fit(kinds[True], kinds[False], prior)

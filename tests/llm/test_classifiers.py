@@ -166,6 +166,30 @@ def test_every_feature_that_passes_is_used():
     assert len(toxicity.fit(wide, plain, 0.5, steps=2).features) == 6000
 
 
+def test_presence_counts_and_cells_in_little_memory():
+    import tracemalloc
+
+    rnd = np.random.default_rng(3)
+    sizes = rnd.integers(0, 3000, 3000).astype(np.int32)
+    features = rnd.integers(0, 2 * toxicity.BUCKETS, sizes.sum()).astype(np.int32)
+    place = np.full(2 * toxicity.BUCKETS, -1, np.int32)
+    chosen = rnd.choice(2 * toxicity.BUCKETS, 2000, replace=False)
+    place[chosen] = np.arange(2000)
+    own = toxicity.Presence(sizes, features)
+    tracemalloc.start()
+    counts, (rows, columns) = own.counts(), own.cells(place)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    some = place[features] >= 0
+    assert counts.tolist() == np.bincount(features, minlength=2 * toxicity.BUCKETS).tolist()
+    assert rows.tolist() == np.repeat(np.arange(len(sizes)), sizes)[some].tolist()
+    assert columns.tolist() == place[features][some].tolist()
+    # two arrays of counts and some pieces, whatever the sample's size; before, also eight bytes for each of its features
+    assert peak < 2 * counts.nbytes + 8 * 8 * toxicity.PIECE, peak
+    none = toxicity.Presence(np.zeros(0, np.int32), np.zeros(0, np.int32))
+    assert not none.counts().any() and [len(x) for x in none.cells(place)] == [0, 0]
+
+
 def test_toxicity_held_out(spark):
     out = queries.QUERIES["op3_toxicity"](spark, "/root/testdata/sf0.1").join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").filter("held_out")
     row = out.agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))).alias("caught"), F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("wrong")).first()

@@ -148,6 +148,49 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def components_by_search(links):
+    up = {}
+
+    def root(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            x, y = root(a), root(b)
+            up[max(x, y)] = min(x, y)
+    return sorted((x, root(x)) for x in up)
+
+
+def test_rounds_of_components_run_few_tasks(spark):
+    rnd = random.Random(5)
+    order = list(range(600))
+    rnd.shuffle(order)
+    links = [*zip(order, order[1:]), *[(1000, 1001 + i) for i in range(300)], *[(3000 + i, 3001 + i) for i in range(300)]]
+    links += [(rnd.randrange(5000, 5900), rnd.randrange(5000, 5900)) for _ in range(500)] + [(None, 1), (2, None), (7000, 7000)]
+    rnd.shuffle(links)
+    df, parts = spark.createDataFrame(links, "a long, b long").repartition(40), 40
+    sc = spark.sparkContext
+    sc.setJobGroup("rounds", "components")
+    try:
+        got = sorted(map(tuple, components(df).collect()))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == components_by_search(links)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("rounds") for s in tracker.getJobInfo(j).stageIds]
+    # each task leaves state with the driver: reading twice, then some stages of four partitions for each of a few rounds
+    assert sum(s.numCompletedTasks for s in stages if s) <= 2 * parts + 60
+
+
+def test_components_of_bytes_take_the_least_in_byte_order(spark):
+    links = [(b"\xff", b"\x7f"), (b"\x7f\x00", b"\x7f"), (b"", b"\xfe"), (b"\xfe", b"\x80")]
+    df = spark.createDataFrame(links, "a binary, b binary").repartition(4)
+    assert sorted((bytes(x), bytes(y)) for x, y in components(df).collect()) == components_by_search(links)
+
+
 def test_row_without_an_id_before_near_copies(spark):
     words = [f"w{i}" for i in range(200)]
     text, near = " ".join(words), " ".join([*words[:100], "other", *words[101:]])
