@@ -190,6 +190,20 @@ def test_presence_counts_and_cells_in_little_memory():
     assert not none.counts().any() and [len(x) for x in none.cells(place)] == [0, 0]
 
 
+def test_memory_goes_back_after_each_block_of_texts(monkeypatch):
+    import pyarrow as pa
+
+    from sedimenta.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "release", lambda: calls.append(len(got)))
+    got: list = []
+    for block in common.blocks(pa.record_batch([pa.array(["x" * 60] * 10)], names=["text"]), "text", 100):
+        got.append(block.num_rows)
+    assert sum(got) == 10 and len(got) > 3
+    assert calls == list(range(1, len(got) + 1))
+
+
 def test_toxicity_held_out(spark):
     out = queries.QUERIES["op3_toxicity"](spark, "/root/testdata/sf0.1").join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").filter("held_out")
     row = out.agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))).alias("caught"), F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("wrong")).first()
