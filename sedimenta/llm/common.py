@@ -69,6 +69,7 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     for end in (*edges.tolist(), batch.num_rows):
         if end > start:
             yield batch.slice(start, end - start)
+            release()
         start = end
 
 

@@ -86,7 +86,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Nothing but the number of moved links reaches the driver. NULL ends and self-links are ignored.
     """
     known = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    now = known.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+    # stored first: links made by Python would need a second worker for each task, and all workers keep what they load
+    now = stored(known.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")), "links")
     for _ in range(MOST_ROUNDS):
         now = stored(_next_parent(stored(_one_parent(now), "parents")), "stars")
         if not now.agg(F.count_if("moved").alias("n")).first()["n"]:

@@ -185,6 +185,16 @@ def test_rounds_of_components_run_few_tasks(spark):
     assert sum(s.numCompletedTasks for s in stages if s) <= 2 * parts + 60
 
 
+def test_links_made_by_python_are_stored_before_python_contracts_them(spark, monkeypatch):
+    from sedimenta.llm import components as module
+
+    plans, plain = [], module._contracted
+    monkeypatch.setattr(module, "_contracted", lambda links: plans.append(links._jdf.queryExecution().toString()) or plain(links))
+    made = spark.createDataFrame([(2, 1), (3, 2)], "a long, b long").mapInArrow(lambda batches: batches, "a long, b long")
+    assert sorted(map(tuple, components(made).collect())) == [(1, 1), (2, 1), (3, 1)]
+    assert plans and not any("InArrow" in p for p in plans)
+
+
 def test_components_of_bytes_take_the_least_in_byte_order(spark):
     links = [(b"\xff", b"\x7f"), (b"\x7f\x00", b"\x7f"), (b"", b"\xfe"), (b"\xfe", b"\x80")]
     df = spark.createDataFrame(links, "a binary, b binary").repartition(4)
