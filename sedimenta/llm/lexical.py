@@ -19,16 +19,19 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - makes pa.compute available in tasks
+import pyarrow.parquet as pq
 from pyarrow import dataset, fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sedimenta.llm.common import blocks
+from sedimenta.llm.common import blocks, release
 from sedimenta.session import scratch_path
 
 #: Text bytes and documents after which a task closes its shard; a longer text is a shard of its own.
-SHARD_BYTES, SHARD_DOCS = 10 << 20, 1 << 14
+SHARD_BYTES, SHARD_DOCS = 5 << 20, 1 << 14
+#: A row group ends with the shard that takes it over this size: neither the writer nor a reader holds more than it and that shard.
+GROUP_BYTES = 1 << 20
 #: Postings of a block.
 BLOCK = 128
 #: Items that a task ranks at a time.
@@ -74,29 +77,39 @@ def pack(ids: list[int | None], words: list[np.ndarray], vocabulary: list[bytes]
     named = np.array([i is not None for i in ids], bool)
     order = np.lexsort((np.array([i or 0 for i in ids], np.int64), ~named))  # by id, those without one last
     length = np.array([len(w) for w in words], np.int64)[order]
+    # the arrays below have a number for each word or posting: each goes when it is no longer needed
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     rank = np.empty(len(vocabulary), np.int64)
     by_bytes = sorted(range(len(vocabulary)), key=vocabulary.__getitem__)
     rank[by_bytes] = np.arange(len(vocabulary))
-    pairs = np.concatenate([*words, np.zeros(0, np.int64)]).astype(np.int64)
-    pairs = np.sort(rank[pairs] * len(ids) + np.repeat(place, [len(w) for w in words]))
+    pairs = rank[np.concatenate([*words, np.zeros(0, np.int32)])]
+    pairs *= len(ids)
+    pairs += np.repeat(place, [len(w) for w in words])
+    pairs.sort()
     first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else np.zeros(0, np.int64)
     tf = np.diff(np.append(first, len(pairs)))
-    term, doc = pairs[first] // max(1, len(ids)), pairs[first] % max(1, len(ids))
+    pairs = pairs[first]
+    del first
+    term, doc = np.divmod(pairs, max(1, len(ids)))
+    del pairs
     # blocks begin with every term and every BLOCK postings of it
     df = np.bincount(term, minlength=len(vocabulary))
     start_of = np.cumsum(df) - df
     starts = np.flatnonzero((np.arange(len(term)) - start_of[term]) % BLOCK == 0)
-    block = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(term))))
+    size = np.diff(np.append(starts, len(term)))
+    del term
+    block = np.repeat(np.arange(len(starts)), size)
     gap = np.diff(doc, prepend=0)
     gap[starts] = 0
     docs, docs_at, docs_width = _narrow(gap, starts)
     tfs, tfs_at, tfs_width = _narrow(tf - 1, starts)
+    del gap
     # of each frequency in a block, the shortest document
     by_tf = np.lexsort((length[doc], tf, block))
-    new = np.flatnonzero(np.append(True, (np.diff(block[by_tf]) != 0) | (np.diff(tf[by_tf]) != 0))) if len(term) else np.zeros(0, np.int64)
+    new = np.flatnonzero(np.append(True, (np.diff(block[by_tf]) != 0) | (np.diff(tf[by_tf]) != 0))) if len(doc) else np.zeros(0, np.int64)
     best = by_tf[new]
+    del by_tf, new
     out = io.BytesIO()
     np.savez(
         out,
@@ -105,7 +118,7 @@ def pack(ids: list[int | None], words: list[np.ndarray], vocabulary: list[bytes]
         length=length,
         blocks=np.append(0, np.cumsum(-(-df // BLOCK))).astype(np.int64),
         first=doc[starts].astype(np.uint32),
-        size=np.diff(np.append(starts, len(term))).astype(np.uint8),
+        size=size.astype(np.uint8),
         docs=docs,
         docs_at=docs_at.astype(np.uint32 if docs_at[-1] < 1 << 32 else np.int64),
         docs_width=docs_width,
@@ -145,6 +158,7 @@ def write_index(docs: DataFrame, folder: str, identity: str = "doc_id", text: st
             row = pack(ids, words, [*numbers])
             numbers.clear(), ids.clear(), words.clear()
             numbers.default_factory = count().__next__
+            release()
             return pa.record_batch([pa.array([row[f.name]], f.type) for f in _SHARD], schema=_SHARD)
 
         for batch in batches:
@@ -162,7 +176,9 @@ def write_index(docs: DataFrame, folder: str, identity: str = "doc_id", text: st
         if ids:
             yield closed()
 
-    docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, _SHARD_ROW).write.parquet(folder)
+    shards = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, _SHARD_ROW)
+    # without the first option the writer looks at sizes after 100 rows only, and a task's shards would all wait in memory
+    shards.write.option("parquet.page.size.row.check.min", 1).option("parquet.block.size", GROUP_BYTES).parquet(folder)
     return docs.sparkSession.read.schema(_SHARD_ROW).parquet(folder)
 
 
@@ -280,8 +296,34 @@ def weights(index: DataFrame, items: DataFrame, item: str, text: str) -> tuple[D
     return terms.join(df, "term").select("item_id", "term", (weight * F.col("repeats")).alias("weight")).filter("weight > 0"), documents, words
 
 
+def _shared(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+
+
+def _shards(folder: str, wanted: pa.RecordBatch) -> Iterator[tuple[pa.Array, bytes]]:
+    """Terms and bytes of the shards that `(file, row)` name, one after the other."""
+    last, parquet, begin = None, None, 0
+    try:
+        for name, row in zip(wanted.column("file").to_pylist(), wanted.column("row").to_pylist()):
+            if name != last or row < begin:
+                if parquet:
+                    parquet.close(force=True)
+                store, place = _shared(f"{folder}/{name}")
+                parquet, last, group, begin = pq.ParquetFile(store.open_input_file(place), pre_buffer=False), name, 0, 0
+                held = None
+            while row >= begin + parquet.metadata.row_group(group).num_rows:
+                begin += parquet.metadata.row_group(group).num_rows
+                group, held = group + 1, None
+            if held is None:
+                held = parquet.read_row_group(group, columns=["terms", "shard"], use_threads=False)
+            yield held.column("terms")[row - begin].values, held.column("shard")[row - begin].as_py()
+    finally:
+        if parquet:
+            parquet.close(force=True)
+
+
 def _item_blocks(path: str) -> Iterator[list[tuple]]:
-    store, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    store, place = _shared(path)
     for batch in dataset.dataset(place, filesystem=store, format="parquet").to_batches(batch_size=ITEMS):
         if not batch.num_rows:
             continue
@@ -312,8 +354,8 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 20, identity: str = "doc_id
             for asked in _item_blocks(f"{path}/items"):
                 heaps: dict = {}
                 whole = pa.concat_arrays([t for _, t, _ in asked])
-                for terms, raw in zip(batch.column("terms"), batch.column("shard")):
-                    shard = Shard(terms.values, raw.as_py(), documents, words)
+                for terms, raw in _shards(f"{path}/index", batch):
+                    shard = Shard(terms, raw, documents, words)
                     numbers = np.split(shard.numbers(whole), np.cumsum([len(t) for _, t, _ in asked])[:-1])
                     for (name, _, weight), own in zip(asked, numbers):
                         ids, scores = heaps.get(name, (none, none))
@@ -325,7 +367,9 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 20, identity: str = "doc_id
                 columns = [np.concatenate([none, *[h[j] for h in heaps.values()]]) for j in (0, 1)]
                 yield pa.record_batch([pa.array(names, found[0].type), *[pa.array(c) for c in columns]], schema=found)
 
-    best = index.select("terms", "shard").mapInArrow(search, f"item_id {kind}, doc_id long, score long")
+    # a task gets the places of its shards and reads one at a time: rows of such size would pass through the JVM many together
+    places = index.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    best = places.mapInArrow(search, f"item_id {kind}, doc_id long, score long")
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(F.col("item_id").alias(item), "rank", F.col("doc_id").alias(identity), "score")

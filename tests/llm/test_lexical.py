@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from sedimenta.llm import lexical
@@ -117,3 +118,26 @@ def test_maxima_reject_documents_before_their_blocks_are_unpacked():
 def test_impacts_do_not_overflow():
     out = lexical.impact(np.array([1, 2]), np.array([10**12, 5]), 10**9, 10**13)
     assert out.tolist() == [10**9 // (1000 + 12 * (75 + 25 * 10**12 * 10**9 // 10**13)), 2 * 10**9 // (2000 + 12 * (75 + 25 * 5 * 10**9 // 10**13))]
+
+
+def test_a_task_holds_one_shard_at_a_time(spark, tmp_path, monkeypatch):
+    """Row groups end with their shard, and the search moves places of shards, not shards, through the JVM."""
+    docs, items = corpus(400)
+    frame = spark.createDataFrame(docs, DOCS).repartition(2)
+    monkeypatch.setattr(lexical, "GROUP_BYTES", 2000)
+    index = lexical.write_index(frame, f"{tmp_path}/index", shard_docs=20)
+    files = [pq.ParquetFile(f) for f in (tmp_path / "index").glob("*.parquet")]
+    assert [f.metadata.row_group(g).num_rows for f in files for g in range(f.metadata.num_row_groups)] == [1] * index.count()
+    assert index.count() >= 20
+    # rows of a group that several share are found as well, also by a task that begins inside a file
+    monkeypatch.setattr(lexical, "GROUP_BYTES", 1 << 20)
+    index = lexical.write_index(frame, f"{tmp_path}/wide", shard_docs=20)
+    files = [pq.ParquetFile(f) for f in (tmp_path / "wide").glob("*.parquet")]
+    assert any(f.metadata.row_group(g).num_rows > 1 for f in files for g in range(f.metadata.num_row_groups))
+    whole = {(f, i): r["shard"] for f in sorted(x.name for x in (tmp_path / "wide").glob("*.parquet")) for i, r in enumerate(pq.read_table(tmp_path / "wide" / f).to_pylist())}
+    some = sorted(whole)[3::2]
+    wanted = pa.record_batch([pa.array([f for f, _ in some]), pa.array([i for _, i in some])], names=["file", "row"])
+    assert [raw for _, raw in lexical._shards(f"{tmp_path}/wide", wanted)] == [whole[x] for x in some]
+    ranked = lexical.rank(frame, spark.createDataFrame(items, ITEMS), shard_docs=20)
+    assert "shard:binary" not in ranked._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in ranked.collect()) == plain(docs, items)
