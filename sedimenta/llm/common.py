@@ -136,6 +136,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """A result written to the shared folder and read back: from here on nothing before it is computed again."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    tidy(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -150,6 +151,7 @@ def shipped(spark: SparkSession, name: str, content: bytes) -> str:
     with open(path, "wb") as out:
         out.write(content)
     spark.sparkContext.addFile(path)
+    tidy(spark)
     return own
 
 
@@ -159,6 +161,21 @@ def shipped_file(spark: SparkSession, path: str) -> str:
         return shipped(spark, os.path.basename(path), file.read())
 
 
+#: Share of the greatest heap from which the driver's JVM is asked to collect.
+HEAP_SHARE = 0.4
+
+
+def tidy(spark: SparkSession) -> None:
+    """A large heap of the driver's JVM is collected, which makes it smaller; shuffles and broadcasts that nothing refers to go with it.
+
+    By itself the JVM lets the heap grow with every task that ends, up to the limit, and keeps that.
+    """
+    lang = spark.sparkContext._jvm.java.lang
+    heap = lang.Runtime.getRuntime()
+    if heap.totalMemory() >= HEAP_SHARE * heap.maxMemory():
+        lang.System.gc()
+
+
 def local_copy(name: str) -> str:
     return SparkFiles.get(name)
 

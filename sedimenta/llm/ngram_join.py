@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from sedimenta.llm.common import as_arrow, blocks, local_copy, once, shipped, stored, suspected, without
+from sedimenta.llm.common import as_arrow, blocks, local_copy, once, shipped, stored, suspected, tidy, without
 from sedimenta.llm.components import components
 from sedimenta.session import scratch_path
 
@@ -412,6 +412,7 @@ def join_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
         parts *= 2
     path = scratch_path(spark, "signatures")
     signatures(docs, words, rule, identity, text, parts).write.parquet(path)
+    tidy(spark)
     every = spark.read.schema(_SIGNATURE).parquet(path)
     own = every.filter(F.col("n_shingles").isNotNull()).select("doc_id", "n_shingles", "node", "mark")
     named = own.filter(F.col("doc_id").isNotNull() & F.col("node").isNotNull())

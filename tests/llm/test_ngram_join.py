@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.llm import ngram_join
+from sedimenta.llm import common, ngram_join
 from sedimenta.llm.components import components
 
 
@@ -241,3 +243,26 @@ def test_columns_named_like_inner_ones_stay_as_they_are(spark):
     got = {r["doc_id"]: r.asDict() for r in ngram_join.one_of_each(df, 3, 90, 100).collect()}
     assert set(got) == {1, 3, None}
     assert all(r[c] == f"own {c}" for r in got.values() for c in df.columns[2:])
+
+
+def test_finished_steps_leave_the_drivers_heap(spark, monkeypatch):
+    """A step that is stored, and one whose keys are written, has the driver collect what is garbage once its heap is large."""
+    lang = spark.sparkContext._jvm.java.lang
+
+    def left(step) -> bool:
+        ref = lang.ref.WeakReference(lang.Object())
+        gc.collect()
+        time.sleep(1)  # until the JVM knows that nothing here holds the object
+        step()
+        return ref.get() is not None
+
+    docs = spark.createDataFrame([(i, f"some words of text {i % 3} and more of them") for i in range(20)], "doc_id long, text string")
+    monkeypatch.setattr(common, "HEAP_SHARE", 0)
+    assert not left(lambda: common.stored(docs, "docs"))
+    assert not left(lambda: common.shipped(spark, "file", b"content"))
+    assert not left(lambda: ngram_join.join_components(docs, words=3))
+    monkeypatch.setattr(common, "HEAP_SHARE", 2)
+    calls: list = []
+    monkeypatch.setattr(ngram_join, "tidy", calls.append)
+    ngram_join.join_components(docs, words=3)
+    assert calls
